@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..operators.documents import COLLECTIONS, FORECASTS, NUMBER_FIELDS, REJECTS, TEXT_FIELDS
+from ..operators.documents import COLLECTIONS, FORECASTS, REJECTS
 from ..operators.forecast import RECURSIVE_MODEL
 from ..operators.models import BOOSTED_TREES, LOGISTIC, RANDOM_FOREST
 from ..schemas import FEATURES, LAG_COLUMNS, NUMERIC_PROCESSED, PROCESSED_COLUMNS
@@ -292,7 +292,7 @@ def _field_typing() -> str:
     ]
     # A forecast field that is NULL is left out of the message.
     return f"""SELECT * FROM ({" UNION ALL ".join(parts)})
-        WHERE NOT (model = '{RECURSIVE_MODEL}' AND number IS NULL AND "text" = '')"""
+        WHERE NOT coalesce(model = '{RECURSIVE_MODEL}' AND number IS NULL AND "text" = '', FALSE)"""
 
 
 def oracles() -> dict[str, str]:

@@ -18,7 +18,7 @@ from ..operators import features, metrics, models, series, split, summaries, tra
 from ..operators import forecast as fc
 from ..operators import messages as msg
 from ..schemas import FEATURES, LAG_COLUMNS, PROCESSED_COLUMNS, TARGET_DIRECTION, TARGET_PRICE
-from ..session import fresh_dir
+from ..session import fresh_dir, written
 from ..sinks import files as out
 from ..sources import files, ticks, topics
 from ..streaming import jobs as streams
@@ -58,8 +58,18 @@ def _processed(spark: SparkSession, folder: str) -> DataFrame:
     return features.bar_features(_bars(spark, folder))
 
 
+def _stored_processed(spark: SparkSession, folder: str) -> DataFrame:
+    """The processed table written first, as the jobs do, for steps that read it repeatedly."""
+    return written(_processed(spark, folder), "processed")
+
+
 def _frame(spark: SparkSession, folder: str) -> DataFrame:
-    return training.training_frame(_processed(spark, folder))
+    return training.training_frame(_stored_processed(spark, folder))
+
+
+def _stored_frame(spark: SparkSession, folder: str) -> DataFrame:
+    """The training frame written once: the split and its users read it several times."""
+    return written(_frame(spark, folder), "frame")
 
 
 def momentum(close, lag1) -> Column:
@@ -72,8 +82,12 @@ def momentum_step(state: Column) -> Column:
 
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
     """The test rows with a price and a direction guessed from the last move."""
+    return _score(_stored_frame(spark, folder))
+
+
+def _score(frame: DataFrame) -> DataFrame:
     price = momentum(F.col("Close"), F.col("Close_lag1"))
-    return split.split_test(_frame(spark, folder)).withColumns({
+    return split.split_test(frame).withColumns({
         "prediction": price,
         "direction": F.when(price > F.col("Close"), F.lit(1.0)).otherwise(F.lit(0.0)),
         "score": F.col("Close") - F.col("Close_lag1"),
@@ -85,7 +99,10 @@ def _directed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _prediction_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    scored = _scored(spark, folder)
+    return _tables_of(_scored(spark, folder))
+
+
+def _tables_of(scored: DataFrame) -> dict[str, DataFrame]:
     last = scored.withColumn("prediction", F.col("Close"))
     return {
         models.RANDOM_FOREST: models.price_predictions(scored, "RF_Predicted"),
@@ -94,21 +111,28 @@ def _prediction_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]
     }
 
 
-def _forecasts(spark: SparkSession, folder: str, horizon: int = 24) -> DataFrame:
-    return fc.forecast(fc.trigger_rows(_processed(spark, folder)), momentum_step, horizon)
+def _forecasts(spark: SparkSession, folder: str) -> DataFrame:
+    return fc.forecast(fc.trigger_rows(_processed(spark, folder)), momentum_step)
 
 
 def _all_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Predictions of three models, forecasts, and replayed bars, as one topic."""
-    predictions = msg.publish_predictions_json(_prediction_tables(spark, folder))
-    forecasts = msg.forecast_messages(_forecasts(spark, folder))
-    replay = msg.row_messages(_processed(spark, folder)).select("key", "value")
+    processed = _stored_processed(spark, folder)
+    scored = _score(written(training.training_frame(processed), "frame"))
+    predictions = msg.publish_predictions_json(_tables_of(scored))
+    forecasts = msg.forecast_messages(fc.forecast(fc.trigger_rows(processed), momentum_step))
+    replay = msg.row_messages(processed).select("key", "value")
     return predictions.unionByName(forecasts).unionByName(replay)
 
 
+def _stored_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The same messages read back from the topic they were published to."""
+    return topics.read_topic(spark, "parquet", path=_topic(spark, _all_messages(spark, folder)))
+
+
 def _lagged(spark: SparkSession, folder: str) -> DataFrame:
     """Every processed row with its lags: a trigger for each bar."""
-    return training.ma_ratio(training.lag_features(_processed(spark, folder)))
+    return training.ma_ratio(training.lag_features(_stored_processed(spark, folder)))
 
 
 def _topic(spark: SparkSession, messages: DataFrame) -> str:
@@ -185,12 +209,12 @@ def scan_permissive(spark, folder):
     columns = [F.date_format("Date", "yyyy-MM-dd'T'HH:mm:ss"), *files.RAW_SCHEMA.names[1:]]
     lines = _bars(spark, folder).select(F.concat_ws(",", *columns).alias("value"))
     lines.unionByName(_events(spark, folder).select(F.col("props").alias("value"))).write.text(path)
-    good, bad = files.read_permissive(spark, path)
-    kept = good.agg(F.count("*").alias("rows"), F.round(F.sum("Close"), 6).alias("close_sum"))
-    return kept.select(F.lit("good").alias("kind"), "*").unionByName(
-        bad.agg(F.count("*").alias("rows")).select(
-            F.lit("reject").alias("kind"), "rows", F.lit(None).cast("double").alias("close_sum")
-        )
+    rows = files.read_permissive(spark, path, header="false")
+    kind = F.when(F.col(files.CORRUPT).isNull(), F.lit("good")).otherwise(F.lit("reject"))
+    # A rejected line may have been parsed in part; only good rows are summed.
+    close = F.when(F.col(files.CORRUPT).isNull(), F.col("Close"))
+    return rows.groupBy(kind.alias("kind")).agg(
+        F.count("*").alias("rows"), F.round(F.sum(close), 6).alias("close_sum")
     )
 
 
@@ -324,14 +348,14 @@ def _document_columns(documents: DataFrame) -> DataFrame:
 @query
 def sink_route_by_model(spark, folder):
     path = fresh_dir(spark, "documents")
-    routed = docs.documents(_all_messages(spark, folder))
+    routed = docs.documents(_stored_messages(spark, folder))
     routed.write.partitionBy("collection").parquet(path)
     return _document_columns(spark.read.parquet(path))
 
 
 @query
 def sink_field_typing(spark, folder):
-    typed = docs.typed_fields(_all_messages(spark, folder))
+    typed = docs.typed_fields(_stored_messages(spark, folder))
     return typed.select(
         "key", json_field("value", "model").alias("model"),
         F.coalesce(json_field("value", "Date"), json_field("value", "trigger_date"))
@@ -344,7 +368,7 @@ def sink_field_typing(spark, folder):
 
 @query
 def sink_verify_counts(spark, folder):
-    documents = docs.documents(_all_messages(spark, folder))
+    documents = docs.documents(_stored_messages(spark, folder))
     samples = docs.sample_documents(documents).select(
         "collection", F.col("Pair").alias("sample_pair"),
         F.col("Date").cast("timestamp_ntz").alias("sample_date"),
@@ -356,7 +380,7 @@ def sink_verify_counts(spark, folder):
 @query
 def sink_missing_rows(spark, folder):
     """Messages that a sink for the three prediction models alone leaves behind."""
-    published = _all_messages(spark, folder)
+    published = _stored_messages(spark, folder)
     stored = docs.documents(published, known_only=True)
     missing = docs.missing_rows(published, stored, ["key", "value"])
     return missing.select(
@@ -369,14 +393,16 @@ def sink_missing_rows(spark, folder):
 
 @query
 def publish_counts(spark, folder):
-    return msg.publish_counts(_all_messages(spark, folder))
+    return msg.publish_counts(_stored_messages(spark, folder))
 
 
 @query
 def store_retrieve_reconcile(spark, folder):
     """A full run against the twelve hours an earlier run had stored."""
-    computed = _forecasts(spark, folder)
-    stored = msg.parse_forecasts(msg.forecast_messages(_forecasts(spark, folder, 12)))
+    triggers = fc.trigger_rows(_stored_processed(spark, folder))
+    computed = fc.forecast(triggers, momentum_step)
+    earlier = fc.forecast(triggers, momentum_step, horizon=12)
+    stored = msg.parse_forecasts(msg.forecast_messages(earlier))
     merged = docs.reconcile(computed, stored)
     return rounded(merged, ("close",)).withColumn("hour", F.col("hour").cast("bigint"))
 
@@ -435,7 +461,7 @@ def ma_ratio(spark, folder):
 
 @query
 def lag_features(spark, folder):
-    return training.lag_features(_processed(spark, folder)).select(*PRICE_KEY, *LAG_COLUMNS)
+    return training.lag_features(_stored_processed(spark, folder)).select(*PRICE_KEY, *LAG_COLUMNS)
 
 
 @query
@@ -461,22 +487,22 @@ def distinct_dates(spark, folder):
 
 @query
 def split_date(spark, folder):
-    return split.split_date(_frame(spark, folder))
+    return split.split_date(_stored_frame(spark, folder))
 
 
 @query
 def split_train(spark, folder):
-    return split.split_train(_frame(spark, folder)).select(*PRICE_KEY, TARGET_PRICE)
+    return split.split_train(_stored_frame(spark, folder)).select(*PRICE_KEY, TARGET_PRICE)
 
 
 @query
 def split_test(spark, folder):
-    return split.split_test(_frame(spark, folder)).select(*PRICE_KEY, TARGET_PRICE)
+    return split.split_test(_stored_frame(spark, folder)).select(*PRICE_KEY, TARGET_PRICE)
 
 
 @query
 def split_counts(spark, folder):
-    return split.split_counts(_frame(spark, folder))
+    return split.split_counts(_stored_frame(spark, folder))
 
 
 @query
@@ -590,16 +616,14 @@ def _model(spark: SparkSession, folder: str, name: str) -> PipelineModel:
     """A model trained on the folder's train rows, once per application."""
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _FITTED:
-        path = fresh_dir(spark, "frame")
-        _frame(spark, folder).write.parquet(path)
-        train = split.split_train(spark.read.parquet(path))
+        train = split.split_train(_stored_frame(spark, folder))
         chosen = {name: models.default_estimators()[name]}
         _FITTED[key] = models.fit_models(train, chosen)[name]
     return _FITTED[key]
 
 
 def _predictions(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    test = split.split_test(_frame(spark, folder))
+    test = split.split_test(_stored_frame(spark, folder))
     return models.score(_model(spark, folder, name), test)
 
 
@@ -611,7 +635,7 @@ def assemble_skip(spark, folder):
 
 @query
 def standardize(spark, folder):
-    frame = _frame(spark, folder)
+    frame = _stored_frame(spark, folder)
     scaled = models.standardize(split.split_train(frame), split.split_test(frame))
     return rounded(scaled, scaled.columns[2:])
 
@@ -650,7 +674,7 @@ def model_roundtrip(spark, folder):
     path = fresh_dir(spark, "model")
     model = _model(spark, folder, models.RANDOM_FOREST)
     model.write().overwrite().save(path)
-    test = split.split_test(_frame(spark, folder))
+    test = split.split_test(_stored_frame(spark, folder))
     before = models.score(model, test).drop("raw_features", "features")
     both = models.score(
         PipelineModel.load(path), before.withColumnRenamed("prediction", "before")
@@ -722,7 +746,8 @@ def forecast_stats(spark, folder):
 
 @query
 def forecast_curve(spark, folder):
-    curve = fc.forecast_curve(_processed(spark, folder), _forecasts(spark, folder))
+    processed = _stored_processed(spark, folder)
+    curve = fc.forecast_curve(processed, fc.forecast(fc.trigger_rows(processed), momentum_step))
     return rounded(curve, ("historical", "forecast")).withColumn(
         "position", F.col("position").cast("bigint")
     )
@@ -738,8 +763,9 @@ def _drain(started) -> None:
 @query
 def stream_trigger_parse(spark, folder):
     """Replayed bars (no lags, so no triggers) and lagged bars through one topic."""
-    replay = msg.row_messages(_processed(spark, folder))
-    path = _topic(spark, replay.unionByName(msg.row_messages(_lagged(spark, folder))))
+    processed = _stored_processed(spark, folder)
+    lagged = training.ma_ratio(training.lag_features(processed))
+    path = _topic(spark, msg.row_messages(processed).unionByName(msg.row_messages(lagged)))
     target = fresh_dir(spark, "triggers")
     parsed = msg.parse_triggers(_stream(spark, path))
     _drain(streams.start_copy(parsed, target, fresh_dir(spark, "checkpoint")))

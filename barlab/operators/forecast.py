@@ -7,7 +7,8 @@ forward independently: no shuffle, no driver state, all triggers at once.
 
 With a predictor that is a column expression the whole recursion is one fold
 inside a single projection. With a saved model each step is a ``transform`` of
-the state table, and the growing plan is cut by ``checkpoint()``.
+the state table, and the growing plan is cut by writing that table every few
+steps.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import prices
 from ..schemas import FEATURES, HORIZON, NUMERIC_PROCESSED, SERIES, TIME
-from ..session import shared_dir
+from ..session import written
 from .series import last_rows
 
 MA_SHORT = 5
@@ -200,23 +201,20 @@ def run_model(
     model: Transformer,
     horizon: int = HORIZON,
     shift_change_lag: bool = False,
-    checkpoint_every: int = 6,
+    write_every: int = 2,
 ) -> DataFrame:
     """All steps with a saved model, scoring every trigger at once in each step."""
-    shared_dir(states.sparkSession)
     columns = states.columns
+    features = [F.col("state")[name].alias(name) for name in FEATURES]
+    advanced = _let(
+        F.struct("state", "prediction"),
+        lambda both: next_state(both["state"], both["prediction"], shift_change_lag),
+    )
+    kept = [advanced.alias(c) if c == "state" else F.col(c) for c in columns]
     for hour in range(1, horizon + 1):
-        features = [F.col("state")[name].alias(name) for name in FEATURES]
-        scored = model.transform(states.select(*columns, *features))
-        bound = F.struct("state", "prediction")
-        advanced = _let(
-            bound, lambda b: next_state(b["state"], b["prediction"], shift_change_lag)
-        )
-        states = scored.select(
-            *[advanced.alias(c) if c == "state" else F.col(c) for c in columns]
-        )
-        if checkpoint_every and hour % checkpoint_every == 0 and hour < horizon:
-            states = states.checkpoint()
+        states = model.transform(states.select(*columns, *features)).select(*kept)
+        if write_every and hour % write_every == 0 and hour < horizon:
+            states = written(states, "forecast")
     return states
 
 
@@ -239,12 +237,12 @@ def forecast(
     missing: str = "zero",
     seed: str = "flat",
     shift_change_lag: bool = False,
-    checkpoint_every: int = 6,
+    write_every: int = 2,
 ) -> DataFrame:
     """Triggers to forecast rows, with an MLlib model or a column formula."""
     states = forecast_init(triggers, missing=missing, seed=seed)
     if isinstance(predict, Transformer):
-        done = run_model(states, predict, horizon, shift_change_lag, checkpoint_every)
+        done = run_model(states, predict, horizon, shift_change_lag, write_every)
     else:
         done = run_formula(states, predict, horizon, shift_change_lag)
     return forecast_rows(done, model_name)

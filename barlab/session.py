@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -44,11 +44,20 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="barlab-")
         spark.conf.set(CHECKPOINT_KEY, base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
     return base
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, not yet existing path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str = "table") -> DataFrame:
+    """The same rows read back from a table in the shared folder.
+
+    Ends the lineage with a single job (``checkpoint()`` would run the plan
+    twice), and a lost executor costs at most a re-read.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

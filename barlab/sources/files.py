@@ -89,14 +89,27 @@ def read_bar_grid(
 
 
 def read_permissive(
-    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = RAW_SCHEMA
-) -> tuple[DataFrame, DataFrame]:
-    """Well-formed rows, and the text of the lines that do not fit the schema."""
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: T.StructType = RAW_SCHEMA,
+    **options: str,
+) -> DataFrame:
+    """All lines; one that does not fit the schema has its text in ``_corrupt_record``.
+
+    Split the result with ``good_rows`` and ``rejected_rows``. Every field is
+    parsed whatever the query reads, since a line is judged by all of them.
+    """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = read_csv(spark, paths, wide, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
-    good = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = rows.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
-    return good, bad
+    checked = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}
+    return read_csv(spark, paths, wide, **{**checked, **options})
+
+
+def good_rows(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def rejected_rows(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col(CORRUPT).isNotNull())
 
 
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
