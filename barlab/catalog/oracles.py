@@ -325,10 +325,8 @@ def oracles() -> dict[str, str]:
         "sink_field_typing": _sql(_field_typing(), "messages"),
         "sink_verify_counts": _sql(
             f"""SELECT collection, count(*)::BIGINT AS documents,
-                first(key ORDER BY key, "Date") FILTER (model IS DISTINCT FROM '{RECURSIVE_MODEL}')
-                    AS sample_pair,
-                first("Date" ORDER BY key, "Date") AS sample_date
-            FROM (SELECT {_COLLECTION} AS collection, * FROM messages) GROUP BY collection""",
+                first(key ORDER BY stamp, key) AS sample_key, min(stamp) AS sample_date
+            FROM (SELECT {_COLLECTION} AS collection, key, {_STAMP} FROM messages) GROUP BY collection""",
             "messages"),
         "sink_missing_rows": _sql(
             f"""SELECT key, model, {_STAMP}, hour FROM messages
@@ -451,6 +449,9 @@ def oracles() -> dict[str, str]:
             + " FROM test, (SELECT " + ", ".join(
                 f'avg({_q(c)}) AS {_q(c)}, stddev_samp({_q(c)}) AS "sd_{c}"' for c in FEATURES)
             + " FROM train) AS m", "train", "test"),
+        "model_roundtrip": _sql(
+            """SELECT "Pair", count(*)::BIGINT AS rows, 0::BIGINT AS differing
+            FROM test GROUP BY "Pair\"""", "test"),
         "forecast_init": _sql(_state_out(_ALL_STATES), "lagged"),
         "forecast_step": _sql(_state_out(_step(f"({_ALL_STATES})")), "lagged"),
         "forecast_24h": _sql(_CURVE_OUT, "curves"),

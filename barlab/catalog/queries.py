@@ -209,7 +209,7 @@ def scan_permissive(spark, folder):
     columns = [F.date_format("Date", "yyyy-MM-dd'T'HH:mm:ss"), *files.RAW_SCHEMA.names[1:]]
     lines = _bars(spark, folder).select(F.concat_ws(",", *columns).alias("value"))
     lines.unionByName(_events(spark, folder).select(F.col("props").alias("value"))).write.text(path)
-    rows = files.read_permissive(spark, path, header="false")
+    rows = files.read_permissive(spark, path)
     kind = F.when(F.col(files.CORRUPT).isNull(), F.lit("good")).otherwise(F.lit("reject"))
     # A rejected line may have been parsed in part; only good rows are summed.
     close = F.when(F.col(files.CORRUPT).isNull(), F.col("Close"))
@@ -368,13 +368,14 @@ def sink_field_typing(spark, folder):
 
 @query
 def sink_verify_counts(spark, folder):
-    documents = docs.documents(_stored_messages(spark, folder))
+    path = fresh_dir(spark, "documents")
+    docs.documents(_stored_messages(spark, folder)).write.partitionBy("collection").parquet(path)
+    documents = spark.read.parquet(path)
     samples = docs.sample_documents(documents).select(
-        "collection", F.col("Pair").alias("sample_pair"),
-        F.col("Date").cast("timestamp_ntz").alias("sample_date"),
+        "collection", F.col("key").alias("sample_key"),
+        F.coalesce("Date", F.col("texts")["trigger_date"]).cast("timestamp_ntz").alias("sample_date"),
     )
-    counts = docs.collection_counts(documents).select("collection", "documents")
-    return counts.join(samples, "collection", "left")
+    return docs.collection_counts(documents).join(samples, "collection", "left")
 
 
 @query
@@ -670,7 +671,7 @@ def model_comparison(spark, folder):
 
 @query
 def model_roundtrip(spark, folder):
-    """Predictions of a model before and after it was saved and loaded."""
+    """Rows a model predicts otherwise after it was saved and loaded."""
     path = fresh_dir(spark, "model")
     model = _model(spark, folder, models.RANDOM_FOREST)
     model.write().overwrite().save(path)
@@ -679,7 +680,10 @@ def model_roundtrip(spark, folder):
     both = models.score(
         PipelineModel.load(path), before.withColumnRenamed("prediction", "before")
     )
-    return both.select("Date", "Pair", "before", F.col("prediction").alias("after"))
+    return both.groupBy("Pair").agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("before") != F.col("prediction")).alias("differing"),
+    )
 
 
 # --- recursive forecast ---------------------------------------------------

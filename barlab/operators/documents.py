@@ -75,19 +75,27 @@ def typed_fields(messages: DataFrame) -> DataFrame:
 
 
 def collection_counts(docs: DataFrame) -> DataFrame:
-    """Documents per collection, with one sample value: the smallest.
-
-    ``min`` combines before the shuffle, so a large collection costs one row per task.
-    """
-    return docs.groupBy("collection").agg(
-        F.count("*").alias("documents"), F.min("value").alias("sample")
-    )
+    return docs.groupBy("collection").agg(F.count("*").alias("documents"))
 
 
 def sample_documents(docs: DataFrame) -> DataFrame:
-    """One whole document per collection, the first by (Pair, Date)."""
-    first = Window.partitionBy("collection").orderBy("Pair", "Date", "value")
-    return docs.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
+    """One whole document per collection, the first by (time, key).
+
+    The earliest time of each collection is found by an aggregation that needs
+    no sort; only the documents of that time are then ranked. That table has one
+    row per collection, of which there are five, so it is broadcast.
+    """
+    stamp = F.coalesce("Date", F.col("texts")["trigger_date"]).try_cast("timestamp_ntz")
+    stamped = docs.withColumn("_stamp", stamp)
+    earliest = stamped.groupBy("collection").agg(F.min("_stamp").alias("_first"))
+    near = stamped.join(
+        F.broadcast(earliest.withColumnRenamed("collection", "_collection")),
+        (F.col("collection") == F.col("_collection")) & F.col("_stamp").eqNullSafe(F.col("_first")),
+    )
+    order = Window.partitionBy("collection").orderBy("key", "value")
+    return (
+        near.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select(*docs.columns)
+    )
 
 
 def reconcile(computed: DataFrame, stored: DataFrame) -> DataFrame:

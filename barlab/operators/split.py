@@ -37,8 +37,9 @@ def split_date(df: DataFrame, share: float = TRAIN_SHARE) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("day").orderBy(TIME))
     # At most one day satisfies the filter above, so the broadcast is one row.
     return (
-        dates.withColumn("day", F.to_date(TIME))
+        df.select(TIME, F.to_date(TIME).alias("day"))
         .join(F.broadcast(day), "day")
+        .distinct()
         .withColumn("rank", rank)
         .filter(F.col("rank") == F.col("place"))
         .select(F.col(TIME).alias("split_date"))
@@ -61,9 +62,9 @@ def split_test(df: DataFrame, at: Column | None = None, share: float = TRAIN_SHA
 def split_counts(
     df: DataFrame, at: Column | None = None, share: float = TRAIN_SHARE
 ) -> DataFrame:
-    cut = _cut(df, at, share)
-    return df.agg(
-        F.count("*").alias("total_rows"),
-        F.count_if(F.col(TIME) <= cut).alias("train_rows"),
-        F.count_if(F.col(TIME) > cut).alias("test_rows"),
+    early = df.select((F.col(TIME) <= _cut(df, at, share)).alias("early"))
+    return early.groupBy("early").count().agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("total_rows"),
+        F.coalesce(F.sum(F.when(F.col("early"), F.col("count"))), F.lit(0)).alias("train_rows"),
+        F.coalesce(F.sum(F.when(~F.col("early"), F.col("count"))), F.lit(0)).alias("test_rows"),
     ).withColumn("features", F.lit(len(FEATURES)).cast("bigint"))

@@ -89,19 +89,20 @@ def read_bar_grid(
 
 
 def read_permissive(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    schema: T.StructType = RAW_SCHEMA,
-    **options: str,
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = RAW_SCHEMA
 ) -> DataFrame:
     """All lines; one that does not fit the schema has its text in ``_corrupt_record``.
 
-    Split the result with ``good_rows`` and ``rejected_rows``. Every field is
-    parsed whatever the query reads, since a line is judged by all of them.
+    Header and blank lines are left out. Lines are parsed one by one and by all
+    their fields, so the verdict does not depend on the columns a query reads.
+    Split the result with ``good_rows`` and ``rejected_rows``.
     """
-    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    checked = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}
-    return read_csv(spark, paths, wide, **{**checked, **options})
+    fields = [*schema.fields, T.StructField(CORRUPT, T.StringType())]
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "nullValue": NULL_TEXT}
+    line = F.trim("value")
+    lines = spark.read.text(paths).filter((line != "") & (line != ",".join(schema.names)))
+    return lines.select(F.from_csv("value", ddl, options).alias("row")).select("row.*")
 
 
 def good_rows(rows: DataFrame) -> DataFrame:
