@@ -4,7 +4,8 @@ from datetime import datetime, timedelta
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 from barlab.schemas import RAW_SCHEMA  # noqa: E402
 from barlab.session import open_session  # noqa: E402
