@@ -38,17 +38,13 @@ def gain_loss(bars: DataFrame) -> DataFrame:
 
 
 def rolling_ma(bars: DataFrame, chunk_days: int | None = None) -> DataFrame:
-    return over_series(
-        bars, back=LONG_ROWS - 1, chunk_days=chunk_days,
-        looking_back={"MA5": _mean(SHORT_ROWS), "MA20": _mean(LONG_ROWS)},
-    )
+    builds = {"MA5": _mean(SHORT_ROWS), "MA20": _mean(LONG_ROWS)}
+    return over_series(bars, builds, back=LONG_ROWS - 1, chunk_days=chunk_days)
 
 
 def rolling_volatility(bars: DataFrame, chunk_days: int | None = None) -> DataFrame:
-    return over_series(
-        bars, back=SHORT_ROWS - 1, chunk_days=chunk_days,
-        looking_back={"Volatility5": _spread(SHORT_ROWS)},
-    )
+    builds = {"Volatility5": _spread(SHORT_ROWS)}
+    return over_series(bars, builds, back=SHORT_ROWS - 1, chunk_days=chunk_days)
 
 
 def bar_features(
@@ -59,14 +55,13 @@ def bar_features(
     A row is kept when its long average exists, which is already so for the
     first row of a series. ``strict_warmup`` asks for a full frame instead.
     """
-    looking_back = {
+    builds = {
         "MA5": _mean(SHORT_ROWS), "MA20": _mean(LONG_ROWS), "Volatility5": _spread(SHORT_ROWS),
     }
     if strict_warmup:
-        looking_back["_frame"] = lambda w: F.count("*").over(w.rowsBetween(1 - LONG_ROWS, 0))
+        builds["_frame"] = lambda w: F.count("*").over(w.rowsBetween(1 - LONG_ROWS, 0))
     rolled = over_series(
-        gain_loss(price_features(bars)), back=LONG_ROWS - 1,
-        looking_back=looking_back, chunk_days=chunk_days,
+        gain_loss(price_features(bars)), builds, back=LONG_ROWS - 1, chunk_days=chunk_days
     ).filter(F.col("MA20").isNotNull())
     if strict_warmup:
         rolled = rolled.filter(F.col("_frame") == LONG_ROWS)

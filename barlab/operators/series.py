@@ -4,10 +4,10 @@ There may be only a handful of series, one of which holds most of the rows, so
 a window partitioned by series alone would leave nearly all executors idle.
 ``over_series`` cuts every series into calendar chunks instead and sorts each
 chunk on its own. Only the rows next to a cut see too short a frame there. They
-are few (a fixed number per chunk), so a second window puts them in order per
-series and computes them again. Within that second set the neighbours of a row
-to be repaired are all present and adjacent, so the result equals the plain
-window exactly, however sparse the chunks are.
+and their neighbours are few (a fixed number per chunk), so a second window puts
+them in order per series and computes the cut rows again. The neighbours of such
+a row are all present and adjacent there, so the result equals the plain window
+exactly, however sparse the chunks are. Both branches read the same shuffle.
 """
 
 from __future__ import annotations
@@ -46,46 +46,46 @@ def _chunk(days: int | None) -> Column:
 
 def over_series(
     df: DataFrame,
+    builds: Mapping[str, Build],
     back: int = 0,
     ahead: int = 0,
-    looking_back: Mapping[str, Build] | None = None,
-    looking_ahead: Mapping[str, Build] | None = None,
     chunk_days: int | None = None,
 ) -> DataFrame:
     """Add window columns along (Pair, Timeframe) in Date order.
 
-    ``looking_back`` columns may use up to ``back`` rows before the current one,
-    ``looking_ahead`` columns up to ``ahead`` rows after it; each is a function
-    of the ordered window. ``chunk_days=0`` runs the plain window.
+    Each column is a function of the ordered window and may use up to ``back``
+    rows before the current one and ``ahead`` rows after it. ``chunk_days=0``
+    runs the plain window.
     """
-    builds = {**(looking_back or {}), **(looking_ahead or {})}
     columns = df.columns
+
+    def windowed(over: WindowSpec) -> list[Column]:
+        return [build(over).alias(name) for name, build in builds.items()]
+
     if chunk_days == 0:
-        return df.select("*", *[b(plain_window()).alias(n) for n, b in builds.items()])
+        return df.select("*", *windowed(plain_window()))
 
     own = plain_window("_chunk")
-    reach = max(back, ahead)
-
-    def short(rows: int, towards: Callable) -> Column:
-        return towards(F.lit(1), rows).over(own).isNull() if rows else F.lit(False)
-
-    chunked = df.withColumn("_chunk", _chunk(chunk_days)).select(
-        "*",
-        *[b(own).alias(n) for n, b in builds.items()],
-        short(back, F.lag).alias("_cut_before"),
-        short(ahead, F.lead).alias("_cut_after"),
-        (short(reach, F.lag) | short(reach, F.lead)).alias("_edge"),
-    )
-    inner = chunked.filter(~F.col("_edge")).select(*columns, *builds)
-
-    whole = plain_window()
-    repaired = [
-        F.when(F.col(flag), b(whole)).otherwise(F.col(n)).alias(n)
-        for group, flag in ((looking_back, "_cut_before"), (looking_ahead, "_cut_after"))
-        for n, b in (group or {}).items()
-    ]
-    edges = chunked.filter("_edge").select(*columns, *repaired)
-    return inner.unionByName(edges)
+    chunked = df.withColumn("_chunk", _chunk(chunk_days))
+
+    def near_border(before: int, after: int) -> Column:
+        """Fewer than so many rows of the chunk lie before or after this one."""
+        near = F.lit(False)
+        if before:
+            near = near | F.lag(F.lit(1), before).over(own).isNull()
+        if after:
+            near = near | F.lead(F.lit(1), after).over(own).isNull()
+        return near
+
+    cut = near_border(back, ahead).alias("_cut")
+    inner = chunked.select("*", *windowed(own), cut).filter(~F.col("_cut"))
+
+    # A cut row needs ``back`` rows before it and ``ahead`` after it, on either
+    # side of the border; all of them lie within back + ahead rows of a border.
+    reach = back + ahead
+    border = chunked.select("*", cut, near_border(reach, reach).alias("_near")).filter("_near")
+    repaired = border.select("*", *windowed(plain_window())).filter("_cut")
+    return inner.select(*columns, *builds).unionByName(repaired.select(*columns, *builds))
 
 
 def last_rows(df: DataFrame, count: int) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions import prices
 from ..functions.fields import number
@@ -23,14 +24,22 @@ def _lag_builds():
     }
 
 
+def _next_close():
+    return {TARGET_PRICE: lambda w: F.lead("Close", 1).over(w)}
+
+
+def _later_close(horizon: int):
+    return {"_later": lambda w: F.lead("Close", horizon).over(w)}
+
+
 def cast_numeric(df: DataFrame, columns=NUMERIC_PROCESSED) -> DataFrame:
-    return df.withColumns({c: number(c) for c in columns})
+    """The named columns as doubles; those that already are stay untouched."""
+    others = [c for c in columns if df.schema[c].dataType != DoubleType()]
+    return df.withColumns({c: number(c) for c in others}) if others else df
 
 
 def lag_features(processed: DataFrame, chunk_days: int | None = None) -> DataFrame:
-    return over_series(
-        processed, back=_LAG_REACH, looking_back=_lag_builds(), chunk_days=chunk_days
-    )
+    return over_series(processed, _lag_builds(), back=_LAG_REACH, chunk_days=chunk_days)
 
 
 def ma_ratio(processed: DataFrame) -> DataFrame:
@@ -38,10 +47,7 @@ def ma_ratio(processed: DataFrame) -> DataFrame:
 
 
 def target_h1(bars: DataFrame, chunk_days: int | None = None) -> DataFrame:
-    return over_series(
-        bars, ahead=1, chunk_days=chunk_days,
-        looking_ahead={TARGET_PRICE: lambda w: F.lead("Close", 1).over(w)},
-    )
+    return over_series(bars, _next_close(), ahead=1, chunk_days=chunk_days)
 
 
 def _label(later, strict: bool):
@@ -59,10 +65,7 @@ def target_direction(
     A row with no bar that far ahead counts as "not up"; ``strict`` leaves its
     label NULL.
     """
-    led = over_series(
-        bars, ahead=horizon, chunk_days=chunk_days,
-        looking_ahead={"_later": lambda w: F.lead("Close", horizon).over(w)},
-    )
+    led = over_series(bars, _later_close(horizon), ahead=horizon, chunk_days=chunk_days)
     return led.withColumn(TARGET_DIRECTION, _label(F.col("_later"), strict)).drop("_later")
 
 
@@ -78,12 +81,8 @@ def training_frame(
     """
     windowed = over_series(
         cast_numeric(processed),
+        {**_lag_builds(), **_next_close(), **_later_close(horizon)},
         back=_LAG_REACH, ahead=horizon, chunk_days=chunk_days,
-        looking_back=_lag_builds(),
-        looking_ahead={
-            TARGET_PRICE: lambda w: F.lead("Close", 1).over(w),
-            "_later": lambda w: F.lead("Close", horizon).over(w),
-        },
     )
     labelled = ma_ratio(windowed).withColumn(
         TARGET_DIRECTION, _label(F.col("_later"), strict_label)

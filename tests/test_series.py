@@ -43,11 +43,12 @@ def test_chunked_training_frame_equals_plain(uneven, days):
 @pytest.mark.parametrize("back,ahead", [(3, 0), (0, 24), (2, 9), (19, 1)])
 def test_each_reach(uneven, back, ahead):
     builds = {
-        "looking_back": {"b": lambda w: F.sum("Close").over(w.rowsBetween(-back, 0))} if back else {},
-        "looking_ahead": {"a": lambda w: F.lead("Close", ahead).over(w)} if ahead else {},
+        "sum": lambda w: F.sum("Close").over(w.rowsBetween(-back, ahead)),
+        "first": lambda w: F.lag("Close", back).over(w),
+        "last": lambda w: F.lead("Close", ahead).over(w),
     }
-    chunked = over_series(uneven, back, ahead, **builds, chunk_days=1)
-    assert rows(chunked) == rows(over_series(uneven, back, ahead, **builds, chunk_days=0))
+    chunked = over_series(uneven, builds, back, ahead, chunk_days=1)
+    assert rows(chunked) == rows(over_series(uneven, builds, back, ahead, chunk_days=0))
 
 
 def test_nothing_is_lost_or_repeated(uneven):
@@ -76,10 +77,11 @@ def test_rank_limit_runs_before_the_shuffle(uneven):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_no_window_is_partitioned_by_series_alone_over_all_rows(uneven):
-    """The second window sees only rows next to a chunk's border."""
-    chunked = over_series(
-        uneven, 19, 24, {"m": lambda w: F.avg("Close").over(w.rowsBetween(-19, 0))}, chunk_days=4096
-    )
-    plan = chunked._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("_chunk") and "isnull" in plan.lower()
+def test_both_branches_read_one_shuffle(spark, uneven):
+    from barlab.session import written
+
+    stored = written(features.bar_features(uneven))
+    for df in (features.rolling_ma(stored.drop("MA5", "MA20")), training.training_frame(stored),
+               training.lag_features(stored), training.target_direction(stored)):
+        df.collect()
+        assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
