@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import documents as docs
 from ..operators import messages as msg
 from ..operators.forecast import Predictor, forecast
 from ..schemas import HORIZON
+from ..sinks.topics import publish
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -40,6 +42,38 @@ def per_batch_folder(path: str, format: str = "parquet", partition_by: tuple[str
     return write
 
 
+def to_topic(format: str = "kafka", **options: str) -> BatchWriter:
+    """A writer that publishes each batch. A retried batch is published again;
+    readers make rows unique by key, as ``reconcile`` does."""
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        publish(rows, format, **options)
+
+    return write
+
+
+def to_collections(format: str = "mongodb", **options: str) -> BatchWriter:
+    """A writer for document stores: one append per collection.
+
+    ``{collection}`` in an option stands for the collection's name. Documents
+    carry ``_id``, a digest of the message, so a store that replaces by ``_id``
+    holds each message once however often a batch is retried.
+    """
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        digest = F.sha2(F.to_json(F.struct("key", "value")), 256)
+        identified = rows.withColumn("_id", digest).persist()
+        try:
+            for collection in (*docs.COLLECTIONS.values(), docs.FORECASTS, docs.REJECTS):
+                chosen = identified.filter(F.col("collection") == collection).drop("collection")
+                named = {k: v.format(collection=collection) for k, v in options.items()}
+                chosen.write.format(format).mode("append").options(**named).save()
+        finally:
+            identified.unpersist()
+
+    return write
+
+
 def start_forecasts(
     messages: DataFrame,
     predict: Predictor | Transformer,

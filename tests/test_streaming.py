@@ -86,6 +86,29 @@ def test_sink_stores_a_repeated_message_once(spark, tmp_path):
     assert counts == {"lr_signals": 1, "rejects": 2}
 
 
+def test_documents_go_to_one_place_per_collection(spark, tmp_path):
+    source = str(tmp_path / "in")
+    send(spark, source, '{"model":"RandomForest","Pair":"A"}', '{"model":"RF_h1_recursive","hour":1}', "x")
+    write = jobs.to_collections("json", path=str(tmp_path / "{collection}"))
+    jobs.start_document_sink(stream(spark, source), write, str(tmp_path / "cp")).awaitTermination()
+    ids = set()
+    for name in ("rf_predictions", "forecasts", "rejects"):
+        rows = spark.read.json(str(tmp_path / name)).collect()
+        assert len(rows) == 1
+        ids.add(rows[0]["_id"])
+    assert len(ids) == 3
+
+
+def test_forecasts_can_be_published(spark, tmp_path):
+    source, topic = str(tmp_path / "in"), str(tmp_path / "topic")
+    send(spark, source, trigger("A", 1))
+    jobs.start_forecasts(
+        stream(spark, source), step, jobs.to_topic("json", path=topic), str(tmp_path / "cp"),
+        horizon=3, available_now=True,
+    ).awaitTermination()
+    assert [r.key for r in topics.read_topic(spark, "json", path=topic).collect()] == ["A"] * 3
+
+
 def test_batches_are_bounded(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     for i in range(5):
