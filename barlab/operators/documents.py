@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fields import number
+from ..functions.fields import json_field, number
 from .forecast import RECURSIVE_MODEL
 
 # Which model goes to which collection, and the fields kept as text.
@@ -39,12 +39,12 @@ def documents(messages: DataFrame, known_only: bool = False) -> DataFrame:
     an unknown model, or that are no JSON object, go to ``rejects`` with their
     value; ``known_only`` keeps just the three prediction collections.
     """
+    if known_only:
+        messages = messages.filter(json_field("value", "model").isin(*COLLECTIONS))
     fields = F.from_json("value", "map<string,string>")
     parsed = messages.withColumn("fields", fields)
     get = F.col("fields").getItem
     routed = parsed.withColumn("collection", collection_of(get("model")))
-    if known_only:
-        routed = routed.filter(F.col("collection").isin(*COLLECTIONS.values()))
 
     def is_number(name: Column, value: Column) -> Column:
         return ~name.isin(*TEXT_FIELDS) & number(value).isNotNull()

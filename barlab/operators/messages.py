@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.fields import number, text, text_json
 from ..schemas import FEATURES, FORECAST_SCHEMA, TRIGGER_SCHEMA
@@ -26,18 +27,25 @@ def parse_triggers(messages: DataFrame) -> DataFrame:
     Messages without a close or a first lag are no triggers; that includes
     malformed ones, whose fields are all NULL.
     """
-    data = F.from_json("value", TRIGGER_SCHEMA)
     return (
-        messages.select(F.col("timestamp").alias("kafka_timestamp"), data.alias("data"))
-        .filter(F.col("data").isNotNull())
+        _parsed(messages.filter(F.col("value").isNotNull()), TRIGGER_SCHEMA, "timestamp")
         .select(
-            "kafka_timestamp", "data.Date", "data.Pair", "data.Timeframe",
-            *[number(f"data.{name}").alias(name) for name in FEATURES],
+            F.col("timestamp").alias("kafka_timestamp"), "Date", "Pair", "Timeframe",
+            *[number(name).alias(name) for name in FEATURES],
         )
         .filter(F.col("Close").isNotNull() & F.col("Close_lag1").isNotNull())
     )
 
 
+def _parsed(messages: DataFrame, schema: StructType, *keep: str) -> DataFrame:
+    """The fields of the JSON values as columns.
+
+    As a one-element ``inline`` the text is parsed once per message; filters on
+    a plain ``from_json`` column would parse it again for every field they test.
+    """
+    return messages.select(*keep, F.inline(F.array(F.from_json("value", schema))))
+
+
 def tagged_messages(rows: DataFrame, model: str) -> DataFrame:
     """Rows as text-field objects led by the model name; key is Pair, else the model."""
     key = text("Pair") if "Pair" in rows.columns else F.lit(model)
@@ -67,7 +75,7 @@ def forecast_messages(forecasts: DataFrame) -> DataFrame:
 
 
 def parse_forecasts(messages: DataFrame) -> DataFrame:
-    return messages.select(F.from_json("value", FORECAST_SCHEMA).alias("f")).select("f.*")
+    return _parsed(messages, FORECAST_SCHEMA)
 
 
 def publish_counts(messages: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import features, messages, models, split, training
 from ..operators.forecast import trigger_rows
+from ..schemas import TARGET_DIRECTION, TARGET_PRICE
 from ..sinks.files import write_processed, write_table
 from ..sources.files import PAIRS, read_bar_grid, read_first_existing, read_processed
 from ..sources.ticks import TIMEFRAMES
@@ -40,6 +41,11 @@ def prepare(
     )
 
 
+SCORED_COLUMNS = (
+    "Date", "Pair", "Close", TARGET_PRICE, TARGET_DIRECTION, "prediction", "rawPrediction",
+)
+
+
 def prediction_table(scored: DataFrame, model: str) -> DataFrame:
     column = PREDICTION_COLUMNS.get(model)
     return models.price_predictions(scored, column) if column else models.signal_recode(scored)
@@ -58,7 +64,8 @@ def train(
     """Train, score, save and optionally publish; returns the comparison table.
 
     The training frame is written once and read back by the split, the fits and
-    the scoring, so its windows are not computed again for each of them.
+    the scoring; the scored test rows are written once and read back by the
+    files, the messages and the comparison. Nothing is computed twice.
     """
     rows = read_processed(spark, processed, format).filter(
         (F.col("Timeframe") == timeframe) & F.col("Pair").isin(*pairs)
@@ -71,7 +78,13 @@ def train(
     at = F.lit(cut["split_date"])
     fitted = models.fit_models(split.split_train(frame, at), estimators)
     test = split.split_test(frame, at)
-    scored = {name: models.score(model, test) for name, model in fitted.items()}
+    scored = {}
+    for name, model in fitted.items():
+        path = f"{target}/scored/{name}"
+        predictions = models.score(model, test)
+        kept = [c for c in SCORED_COLUMNS if c in predictions.columns]
+        predictions.select(*kept).write.mode("overwrite").parquet(path)
+        scored[name] = spark.read.parquet(path)
     tables = {}
     for name, predictions in scored.items():
         path = f"{target}/{PREDICTION_FILES[name][-1]}"

@@ -18,6 +18,9 @@ TABLES = (
 ).split()
 
 
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
+
+
 def duck(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for table in TABLES:
@@ -54,9 +57,9 @@ def check(spark, connection, name, query, sql, folder) -> str:
     differing = [(a, b) for a, b in zip(left[1], right[1]) if a != b]
     if differing:
         return f"{len(differing)} of {len(left[1])} rows differ, first {differing[0]}"
-    types = [type(v) for v in (left[1][0] if left[1] else ())]
-    other = [type(v) for v in (right[1][0] if right[1] else ())]
-    return "" if types == other else f"types {types} != {other}"
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    odd = {c: (t, types[c]) for c, t in result.dtypes if KINDS.get(t) != types[c]}
+    return f"types {odd}" if odd else ""
 
 
 def main() -> None:
