@@ -80,12 +80,14 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
-def list_array(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
-    """An Arrow list column from one numpy array per row."""
-    ends = np.cumsum([0, *(len(p) for p in parts)])
-    flat = np.concatenate(parts) if parts else np.empty(0)
+def list_array(parts: list[np.ndarray | None], kind: pa.DataType) -> pa.ListArray:
+    """An Arrow list column from one numpy array, or null, per row."""
+    ends = np.cumsum([0, *(0 if p is None else len(p) for p in parts)])
+    held = [p for p in parts if p is not None]
+    flat = np.concatenate(held) if held else np.empty(0)
     return pa.ListArray.from_arrays(
-        pa.array(ends, pa.int32()), pa.array(flat, kind)
+        pa.array(ends, pa.int32()), pa.array(flat, kind),
+        mask=pa.array([p is None for p in parts], pa.bool_()),
     )
 
 

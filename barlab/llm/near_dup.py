@@ -8,26 +8,31 @@
    each. Only those values are listed; a value that very many documents hold is
    rare in no ordinary document and is listed for none. Nothing is dropped:
    any order of the values keeps all pairs, and this one keeps the lists short.
-3. Stars. In each list all members are compared with one of them, in a few
-   rounds with other centres, and only while they are not yet connected. A list
-   of many copies so costs a few comparisons a member.
-4. Members of a list that are still not connected are compared with each other.
-5. A comparison estimates the similarity from the union sketch and, if that
-   leaves it possible, computes it from the shingles of both whole texts.
-
-A wrong answer needs a linked pair whose overlap falls ``SIGMAS`` standard
-deviations below its mean (about 3 in 10 million for pairs right at the limit),
-in every list chain that connects the two documents.
+3. A pair that meets in a list is estimated from the union of its sketches:
+   each sketch is folded into ``BITS`` bits, and more differing bits than the
+   similarity allows rule the pair out. The bits never differ in more places
+   than the sketches do, so no similar pair is lost.
+4. Stars. In each list the members are compared with the most central one, which
+   holds the most widely held values. A group of copies so costs one comparison
+   a member, not one a pair.
+5. What is not connected then is compared with the rest of its lists: with each
+   member of a small component, and with a large one in blocks, one block of
+   sets at a time in an inverted index of its own.
+6. Every link is confirmed on the full shingle sets (64-bit hashes of all
+   shingles) by ``100 * intersection >= percent * union``.
+
+A wrong answer needs a linked pair whose sketch overlap falls ``SIGMAS``
+standard deviations below its mean (about 3 in 10 million for pairs right at
+the limit), in every list chain that connects the two documents.
 
 Nulls: a null or empty text, or one without words, has an empty set and no
 links. A row with a null id is kept and linked with nothing (its component is
-null). Rows that repeat an id count each, as copies if their texts agree.
+null). Ids name documents: rows that share an id are one node, linked if any of
+their texts is.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -40,7 +45,10 @@ from .common import (
 )
 
 SIGMAS = 5.0
-STAR_ROUNDS = 4
+BITS = 256
+# Components from this size on are compared in blocks of at most so many documents.
+LARGE = 64
+BLOCK_DOCS = 512
 
 
 def shingle_hashes(words: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
@@ -55,117 +63,109 @@ def shingle_hashes(words: list[bytes], size: int, hashes: WordHashes) -> np.ndar
     return np.unique(run)
 
 
-def shingle_set(words: list[bytes], size: int) -> set:
-    size = min(size, len(words))
-    return set(zip(*(words[i:] for i in range(size)), strict=False)) if words else set()
-
-
 def sketches(docs: DataFrame, size: int, k: int, id_column: str = "doc_id") -> DataFrame:
-    """Per row: doc_id, n_shingles, set_key (equal for equal sets), sketch."""
+    """Per row: doc_id, n_shingles, set_key (equal for equal sets), sketch, bits.
+
+    ``bits`` has the place of each sketch value modulo ``BITS`` set.
+    """
 
     def rows():
         hashes = WordHashes()
         from hashlib import blake2b
 
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
-            counts, keys, kept = [], [], []
+            counts, keys, kept, bits = [], [], [], []
             for text in batch.column(1).to_pylist():
                 values = shingle_hashes(ascii_words(text and text.lower()), size, hashes)
                 counts.append(len(values))
                 keys.append(blake2b(values.tobytes(), digest_size=16).digest())
                 kept.append(values[:k].view(np.int64))
+                marks = np.zeros(BITS, bool)
+                marks[values[:k] % np.uint64(BITS)] = True
+                bits.append(np.packbits(marks).view(np.int64))
             return batch_of(
                 doc_id=batch.column(0), n_shingles=longs(counts),
                 set_key=pa.array(keys, pa.binary()), sketch=list_array(kept, pa.int64()),
+                bits=list_array(bits, pa.int64()),
             )
 
         return apply
 
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_bytes().alias("text"))
     return map_batches(
-        source, rows, "doc_id long, n_shingles long, set_key binary, sketch array<long>"
+        source, rows, "doc_id long, n_shingles long, set_key binary, sketch array<long>, "
+        "bits array<long>"
     )
 
 
 def _needed(n: Column, k: int, similarity: float) -> Column:
     """Values that the sketches of two similar sets share at least, given one set's size."""
-    spread = SIGMAS * float(np.sqrt(similarity * (1 - similarity) / k))
+    # The union is at most so large, and the sketch of a small union is most of it.
+    union = n / similarity
+    left = F.greatest(union - k, F.lit(0)) / F.greatest(union - 1, F.lit(1))
+    spread = SIGMAS * F.sqrt(left * (similarity * (1 - similarity) * k))
     whole = F.ceil(n * similarity - 1e-9)          # both sketches hold their whole sets
-    part = F.ceil(F.least(n, F.lit(k)) * (similarity - spread))
+    part = F.ceil(F.least(n, F.lit(k)) * similarity - spread - 1e-9)
     return F.greatest(F.when(n <= int(k * similarity), whole).otherwise(part), F.lit(1))
 
 
 def _lists(units: DataFrame, k: int, similarity: float) -> DataFrame:
-    """(value, doc, n) for the rarest values of each sketch that others hold too."""
-    held = units.select("doc", "n", F.size("sketch").alias("kept"),
-                        F.explode("sketch").alias("value"))
+    """(value, doc, held) for the rarest values of each sketch that others hold too.
+
+    ``held`` sums up how widely the document's shared values are held.
+    """
+    listed = units.select("doc", F.explode("sketch").alias("value"))
     common = (
-        held.groupBy("value").agg(F.count("*").alias("holders")).filter("holders > 1")
+        listed.groupBy("value").agg(F.count("*").alias("holders")).filter("holders > 1")
     )
-    shared = held.join(common, "value")
     of_doc = Window.partitionBy("doc")
-    # Values that no other sketch holds come first; they need no list.
-    alone = F.col("kept") - F.count("*").over(of_doc)
-    place = alone + F.row_number().over(of_doc.orderBy("holders", "value"))
-    listed = shared.withColumn("place", place).filter(
-        F.col("place") <= F.col("kept") - _needed(F.col("n"), k, similarity) + 1
+    placed = listed.join(common, "value").select(
+        "value", "doc",
+        F.row_number().over(of_doc.orderBy("holders", "value")).alias("nth"),
+        F.count("*").over(of_doc).alias("shared"),
+        F.sum("holders").over(of_doc).alias("held"),
+    )
+    bound = units.select(
+        F.col("doc").alias("of"), F.size("sketch").alias("kept"),
+        (F.size("sketch") - _needed(F.col("n"), k, similarity) + 1).alias("last"),
     )
-    return listed.select("value", "doc", "n")
+    # Values that no other sketch holds come first; they need no list.
+    return placed.join(bound, placed["doc"] == bound["of"]).filter(
+        F.col("kept") - F.col("shared") + F.col("nth") <= F.col("last")
+    ).select("value", "doc", "held")
 
 
-def _estimate_rows(k: int, similarity: float):
-    """Keeps the pairs whose union sketch leaves the similarity possible."""
+def _possible(one: str, other: str, k: int, percent: int) -> Column:
+    """Whether sizes and folded sketches leave the similarity possible.
 
-    def rows():
-        def apply(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-            a, b, sketch_a, sketch_b = batch.columns
-            offsets_a, offsets_b = sketch_a.offsets.to_numpy(), sketch_b.offsets.to_numpy()
-            flat_a = sketch_a.values.to_numpy().view(np.uint64)
-            flat_b = sketch_b.values.to_numpy().view(np.uint64)
-            keep = np.zeros(len(batch), bool)
-            for i in range(len(batch)):
-                left = flat_a[offsets_a[i]:offsets_a[i + 1]]
-                right = flat_b[offsets_b[i]:offsets_b[i + 1]]
-                both = np.sort(np.concatenate([left, right]))
-                twice = both[1:] == both[:-1]
-                new = np.concatenate([[True], ~twice])
-                rank = np.cumsum(new)
-                union = min(int(rank[-1]), k)
-                # Beyond k values the union sketch is no longer complete.
-                common = int(np.count_nonzero(twice & (rank[1:] <= union)))
-                slack = 0.0
-                if union == k:
-                    slack = SIGMAS * np.sqrt(similarity * (1 - similarity) / k)
-                keep[i] = common >= (similarity - slack) * union - 1e-9
-            return batch_of(a=a, b=b).filter(pa.array(keep))
+    The arguments name structs with n, needed, kept and bits.
+    """
+    n, m = F.col(f"{one}.n"), F.col(f"{other}.n")
+    differing = F.lit(0)
+    for i in range(BITS // 64):
+        differing = differing + F.bit_count(
+            F.col(f"{one}.bits")[i].bitwiseXOR(F.col(f"{other}.bits")[i])
+        )
+    needed = F.greatest(F.col(f"{one}.needed"), F.col(f"{other}.needed"))
+    most = F.col(f"{one}.kept") + F.col(f"{other}.kept") - 2 * needed
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (differing <= most)
 
-        return apply
 
-    return rows
+def _similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(left, right, assume_unique=True))
+    return 100 * common >= percent * (len(left) + len(right) - common)
 
 
-def _verify_rows(size: int, percent: int):
-    """Keeps the pairs of texts whose whole shingle sets are similar enough."""
+def _confirm(percent: int):
+    """Keeps the pairs whose full shingle sets are similar enough."""
 
     def rows():
-        recent: OrderedDict[int, set] = OrderedDict()
-
-        def shingles(doc: int, text: bytes) -> set:
-            found = recent.get(doc)
-            if found is None:
-                found = recent[doc] = shingle_set(ascii_words(text.lower()), size)
-                if len(recent) > 4:
-                    recent.popitem(last=False)
-            return found
-
-        def apply(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-            a, b, text_a, text_b = batch.columns
-            keep = []
-            for i, (x, y) in enumerate(zip(a.to_pylist(), b.to_pylist(), strict=True)):
-                left = shingles(x, text_a[i].as_py())
-                right = shingle_set(ascii_words(text_b[i].as_py().lower()), size)
-                common = len(left & right)
-                keep.append(100 * common >= percent * (len(left) + len(right) - common))
+        def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
+            a, b, left, right = batch.columns
+            keep = [
+                _similar(x.values.to_numpy(), y.values.to_numpy(), percent)
+                for x, y in zip(left, right, strict=True)
+            ]
             return batch_of(a=a, b=b).filter(pa.array(keep, pa.bool_()))
 
         return apply
@@ -173,6 +173,37 @@ def _verify_rows(size: int, percent: int):
     return rows
 
 
+def _against_block(percent: int):
+    """Links between outside documents and the members of one block of a component."""
+
+    def links(members: pa.Table, asked: pa.Table) -> pa.Table:
+        a, b = [], []
+        if len(members) and len(asked):
+            sets = [x.values.to_numpy() for x in members.column("shingles")]
+            values = np.concatenate(sets)
+            sizes = np.array([len(s) for s in sets])
+            owner = np.repeat(np.arange(len(sets)), sizes)
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], owner[order]
+            names = members.column("doc").to_numpy()
+            for doc, wanted in zip(
+                asked.column("asker").to_pylist(), asked.column("wanted"), strict=True
+            ):
+                own = wanted.values.to_numpy()
+                low = np.searchsorted(values, own, "left")
+                high = np.searchsorted(values, own, "right")
+                runs = high - low
+                at = np.repeat(high - np.cumsum(runs), runs) + np.arange(runs.sum())
+                common = np.bincount(owner[at], minlength=len(sizes))
+                near = names[100 * common >= percent * (sizes + len(own) - common)]
+                if len(near):  # the members are connected, so one link to them says it all
+                    a.append(doc)
+                    b.append(int(near.min()))
+        return pa.table({"a": longs(a), "b": longs(b)})
+
+    return links
+
+
 def class_table(docs: DataFrame, size: int, k: int) -> DataFrame:
     """The sketches of all rows, written once."""
     return written(sketches(docs, size, k), "sketches")
@@ -187,7 +218,6 @@ def near_duplicates(
     of ``shingle_words``-word runs; ``component_id`` is the smallest id that
     links lead to.
     """
-    similarity = percent / 100
     rows = class_table(docs, shingle_words, k)
     classes = (
         rows.filter("n_shingles > 0 and doc_id is not null")
@@ -196,108 +226,144 @@ def near_duplicates(
     # The id is part of the key, so a class of very many copies meets in no single task.
     units = written(
         rows.withColumnRenamed("doc_id", "doc").join(classes, ["set_key", "doc"])
-        .select("doc", F.col("n_shingles").alias("n"), "sketch").dropDuplicates(["doc", "n"]),
+        .select("doc", F.col("n_shingles").alias("n"), "sketch", "bits")
+        .dropDuplicates(["doc"]),
         "units",
     )
-    lists = written(_lists(units, k, similarity), "lists")
-    links = _links(docs, units, lists, shingle_words, percent, k)
-    joined = components(links)
+    joined = components(_links(docs, units, shingle_words, percent, k))
     named = classes.join(joined, classes["doc"] == joined["node"], "left").select(
         "set_key", F.coalesce("component", "doc").alias("component_id")
     )
-    return rows.drop("sketch").join(named, "set_key", "left").select(
+    return rows.drop("sketch", "bits").join(named, "set_key", "left").select(
         "doc_id", "n_shingles",
         F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component_id")), "doc_id")
         .alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _links(
-    docs: DataFrame, units: DataFrame, lists: DataFrame, size: int, percent: int, k: int
-) -> DataFrame:
-    similarity = percent / 100
-    spark = docs.sparkSession
-    common = lists.groupBy("value").agg(F.count("*").alias("members")).filter("members > 1")
-    lists = written(lists.join(common.select("value"), "value"), "lists")
-    listed = lists.select("doc").distinct()
-    # Only documents in some list are ever compared; their texts are set aside.
-    compared = written(
-        units.join(listed, "doc").join(
-            docs.select(F.col("doc_id").cast("long").alias("doc"), text_bytes().alias("text")),
-            "doc",
-        ),
-        "compared",
-    )
+def _shingles(docs: DataFrame, listed: DataFrame, size: int) -> DataFrame:
+    """(doc, shingles): the full sets, sorted, of the listed documents."""
 
-    def side(name: str, column: str) -> DataFrame:
-        return compared.select(F.col("doc").alias(name), F.col(column).alias(f"{column}_{name}"))
+    def rows():
+        hashes = WordHashes()
 
-    def confirmed(pairs: DataFrame, label: str) -> DataFrame:
-        sketched = (
-            pairs.join(side("a", "sketch"), "a").join(side("b", "sketch"), "b")
-            .select("a", "b", "sketch_a", "sketch_b")
-        )
-        likely = written(
-            map_batches(sketched, _estimate_rows(k, similarity), "a long, b long"),
-            f"{label}-likely",
-        )
-        texts = (
-            likely.join(side("a", "text"), "a").join(side("b", "text"), "b")
-            .select("a", "b", "text_a", "text_b").sortWithinPartitions("a")
-        )
-        return written(
-            map_batches(texts, _verify_rows(size, percent), "a long, b long"), label
-        )
+        def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = [
+                shingle_hashes(ascii_words(text and text.lower()), size, hashes).view(np.int64)
+                for text in batch.column(1).to_pylist()
+            ]
+            return batch_of(
+                doc=batch.column(0),
+                shingles=list_array([np.sort(f) for f in found], pa.int64()),
+            )
 
-    links = spark.createDataFrame([], "a long, b long")
-    state = lists.select("value", "doc", "n", F.col("doc").alias("component"))
-    for turn in range(STAR_ROUNDS):
-        order = F.xxhash64("doc", F.lit(turn))
-        centres = state.groupBy("value").agg(
-            F.min(F.struct(order.alias("order"), "doc", "n", "component")).alias("centre"),
-            F.min("component").alias("low"), F.max("component").alias("high"),
-        ).filter("low <> high").select(
-            "value", F.col("centre.doc").alias("c"), F.col("centre.n").alias("n_c"),
-            F.col("centre.component").alias("of_c"),
-        )
-        stars = (
-            state.join(centres, "value")
-            .filter(F.col("component") != F.col("of_c"))
-            .filter(_similar_sizes("n", "n_c", percent))
-            .select(F.col("c").alias("a"), F.col("doc").alias("b")).distinct()
-        )
-        found = confirmed(stars, f"star{turn}")
-        if found.isEmpty():
-            break
-        links = written(links.union(found), "links")
-        state = _state(lists, links)
-    x, y = state.alias("x"), state.alias("y")
-    rest = (
-        x.join(
-            y,
-            (F.col("x.value") == F.col("y.value")) & (F.col("x.doc") < F.col("y.doc"))
-            & (F.col("x.component") != F.col("y.component"))
-            & _similar_sizes("x.n", "y.n", percent),
-        )
-        .select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
-    )
-    return links.union(confirmed(rest, "rest"))
+        return apply
 
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), text_bytes().alias("text"))
+    return map_batches(texts.join(listed, "doc"), rows, "doc long, shingles array<long>")
 
-def _similar_sizes(n: str, m: str, percent: int) -> Column:
-    low, high = F.least(F.col(n), F.col(m)), F.greatest(F.col(n), F.col(m))
-    return low * 100 >= high * percent
 
+def _links(docs: DataFrame, units: DataFrame, size: int, percent: int, k: int) -> DataFrame:
+    """(a, b): enough confirmed links to connect all that links connect."""
+    similarity = percent / 100
+    lists = written(_lists(units, k, similarity), "lists")
+    several = lists.groupBy("value").agg(
+        F.max_by("doc", F.struct("held", -F.col("doc"))).alias("centre"),
+        F.count("*").alias("members"),
+    ).filter("members > 1").drop("members")
+    outline = units.select(F.col("doc").alias("of"), F.struct(
+        "n", F.size("sketch").alias("kept"),
+        _needed(F.col("n"), k, similarity).cast("int").alias("needed"), "bits",
+    ).alias("outline"))
+    met = lists.select("value", "doc").join(several, "value").filter("doc <> centre").select(
+        F.col("centre").alias("a"), F.col("doc").alias("b")
+    ).distinct()
+    x = outline.select(F.col("of").alias("a"), F.col("outline").alias("x"))
+    y = outline.select(F.col("of").alias("b"), F.col("outline").alias("y"))
+    stars = written(
+        met.join(x, "a").join(y, "b").filter(_possible("x", "y", k, percent)).select("a", "b"),
+        "stars",
+    )
+    # Only documents in some star or in a list with another are compared at all.
+    listed = lists.join(several, "value").select("doc").distinct()
+    sets = written(_shingles(docs, listed, size), "sets")
+
+    def confirmed(pairs: DataFrame, label: str) -> DataFrame:
+        left = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("left"))
+        right = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("right"))
+        both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+        return written(map_batches(both, _confirm(percent), "a long, b long"), label)
 
-def _state(lists: DataFrame, links: DataFrame) -> DataFrame:
-    """The lists with each member's component, without lists that are one component."""
+    links = confirmed(stars, "star-links")
     joined = components(links)
-    labelled = lists.join(joined, lists["doc"] == joined["node"], "left").select(
-        "value", "doc", "n", F.coalesce("component", "doc").alias("component")
-    )
+    labelled = lists.select("value", "doc").join(several.select("value"), "value").join(
+        joined, F.col("doc") == joined["node"], "left"
+    ).select("value", "doc", F.coalesce("component", "doc").alias("component"))
     split = (
         labelled.groupBy("value")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .filter("low <> high").select("value")
     )
-    return written(labelled.join(split, "value"), "open-lists")
+    sizes = joined.groupBy("component").agg(F.count("*").alias("docs")).filter(
+        F.col("docs") >= LARGE
+    )
+    still = written(
+        labelled.join(split, "value").join(sizes, "component", "left")
+        .join(outline, F.col("doc") == outline["of"])
+        .select("value", "doc", "component", "docs", "outline"),
+        "open-lists",
+    )
+    small = still.filter("docs is null")
+    one, other = small.alias("one"), small.alias("other")
+    pairs = one.join(
+        other,
+        (F.col("one.value") == F.col("other.value")) & (F.col("one.doc") < F.col("other.doc"))
+        & (F.col("one.component") != F.col("other.component"))
+        & _possible("one.outline", "other.outline", k, percent),
+    ).select(F.col("one.doc").alias("a"), F.col("other.doc").alias("b")).distinct()
+    links = links.union(confirmed(pairs, "small-links"))
+    return links.union(written(_large_links(still, joined, sets, percent), "large-links"))
+
+
+def _large_links(
+    still: DataFrame, joined: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
+    """Links from the large components to other members of their lists.
+
+    Of two large components the members of the smaller one are looked up in the
+    blocks of the larger one.
+    """
+    large = still.filter("docs is not null").groupBy("value", "component").agg(
+        F.max("docs").alias("docs")
+    )
+    outside = still.select("value", "doc", F.col("component").alias("own"), "docs")
+    size = F.coalesce(F.col("o.docs"), F.lit(0))
+    wanted = large.alias("l").join(
+        outside.alias("o"),
+        (F.col("l.value") == F.col("o.value"))
+        & (F.struct(F.col("l.docs"), F.col("l.component")) > F.struct(size, F.col("o.own"))),
+    ).select("l.component", "l.docs", "o.doc").distinct()
+    # Blocks of members meet packs of askers, so a cell is bounded on both sides.
+    parts = F.floor(F.col("docs") / BLOCK_DOCS) + 1
+    packs = wanted.groupBy("component").agg(
+        (F.floor(F.count("*") / BLOCK_DOCS) + 1).alias("packs")
+    )
+
+    def numbers(upto: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), upto - 1))
+
+    asked = wanted.join(packs, "component").select(
+        "component", numbers(parts).alias("part"),
+        F.pmod(F.xxhash64("doc"), F.col("packs")).alias("pack"), "doc",
+    ).join(sets, "doc").select(
+        "component", "part", "pack", F.col("doc").alias("asker"),
+        F.col("shingles").alias("wanted"),
+    ).toDF("to", "of_part", "of_pack", "asker", "wanted")
+    sizes = large.groupBy("component").agg(F.max("docs").alias("docs"))
+    members = joined.join(sizes, "component").join(packs, "component").select(
+        "component", F.pmod(F.xxhash64("node"), parts).alias("part"),
+        numbers(F.col("packs")).alias("pack"), F.col("node").alias("doc"),
+    ).join(sets, "doc").select("component", "part", "pack", "doc", "shingles")
+    return members.groupBy("component", "part", "pack").cogroup(
+        asked.groupBy("to", "of_part", "of_pack")
+    ).applyInArrow(_against_block(percent), "a long, b long")
