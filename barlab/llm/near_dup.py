@@ -15,9 +15,10 @@
 4. Stars. In each list the members are compared with the most central one, which
    holds the most widely held values. A group of copies so costs one comparison
    a member, not one a pair.
-5. What is not connected then is compared with the rest of its lists: with each
-   member of a small component, and with a large one in blocks, one block of
-   sets at a time in an inverted index of its own.
+5. What is not connected then is compared with the rest of its lists: in short
+   lists pair by pair, in crowded lists and with large components in cells of two
+   blocks, with an inverted index of the full sets in each cell. Cells send on
+   only what connects, so no group emits its pairs.
 6. Every link is confirmed on the full shingle sets (64-bit hashes of all
    shingles) by ``100 * intersection >= percent * union``.
 
@@ -46,9 +47,10 @@ from .common import (
 
 SIGMAS = 5.0
 BITS = 256
-# Components from this size on are compared in blocks of at most so many documents.
+# Components and lists from this size on are compared in blocks of about so many documents.
 LARGE = 64
 BLOCK_DOCS = 512
+CROWD_DOCS = 2_048
 
 
 def shingle_hashes(words: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
@@ -173,29 +175,41 @@ def _confirm(percent: int):
     return rows
 
 
+class _Sets:
+    """An inverted index of the full sets of some documents."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        values = np.concatenate(sets)
+        self.sizes = np.array([len(s) for s in sets])
+        order = np.argsort(values, kind="stable")
+        self.values = values[order]
+        self.owner = np.repeat(np.arange(len(sets)), self.sizes)[order]
+
+    def near(self, own: np.ndarray, percent: int) -> np.ndarray:
+        """Numbers of the documents whose sets are similar enough to ``own``."""
+        low = np.searchsorted(self.values, own, "left")
+        runs = np.searchsorted(self.values, own, "right") - low
+        at = np.repeat(low - np.cumsum(runs) + runs, runs) + np.arange(runs.sum())
+        common = np.bincount(self.owner[at], minlength=len(self.sizes))
+        return np.flatnonzero(100 * common >= percent * (self.sizes + len(own) - common))
+
+
+def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
+    return [x.values.to_numpy() for x in column]
+
+
 def _against_block(percent: int):
     """Links between outside documents and the members of one block of a component."""
 
     def links(members: pa.Table, asked: pa.Table) -> pa.Table:
         a, b = [], []
         if len(members) and len(asked):
-            sets = [x.values.to_numpy() for x in members.column("shingles")]
-            values = np.concatenate(sets)
-            sizes = np.array([len(s) for s in sets])
-            owner = np.repeat(np.arange(len(sets)), sizes)
-            order = np.argsort(values, kind="stable")
-            values, owner = values[order], owner[order]
+            index = _Sets(_arrays(members.column("shingles")))
             names = members.column("doc").to_numpy()
-            for doc, wanted in zip(
-                asked.column("asker").to_pylist(), asked.column("wanted"), strict=True
+            for doc, own in zip(
+                asked.column("asker").to_pylist(), _arrays(asked.column("wanted")), strict=True
             ):
-                own = wanted.values.to_numpy()
-                low = np.searchsorted(values, own, "left")
-                high = np.searchsorted(values, own, "right")
-                runs = high - low
-                at = np.repeat(high - np.cumsum(runs), runs) + np.arange(runs.sum())
-                common = np.bincount(owner[at], minlength=len(sizes))
-                near = names[100 * common >= percent * (sizes + len(own) - common)]
+                near = names[index.near(own, percent)]
                 if len(near):  # the members are connected, so one link to them says it all
                     a.append(doc)
                     b.append(int(near.min()))
@@ -204,6 +218,33 @@ def _against_block(percent: int):
     return links
 
 
+def _within_cell(percent: int):
+    """Links that connect what is similar in a cell, one fewer than it connects at most."""
+
+    def links(cell: pa.Table) -> pa.Table:
+        sets, names = _arrays(cell.column("shingles")), cell.column("doc").to_pylist()
+        index = _Sets(sets)
+        group = list(range(len(sets)))
+
+        def first(i: int) -> int:
+            while group[i] != i:
+                group[i] = group[group[i]]
+                i = group[i]
+            return i
+
+        a, b = [], []
+        for i, own in enumerate(sets):
+            for j in index.near(own, percent).tolist():
+                x, y = first(i), first(j)
+                if x != y:
+                    group[max(x, y)] = min(x, y)
+                    a.append(names[i])
+                    b.append(names[j])
+        return pa.table({"a": longs(a), "b": longs(b)})
+
+    return links
+
+
 def class_table(docs: DataFrame, size: int, k: int) -> DataFrame:
     """The sketches of all rows, written once."""
     return written(sketches(docs, size, k), "sketches")
@@ -296,9 +337,9 @@ def _links(docs: DataFrame, units: DataFrame, size: int, percent: int, k: int) -
 
     links = confirmed(stars, "star-links")
     joined = components(links)
-    labelled = lists.select("value", "doc").join(several.select("value"), "value").join(
+    labelled = lists.select("value", "doc").join(several, "value").join(
         joined, F.col("doc") == joined["node"], "left"
-    ).select("value", "doc", F.coalesce("component", "doc").alias("component"))
+    ).select("value", "doc", "centre", F.coalesce("component", "doc").alias("component"))
     split = (
         labelled.groupBy("value")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -310,10 +351,17 @@ def _links(docs: DataFrame, units: DataFrame, size: int, percent: int, k: int) -
     still = written(
         labelled.join(split, "value").join(sizes, "component", "left")
         .join(outline, F.col("doc") == outline["of"])
-        .select("value", "doc", "component", "docs", "outline"),
+        .select("value", "doc", "centre", "component", "docs", "outline"),
         "open-lists",
     )
     small = still.filter("docs is null")
+    crowded = small.groupBy("value").agg(F.count("*").alias("crowd")).filter(
+        F.col("crowd") >= LARGE
+    )
+    crowds = written(
+        small.join(crowded, "value").select("centre", "doc").distinct(), "crowds"
+    )
+    small = small.join(crowded, "value", "left_anti")
     one, other = small.alias("one"), small.alias("other")
     pairs = one.join(
         other,
@@ -322,9 +370,33 @@ def _links(docs: DataFrame, units: DataFrame, size: int, percent: int, k: int) -
         & _possible("one.outline", "other.outline", k, percent),
     ).select(F.col("one.doc").alias("a"), F.col("other.doc").alias("b")).distinct()
     links = links.union(confirmed(pairs, "small-links"))
+    links = links.union(written(_crowd_links(crowds, sets, percent), "crowd-links"))
     return links.union(written(_large_links(still, joined, sets, percent), "large-links"))
 
 
+def _numbers(upto: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), upto - 1))
+
+
+def _crowd_links(crowds: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among the members of crowded lists, which have their lists' centre in common."""
+    blocks = crowds.groupBy("centre").agg(
+        (F.floor(F.count("*") / CROWD_DOCS) + 1).alias("blocks")
+    )
+    dealt = crowds.join(blocks, "centre").select(
+        "centre", "doc", F.pmod(F.xxhash64("doc"), F.col("blocks")).alias("own"),
+        _numbers(F.col("blocks")).alias("other"),
+    )
+    # Every two blocks of a crowd meet in one cell.
+    cells = dealt.join(sets, "doc").select(
+        "centre", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        "doc", "shingles",
+    )
+    return cells.groupBy("centre", "low", "high").applyInArrow(
+        _within_cell(percent), "a long, b long"
+    )
+
+
 def _large_links(
     still: DataFrame, joined: DataFrame, sets: DataFrame, percent: int
 ) -> DataFrame:
@@ -349,11 +421,8 @@ def _large_links(
         (F.floor(F.count("*") / BLOCK_DOCS) + 1).alias("packs")
     )
 
-    def numbers(upto: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), upto - 1))
-
     asked = wanted.join(packs, "component").select(
-        "component", numbers(parts).alias("part"),
+        "component", _numbers(parts).alias("part"),
         F.pmod(F.xxhash64("doc"), F.col("packs")).alias("pack"), "doc",
     ).join(sets, "doc").select(
         "component", "part", "pack", F.col("doc").alias("asker"),
@@ -362,7 +431,7 @@ def _large_links(
     sizes = large.groupBy("component").agg(F.max("docs").alias("docs"))
     members = joined.join(sizes, "component").join(packs, "component").select(
         "component", F.pmod(F.xxhash64("node"), parts).alias("part"),
-        numbers(F.col("packs")).alias("pack"), F.col("node").alias("doc"),
+        _numbers(F.col("packs")).alias("pack"), F.col("node").alias("doc"),
     ).join(sets, "doc").select("component", "part", "pack", "doc", "shingles")
     return members.groupBy("component", "part", "pack").cogroup(
         asked.groupBy("to", "of_part", "of_pack")
