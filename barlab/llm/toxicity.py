@@ -11,7 +11,8 @@
 3. The restored words give the features: the words and their beginnings. Those
    that tell the labelled rows apart best (chi-squared over a bounded sample of
    labelled rows) enter a logistic regression by their presence anywhere in the
-   text, so one passage decides, however long the text around it.
+   text, so one passage decides, however long the text around it. A beginning
+   that two different words of a text share is a feature of its own.
 
 Only labels outside the held-out fold are read: rows whose ``crc32`` of the id
 as text has remainder ``HELD_OUT`` modulo ``FOLDS`` are never learned from.
@@ -37,11 +38,11 @@ from ..session import written
 from .common import batch_of, list_array, longs, map_batches
 
 SAMPLE = 12_000
-FEATURES = 400
+FEATURES = 600
 LEAST_ROWS = 5
 FOLDS, HELD_OUT = 3, 1
 REMEMBERED = 200_000
-BEGINNINGS = (4, 5, 6, 7, 8)
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
 
 # The letters the trigram model tells apart; any other one is the last symbol.
 ALPHABET = " abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþßÿ?"
@@ -57,7 +58,8 @@ LOOKS_LIKE = {
 _SEPARATORS = frozenset("._-*~'`^·​‌‍­")
 
 # Logarithms of the channel's probabilities.
-_KEEP, _STANDS_FOR, _DROP, _REPEAT = 0.0, np.log(0.2), np.log(0.3), np.log(0.5)
+_KEEP, _STANDS_FOR, _REPEAT = 0.0, np.log(0.2), np.log(0.5)
+_DROP_SEPARATOR, _DROP_SIGN, _DROP_LETTER = np.log(0.3), np.log(0.05), np.log(1e-6)
 
 _EDGES = ".,;:?!\"'()[]{}<>*%&#=/\\~`_-…«»“”„’‘"
 _DISGUISE = re.compile(
@@ -125,17 +127,19 @@ class CharacterModel:
     def restore(self, word: str) -> str:
         """The likeliest letters behind a disguised word (Viterbi over its lattice).
 
-        A state is the last two letters and whether the last input character
-        gave the last letter; a step keeps the best path to each state.
+        A state is the last two letters; a step keeps the best path to each state.
         """
         log = self.log
-        # (before, last) -> (score, letters, whether the last letter can be repeated by the next)
+        drawn_out = {c for c, again, more in zip(word, word[1:], word[2:]) if c == again == more}
         best: dict[tuple[int, int], tuple[float, str]] = {(_EDGE, _EDGE): (0.0, "")}
         for c in word:
             step: dict[tuple[int, int], tuple[float, str]] = {}
             options = [(c, _KEEP)] if c.isalpha() else []
             options += [(o, _STANDS_FOR) for o in LOOKS_LIKE.get(c, "")]
-            droppable = c in _SEPARATORS or not c.isalpha()
+            drop = (
+                _DROP_SEPARATOR if c in _SEPARATORS
+                else _DROP_LETTER if c in LOOKS_LIKE else _DROP_SIGN
+            )
             for (before, last), (score, letters) in best.items():
                 for letter, cost in options:
                     code = _SYMBOL.get(letter, _OTHER)
@@ -143,13 +147,13 @@ class CharacterModel:
                     key = (last, code)
                     if key not in step or new > step[key][0]:
                         step[key] = (new, letters + letter)
-                    if letters and letters[-1] == letter:
+                    if c in drawn_out and letters and letters[-1] == letter:
                         again = score + cost + _REPEAT
                         key = (before, last)
                         if key not in step or again > step[key][0]:
                             step[key] = (again, letters)
-                if droppable or not options:
-                    gone = score + (_DROP if c in _SEPARATORS else 4 * _DROP)
+                if not c.isalpha():
+                    gone = score + drop
                     key = (before, last)
                     if key not in step or gone > step[key][0]:
                         step[key] = (gone, letters)
@@ -204,6 +208,10 @@ def _code(feature: str) -> int:
     return xxhash.xxh3_64_intdigest(feature.encode()) - (1 << 63)
 
 
+# Turns the code of a feature into that of several words having it.
+_SHARED = 0x5DEECE66D
+
+
 class _Codes(dict):
     def __missing__(self, word: str) -> list[int]:
         if len(self) >= REMEMBERED:
@@ -230,7 +238,8 @@ class _Scorer(dict):
         if len(self) >= REMEMBERED:
             self.clear()
         value = self[word] = tuple(
-            c for c in (map(_code, _word_features(word)) if word else ()) if c in self.weights
+            c for c in (map(_code, _word_features(word)) if word else ())
+            if c in self.weights or c ^ _SHARED in self.weights
         )
         return value
 
@@ -239,8 +248,13 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
+def _with_shared(counts: Counter) -> set[int]:
+    """The features of a text, and apart those that several of its words have."""
+    return {*counts, *(c ^ _SHARED for c, n in counts.items() if n > 1)}
+
+
 def _features_of(texts: list[str | None], restorer: Restorer, codes: _Codes) -> list[set[int]]:
-    return [{c for w in restorer.words(t) for c in codes[w]} for t in texts]
+    return [_with_shared(Counter(c for w in restorer.words(t) for c in codes[w])) for t in texts]
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityModel:
@@ -358,8 +372,10 @@ def score(docs: DataFrame, model: ToxicityModel, least: float = 0.7) -> DataFram
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
             sums = []
             for text in batch.column(1).to_pylist():
-                present = {c for w in restorer.words(text) for c in scorer[w]}
-                sums.append(fitted.intercept + sum(fitted.weights[c] for c in sorted(present)))
+                counts = Counter(c for w in restorer.words(text) for c in scorer[w])
+                sums.append(fitted.intercept + sum(
+                    fitted.weights.get(c, 0.0) for c in sorted(_with_shared(counts))
+                ))
             scores = 0.5 * (1 + np.tanh(np.array(sums) / 2))
             return batch_of(doc_id=batch.column(0), score=pa.array(scores))
 
