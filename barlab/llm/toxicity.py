@@ -40,6 +40,7 @@ from .common import batch_of, list_array, longs, map_batches
 SAMPLE = 12_000
 FEATURES = 600
 LEAST_ROWS = 5
+MARKED_WEIGHT = 3.0
 FOLDS, HELD_OUT = 3, 1
 REMEMBERED = 200_000
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
@@ -335,10 +336,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityM
     )
 
 
-def _logistic(groups, size: int, steps: int = 300, penalty: float = 1e-3, rate: float = 0.2):
+def _logistic(groups, size: int, steps: int = 1_000, penalty: float = 1e-5, rate: float = 0.2):
     """Weights and intercept by Adam on weighted groups of equal rows."""
     marks = np.array([r.toxic for r in groups], float)
-    times = np.array([r.n for r in groups], float)
+    # Marked rows are few; without more weight one marked word would not outweigh the intercept.
+    times = np.array([r.n * (MARKED_WEIGHT if r.toxic else 1.0) for r in groups])
     lengths = [len(r["index"]) for r in groups]
     row_of = np.repeat(np.arange(len(groups)), lengths)
     index = np.array([i for r in groups for i in r["index"]], np.int64)
@@ -351,7 +353,7 @@ def _logistic(groups, size: int, steps: int = 300, penalty: float = 1e-3, rate:
         score = np.bincount(row_of, theta[index], len(groups)) + theta[size]
         error = (0.5 * (1 + np.tanh(score / 2)) - marks) * times / total
         gradient = np.append(
-            np.bincount(index, error[row_of], size) + penalty / 10 * theta[:size], error.sum()
+            np.bincount(index, error[row_of], size) + penalty * theta[:size], error.sum()
         )
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.999 * square + 0.001 * gradient ** 2
