@@ -384,21 +384,21 @@ def oracles() -> dict[str, str]:
             f"""SELECT count(*)::BIGINT AS records, min("Close") AS min_close, max("Close") AS max_close,
                 round(avg("Close"), 6) AS avg_close, round(avg("ChangePct"), 6) AS avg_change_pct,
                 round(avg("Volatility5"), 6) AS avg_volatility
-            FROM processed WHERE "Pair" = '{REPORT_PAIR}'""", "processed"),
+            FROM processed WHERE "Pair" = '{REPORT_PAIR}'""", "processed", timeframe="1d"),
         "top_volatile": _sql(
             f"""SELECT "Date", "Close", "ChangePct", {_r('Volatility5')} FROM (
                 SELECT * FROM processed WHERE "Pair" = '{REPORT_PAIR}'
-                ORDER BY "Volatility5" DESC NULLS LAST, "Date" LIMIT 10)""", "processed"),
+                ORDER BY "Volatility5" DESC NULLS LAST, "Date" LIMIT 10)""", "processed", timeframe="1d"),
         "monthly_summary": _sql(
             f"""SELECT month("Date")::BIGINT AS "month", round(avg("Close"), 6) AS avg_close,
                 round(avg("ChangePct"), 6) AS avg_change, count(*)::BIGINT AS trading_days
             FROM processed WHERE "Pair" = '{REPORT_PAIR}' AND year("Date") = {REPORT_YEAR}
-            GROUP BY 1""", "processed"),
+            GROUP BY 1""", "processed", timeframe="1d"),
         "union_pairs": _two_timeframes(),
         "cross_pair_latest": _sql(
             """SELECT "Pair", max("Date") AS latest_date, arg_max("Close", "Date") AS latest_close,
                 round(avg("Close"), 6) AS avg_close, round(avg("Volatility5"), 6) AS avg_volatility
-            FROM processed GROUP BY "Pair\"""", "processed"),
+            FROM processed GROUP BY "Pair\"""", "processed", timeframe="1d"),
         "json_extract": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
         "signal_recode": _sql(_SIGNALS_OUT, "scored"),
         "latest_signals": _sql(

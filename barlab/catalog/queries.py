@@ -33,6 +33,9 @@ MOMENTUM = 0.3141592653
 REPORT_PAIR = "view"
 REPORT_YEAR = 2024
 
+# A drained stream ends by itself; beyond this time it has failed.
+DRAIN_SECONDS = 1800
+
 ROLLING = ("MA5", "MA20", "Volatility5")
 PRICE_KEY = ("Date", "Pair", "Timeframe", "Close")
 
@@ -58,6 +61,13 @@ def _processed(spark: SparkSession, folder: str) -> DataFrame:
     return features.bar_features(_bars(spark, folder))
 
 
+def _all_frames(spark: SparkSession, folder: str) -> DataFrame:
+    """The processed table as ``prepare`` makes it: every time frame in one table."""
+    return features.bar_features(
+        summaries.union_pairs([_bars(spark, folder, frame) for frame in ticks.TIMEFRAMES])
+    )
+
+
 def _stored_processed(spark: SparkSession, folder: str) -> DataFrame:
     """The processed table written first, as the jobs do, for steps that read it repeatedly."""
     return written(_processed(spark, folder), "processed")
@@ -529,19 +539,21 @@ def series_stats(spark, folder):
 
 @query
 def pair_summary(spark, folder):
-    report = summaries.pair_summary(_processed(spark, folder), REPORT_PAIR)
+    report = summaries.pair_summary(_all_frames(spark, folder), REPORT_PAIR, "1d")
     return rounded(report, ("avg_close", "avg_change_pct", "avg_volatility"))
 
 
 @query
 def top_volatile(spark, folder):
-    top = summaries.top_volatile(_processed(spark, folder), REPORT_PAIR)
+    top = summaries.top_volatile(_all_frames(spark, folder), REPORT_PAIR, "1d")
     return rounded(top, ("Volatility5",))
 
 
 @query
 def monthly_summary(spark, folder):
-    report = summaries.monthly_summary(_processed(spark, folder), REPORT_PAIR, REPORT_YEAR)
+    report = summaries.monthly_summary(
+        _all_frames(spark, folder), REPORT_PAIR, REPORT_YEAR, "1d"
+    )
     return rounded(report, ("avg_close", "avg_change"))
 
 
@@ -552,7 +564,7 @@ def union_pairs(spark, folder):
 
 @query
 def cross_pair_latest(spark, folder):
-    report = summaries.cross_pair_latest(_processed(spark, folder))
+    report = summaries.cross_pair_latest(_all_frames(spark, folder), "1d")
     return rounded(report, ("avg_close", "avg_volatility"))
 
 
@@ -761,7 +773,9 @@ def forecast_curve(spark, folder):
 
 
 def _drain(started) -> None:
-    started.awaitTermination()
+    if not started.awaitTermination(DRAIN_SECONDS):
+        started.stop()
+        raise TimeoutError(f"the stream did not end within {DRAIN_SECONDS} s")
 
 
 @query

@@ -54,7 +54,7 @@ def documents(messages: DataFrame, known_only: bool = False) -> DataFrame:
     )
     extra_texts = F.map_filter("fields", lambda k, v: ~is_number(k, v) & ~k.isin(*TEXT_FIELDS))
     return routed.select(
-        "collection", "key", "value",
+        "collection", "key", "value", *[c for c in messages.columns if c == "origin"],
         *[get(name).alias(name) for name in TEXT_FIELDS],
         *[number(get(name)).alias(name) for name in NUMBER_FIELDS],
         F.transform_values(extra_numbers, lambda _, v: number(v)).alias("numbers"),

@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ..schemas import TARGET_DIRECTION, TARGET_PRICE
 
+# About pi times so many ranges of scores are ordered apart; their totals are a small table.
+RANGES = 3_000
+
 
 def regression_metrics(
     scored: DataFrame,
@@ -44,13 +48,21 @@ def classification_metrics(
     Everything follows from the confusion matrix, which has one row per pair of
     classes, so the data itself is aggregated once.
     """
-    cells = confusion_matrix(scored, label, prediction).select("label", "prediction", "count")
-    actual = cells.groupBy("label").agg(
-        F.sum("count").alias("actual"),
-        F.sum(F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0)).alias("hit"),
-    )
-    guessed = cells.groupBy(F.col("prediction").alias("label")).agg(F.sum("count").alias("guessed"))
-    classes = actual.join(guessed, "label", "left")
+    cells = scored.groupBy(
+        F.col(label).cast("double").alias("label"), F.col(prediction).cast("double").alias("prediction")
+    ).agg(F.count("*").alias("count"))
+    # Each cell counts for the class it is and for the class it was taken for.
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0)
+    none = F.lit(0).cast("long")
+    roles = cells.select(F.inline(F.array(
+        F.struct(F.col("label").alias("class"), F.col("count").alias("actual"),
+                 hit.alias("hit"), none.alias("guessed")),
+        F.struct(F.col("prediction").alias("class"), none.alias("actual"),
+                 none.alias("hit"), F.col("count").alias("guessed")),
+    )))
+    classes = roles.groupBy("class").agg(
+        *(F.sum(c).alias(c) for c in ("actual", "hit", "guessed"))
+    ).filter("actual > 0")
     precision = F.coalesce(F.try_divide(F.col("hit"), F.col("guessed")), F.lit(0.0))
     recall = F.try_divide(F.col("hit"), F.col("actual"))
     f1 = F.coalesce(F.try_divide(2 * precision * recall, precision + recall), F.lit(0.0))
@@ -69,9 +81,37 @@ def classification_metrics(
 def auc_roc(
     scored: DataFrame, label: str = TARGET_DIRECTION, score: str = "rawPrediction", bins: int = 0
 ) -> DataFrame:
-    """Area under the ROC curve; ``bins=0`` keeps every distinct score as a threshold."""
-    evaluator = BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=bins
+    """Area under the ROC curve; ``bins=0`` keeps every distinct score as a threshold.
+
+    With plain scores and no bins it is exact, lazy and needs no order of all
+    rows in one task: scores are counted first and cut into ranges by a fixed
+    rising function, and running totals within a range start from the totals of
+    the ranges below.
+    Raw prediction vectors and bins go through the MLlib evaluator.
+    """
+    if bins or not isinstance(scored.schema[score].dataType, NumericType):
+        evaluator = BinaryClassificationEvaluator(
+            labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=bins
+        )
+        area = evaluator.evaluate(scored)
+        return scored.sparkSession.createDataFrame([(float(area),)], "auc double")
+    positive = F.col(label) > 0.5
+    counts = scored.groupBy(F.col(score).alias("score")).agg(
+        F.sum(positive.cast("long")).alias("up"), F.sum((~positive).cast("long")).alias("down")
+    )
+    ranged = counts.withColumn("range", F.floor(F.atan("score") * RANGES))
+    totals = ranged.groupBy("range").agg(F.sum("down").alias("down"))
+    # One row per range.
+    before = totals.select(
+        F.col("range").alias("in"),
+        (F.sum("down").over(Window.orderBy("range")) - F.col("down")).alias("below"),
+    )
+    within = Window.partitionBy("range").orderBy("score")
+    placed = ranged.withColumn("sofar", F.sum("down").over(within)).join(
+        F.broadcast(before), F.col("range") == F.col("in")
     )
-    area = evaluator.evaluate(scored)
-    return scored.sparkSession.createDataFrame([(float(area),)], "auc double")
+    # Pairs in the right order, equal scores counting half.
+    pairs = F.col("up") * (F.col("below") + F.col("sofar") - F.col("down") / 2)
+    return placed.agg(F.coalesce(
+        F.try_divide(F.sum(pairs), F.sum("up").cast("double") * F.sum("down")), F.lit(0.0)
+    ).alias("auc"))

@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from ..operators import features, messages, models, split, training
 from ..operators.forecast import trigger_rows
 from ..schemas import TARGET_DIRECTION, TARGET_PRICE
+from ..session import written
 from ..sinks.files import write_processed, write_table
-from ..sources.files import PAIRS, read_bar_grid, read_first_existing, read_processed
+from ..sources.files import (
+    CORRUPT, PAIRS, read_bar_grid, read_first_existing, read_processed, unusable,
+)
 from ..sources.ticks import TIMEFRAMES
 
 Publish = Callable[[DataFrame], None]
@@ -34,11 +37,21 @@ def prepare(
     pairs: Iterable[str] = PAIRS,
     timeframes: Iterable[str] = tuple(TIMEFRAMES),
     format: str = "parquet",
+    rejects: str | None = None,
 ) -> None:
-    """Raw bar files to the processed table, all series in one job."""
-    write_processed(
-        features.bar_features(read_bar_grid(spark, source, pairs, timeframes)), target, format
-    )
+    """Raw bar files to the processed table, all series in one job.
+
+    Lines that do not parse, and bars without a date or a close, never enter a
+    window: a bad line costs that line only. With ``rejects`` they are written
+    there as JSON with the name of their file; the files are then read once,
+    into a table that both outputs are made from.
+    """
+    bars = read_bar_grid(spark, source, pairs, timeframes, mark_corrupt=True)
+    if rejects:
+        bars = written(bars, "raw-bars")
+        bars.filter(unusable()).write.mode("overwrite").json(rejects)
+    good = bars.filter(~unusable()).drop(CORRUPT, "file")
+    write_processed(features.bar_features(good), target, format)
 
 
 SCORED_COLUMNS = (

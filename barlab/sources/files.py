@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,25 +67,40 @@ def read_bar_grid(
     timeframes: Iterable[str] = tuple(TIMEFRAMES),
     prefix: str = "",
     schema: T.StructType = RAW_SCHEMA,
+    mark_corrupt: bool = False,
 ) -> DataFrame:
     """All existing files of a pairs × timeframes grid in one scan, tagged by file name.
 
     Files of the grid that do not exist are passed over; if there is none, the
-    result is empty.
+    result is empty. ``mark_corrupt`` adds ``_corrupt_record``, the text of a
+    line that does not fit the schema, and ``file``.
     """
+    options = {}
+    if mark_corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}
     try:
-        found = read_csv(spark, _grid_patterns(base, pairs, timeframes, prefix), schema)
+        found = read_csv(spark, _grid_patterns(base, pairs, timeframes, prefix), schema, **options)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         empty = spark.createDataFrame([], schema)
         tags = {"Pair": F.lit(""), "Timeframe": F.lit("")}
+        file = F.lit("")
     else:
         empty = found
-        tags = tag_from_path(F.col("_metadata.file_path"))
+        file = F.col("_metadata.file_path")
+        tags = tag_from_path(file)
+    if mark_corrupt:
+        tags["file"] = file
     tagged = empty.select("*", *[c.alias(n) for n, c in tags.items()])
     first, *rest = schema.names
-    return tagged.select(first, "Pair", "Timeframe", *rest)
+    return tagged.select(first, "Pair", "Timeframe", *rest, *(["file"] if mark_corrupt else []))
+
+
+def unusable() -> Column:
+    """Whether a bar read with ``mark_corrupt`` must not enter a window."""
+    return F.col(CORRUPT).isNotNull() | F.col("Date").isNull() | F.col("Close").isNull()
 
 
 def read_permissive(

@@ -7,12 +7,20 @@ from pyspark.sql import functions as F
 
 from ..schemas import ENVELOPE_SCHEMA
 
+ORIGIN = "origin"
 
-def _as_text(messages: DataFrame) -> DataFrame:
+
+def _as_text(messages: DataFrame, format: str) -> DataFrame:
+    """Text columns, and where a message comes from: its place in a topic, or its file."""
+    if format == "kafka":
+        origin = F.concat_ws("/", "topic", "partition", "offset")
+    else:
+        origin = F.col("_metadata.file_path")
     return messages.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
         "timestamp",
+        origin.alias(ORIGIN),
     )
 
 
@@ -27,7 +35,7 @@ def kafka_options(servers: str, topic: str, starting: str = "latest", **extra: s
 
 
 def stream_topic(spark: SparkSession, format: str = "kafka", **options: str) -> DataFrame:
-    """An unbounded table (key, value, timestamp).
+    """An unbounded table (key, value, timestamp, origin).
 
     For ``kafka`` pass ``kafka_options``; ``maxOffsetsPerTrigger`` bounds a
     batch. Any file format works too, given ``path``; there
@@ -36,7 +44,7 @@ def stream_topic(spark: SparkSession, format: str = "kafka", **options: str) ->
     reader = spark.readStream.format(format)
     if format != "kafka":
         reader = reader.schema(ENVELOPE_SCHEMA)
-    return _as_text(reader.options(**options).load())
+    return _as_text(reader.options(**options).load(), format)
 
 
 def read_topic(spark: SparkSession, format: str = "kafka", **options: str) -> DataFrame:
@@ -44,4 +52,4 @@ def read_topic(spark: SparkSession, format: str = "kafka", **options: str) -> Da
     reader = spark.read.format(format)
     if format != "kafka":
         reader = reader.schema(ENVELOPE_SCHEMA)
-    return _as_text(reader.options(**options).load())
+    return _as_text(reader.options(**options).load(), format)

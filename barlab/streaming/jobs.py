@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import Transformer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,6 +14,7 @@ from ..operators import messages as msg
 from ..operators.forecast import Predictor, forecast
 from ..schemas import HORIZON
 from ..sinks.topics import publish
+from ..sources.topics import ORIGIN
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -30,7 +31,8 @@ def per_batch_folder(path: str, format: str = "parquet", partition_by: tuple[str
     """A writer that puts batch n into ``path/batch_id=n``, replacing it on a retry.
 
     A batch that is run again after a failure overwrites its own folder, so
-    restarts neither lose nor repeat rows.
+    restarts neither lose nor repeat rows. Batch numbers start anew with a new
+    checkpoint, so each checkpoint needs a ``path`` of its own.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
@@ -56,13 +58,17 @@ def to_collections(format: str = "mongodb", **options: str) -> BatchWriter:
     """A writer for document stores: one append per collection.
 
     ``{collection}`` in an option stands for the collection's name. Documents
-    carry ``_id``, a digest of the message, so a store that replaces by ``_id``
-    holds each message once however often a batch is retried.
+    carry ``_id``, a digest of the message and of where it comes from, so a
+    store that replaces by ``_id`` holds each message once however often a batch
+    is retried. Equal messages of one file are numbered, and a file is never
+    split between batches, so they are kept and batch sizes change nothing.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        digest = F.sha2(F.to_json(F.struct("key", "value")), 256)
-        identified = rows.withColumn("_id", digest).persist()
+        parts = [c for c in (ORIGIN, "key", "value") if c in rows.columns]
+        nth = F.row_number().over(Window.partitionBy(*parts).orderBy(F.lit(0)))
+        digest = F.sha2(F.to_json(F.struct(*parts, nth.alias("nth"))), 256)
+        identified = rows.withColumn("_id", digest).drop(ORIGIN).persist()
         try:
             for collection in (*docs.COLLECTIONS.values(), docs.FORECASTS, docs.REJECTS):
                 chosen = identified.filter(F.col("collection") == collection).drop("collection")
@@ -101,23 +107,25 @@ def start_monitor(
     messages: DataFrame,
     checkpoint: str | None = None,
     format: str = "console",
-    every: str = "5 seconds",
+    every: str | None = None,
     available_now: bool = False,
-    name: str = "prediction_monitor",
+    name: str = "monitor",
     **options: str,
 ) -> StreamingQuery:
-    """Show (pair, prediction_json) of a topic as it arrives."""
-    view = monitor_view(messages)
-    writer = view.writeStream.queryName(name).outputMode("append").format(format)
-    if format == "console":
-        writer = writer.option("truncate", "false").option("numRows", "30")
+    """Pass the keys and values of a topic on to a display as they arrive.
+
+    ``options`` go to the display; a console shows as many rows of a batch as
+    its ``numRows`` says, by default Spark's own number.
+    """
+    display = monitor_view(messages).writeStream.format(format).options(**options)
     if checkpoint:
-        writer = writer.option("checkpointLocation", checkpoint)
-    return _start(writer.options(**options), available_now, every)
+        display = display.option("checkpointLocation", checkpoint)
+    return _start(display.outputMode("append").queryName(name), available_now, every)
 
 
 def monitor_view(messages: DataFrame) -> DataFrame:
-    return messages.selectExpr("CAST(key AS STRING) AS pair", "CAST(value AS STRING) AS prediction_json")
+    """A topic read by ``topics`` holds text already, so columns are only renamed."""
+    return messages.select(F.col("key").alias("pair"), F.col("value").alias("prediction_json"))
 
 
 def start_document_sink(
@@ -129,13 +137,10 @@ def start_document_sink(
     every: str | None = None,
     name: str = "document_sink",
 ) -> StreamingQuery:
-    """Route the messages of each micro-batch into their collections.
-
-    A message delivered twice within a batch is stored once.
-    """
+    """Route every message of each micro-batch into its collection, equal ones too."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write(docs.documents(batch.dropDuplicates(["key", "value"]), known_only), batch_id)
+        write(docs.documents(batch, known_only), batch_id)
 
     writer = (
         messages.writeStream.queryName(name)

@@ -112,13 +112,13 @@ def test_each_pair_is_on_both_sides(make_bars):
 
 def test_latest_close_follows_the_date(make_bars):
     processed = features.bar_features(make_bars({"A": [(5, 1.0), (9, 2.0), (1, 3.0)]}))
-    row = one(summaries.cross_pair_latest(processed))
+    row = one(summaries.cross_pair_latest(processed, "1h"))
     assert (row.latest_close, row.latest_date.hour) == (2.0, 9)
 
 
 def test_top_volatile_orders_numbers_and_puts_null_last(make_bars):
     processed = features.bar_features(make_bars({"A": [1.0, 101.0, 1.0, 9.0], "B": [500.0, 1.0]}))
-    top = summaries.top_volatile(processed, "A").collect()
+    top = summaries.top_volatile(processed, "A", "1h").collect()
     assert [r.Volatility5 for r in top[:-1]] == sorted((r.Volatility5 for r in top[:-1]), reverse=True)
     assert len(top) == 4 and top[-1].Volatility5 is None
 
@@ -126,7 +126,7 @@ def test_top_volatile_orders_numbers_and_puts_null_last(make_bars):
 def test_monthly_summary_takes_one_year(make_bars):
     hours = [0, 1, 24 * 40, 24 * 366, 24 * 400]
     processed = features.bar_features(make_bars({"A": [(h, 2.0) for h in hours]}, "1d"))
-    got = [(r.month, r.trading_days) for r in summaries.monthly_summary(processed, "A", 2024).collect()]
+    got = [(r.month, r.trading_days) for r in summaries.monthly_summary(processed, "A", 2024, "1d").collect()]
     assert got == [(1, 2), (2, 1)]
 
 
@@ -134,7 +134,7 @@ def test_series_filter_reaches_the_scan(spark):
     from barlab.sources.ticks import bars
 
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    report = summaries.pair_summary(features.bar_features(bars(events, "1h")), "view")
+    report = summaries.pair_summary(features.bar_features(bars(events, "1h")), "view", "1h")
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert plan.count("EqualTo(event_type,view)") == plan.count("PushedFilters: [")
     assert "props" not in plan

@@ -41,6 +41,25 @@ def test_prepare_writes_every_series(spark, work):
     assert dict(table.groupBy("Pair").count().collect()) == {"EURUSD": 120, "GBPUSD": 120}
 
 
+def test_bad_lines_are_kept_out_of_the_windows(spark, tmp_path):
+    good = [f"2024-01-{d:02d} 00:00:00,1.0,1.2,0.9,1.{d % 10},{d}" for d in range(1, 26)]
+    bad = ["not a date,1,2,3,99,5", "2024-01-03 00:00:00,7", ",1,2,3,99,5", "2024-01-04 00:00:00,1,2,3,,5"]
+    header = "Date,Open,High,Low,Close,Volume"
+    for name, lines in (("clean", good), ("dirty", [*bad[:2], *good, *bad[2:]])):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "EURUSD_1d_x.csv").write_text("\n".join([header, *lines]))
+        jobs.prepare(spark, str(tmp_path / name), str(tmp_path / f"{name}-out"),
+                     rejects=str(tmp_path / f"{name}-rejects"))
+    clean, dirty = (
+        sorted(map(tuple, files.read_processed(spark, str(tmp_path / f"{n}-out"), "parquet").collect()))
+        for n in ("clean", "dirty")
+    )
+    assert clean == dirty and len(clean) == 25
+    rejects = spark.read.json(str(tmp_path / "dirty-rejects"))
+    assert rejects.count() == 4
+    assert all(r.file.endswith("EURUSD_1d_x.csv") for r in rejects.select("file").collect())
+
+
 def test_train_saves_predictions_messages_and_metrics(spark, work):
     base, comparison = work
     assert {r.model for r in comparison.select("model").distinct().collect()} == set(models.default_estimators())

@@ -6,6 +6,7 @@ from barlab.operators import features
 from barlab.operators import forecast as fc
 from barlab.operators import messages as msg
 from barlab.schemas import FEATURES
+from barlab.session import fresh_dir
 from barlab.sources import topics
 from barlab.streaming import jobs
 
@@ -77,13 +78,30 @@ def test_failed_batch_is_replaced_on_retry(spark, tmp_path):
     assert spark.read.parquet(out).count() == 2
 
 
-def test_sink_stores_a_repeated_message_once(spark, tmp_path):
+def test_sink_stores_every_message(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     send(spark, source, *['{"model":"LogisticRegression","Pair":"A"}'] * 3, "broken", '{"model":"new"}')
     write = jobs.per_batch_folder(out, partition_by=("collection",))
     jobs.start_document_sink(stream(spark, source), write, str(tmp_path / "cp")).awaitTermination()
     counts = dict(spark.read.parquet(out).groupBy("collection").count().collect())
-    assert counts == {"lr_signals": 1, "rejects": 2}
+    assert counts == {"lr_signals": 3, "rejects": 2}
+
+
+def test_batch_sizes_store_the_same_documents(spark, tmp_path):
+    source, stored = str(tmp_path / "in"), []
+    for _ in range(4):
+        send(spark, source, *['{"model":"LogisticRegression","Pair":"A"}'] * 2)
+    for size in ("1", "3", "1000"):
+        out = str(tmp_path / f"out{size}" / "{collection}")
+        for _ in range(2):  # the second run repeats every batch
+            jobs.start_document_sink(
+                stream(spark, source, maxFilesPerTrigger=size), jobs.to_collections("json", path=out),
+                fresh_dir(spark, "cp"),
+            ).awaitTermination()
+        ids = [r["_id"] for r in spark.read.json(out.format(collection="lr_signals")).collect()]
+        assert len(ids) == 16 and len(set(ids)) == 8
+        stored.append(sorted(ids))
+    assert stored[0] == stored[1] == stored[2]
 
 
 def test_documents_go_to_one_place_per_collection(spark, tmp_path):
