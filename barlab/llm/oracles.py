@@ -1,5 +1,102 @@
-"""DuckDB SQL of the corpus queries that SQL can express on whole tables."""
+"""DuckDB SQL of the corpus queries that SQL can express on whole tables.
+
+Trained models, the nearest-neighbour search, tokenising, tag paths, and the
+scored graphs of contexts and licences have none; tests/llm compares those with
+brute force, exact round trips or held-out accuracy.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_SPACED = r"""
+    SELECT doc_id, list_filter(
+        regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> ''
+    ) AS ws FROM documents"""
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_NEAR_DUP = rf"""
+WITH RECURSIVE words AS ({_SPACED.format(text=_LOWERED)}),
+sets AS (
+    SELECT doc_id, list_distinct(
+        CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) = 1 THEN [ws[1]]
+        ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END
+    ) AS items FROM words
+),
+held AS (SELECT doc_id, len(items) AS n, unnest(items) AS item FROM sets),
+pairs AS (
+    SELECT x.doc_id AS a, y.doc_id AS b
+    FROM held x JOIN held y ON x.item = y.item AND x.doc_id < y.doc_id
+        AND least(x.n, y.n) * 100 >= greatest(x.n, y.n) * 80
+    GROUP BY ALL HAVING 100 * count(*) >= 80 * (min(x.n) + min(y.n) - count(*))
+),
+edges AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (
+    SELECT doc_id, doc_id AS low FROM sets
+    UNION
+    SELECT e.b, r.low FROM reach r JOIN edges e ON e.a = r.doc_id
+),
+lowest AS (SELECT doc_id, min(low) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, len(items)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN lowest USING (doc_id)"""
+
+_REPEATS = rf"""
+WITH words AS ({_SPACED.format(text="coalesce(text, '')")}),
+windows AS (
+    SELECT doc_id, p, array_to_string(ws[p:p + 49], ' ') AS said
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS p FROM words)
+),
+firsts AS (SELECT said, min(doc_id) AS first FROM windows GROUP BY said),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS place
+    FROM windows JOIN firsts USING (said) WHERE first < doc_id
+),
+placed AS (
+    SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS place FROM words
+),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS rest, count(*) AS n
+    FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(rest, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)"""
+
+_SPLIT = rf"""list_filter(
+    regexp_split_to_array({_LOWERED}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+_LEAKS = f"""
+WITH words AS (SELECT doc_id, {_SPLIT} AS ws FROM documents),
+items AS (
+    SELECT item_id, ws, least(len(ws), 10) AS width
+    FROM (SELECT item_id, {_SPLIT} AS ws FROM benchmark) WHERE len(ws) > 0
+),
+grams AS (
+    SELECT DISTINCT item_id, width, array_to_string(ws[p:p + width - 1], ' ') AS gram
+    FROM (SELECT *, unnest(range(1, len(ws) - width + 2)) AS p FROM items)
+),
+windows AS (
+    SELECT doc_id, width, p, array_to_string(ws[p:p + width - 1], ' ') AS gram
+    FROM (
+        SELECT doc_id, ws, width, unnest(range(1, len(ws) - width + 2)) AS p
+        FROM words CROSS JOIN (SELECT DISTINCT width FROM items)
+    )
+),
+found AS (SELECT doc_id, p, width, item_id FROM windows JOIN grams USING (width, gram)),
+places AS (
+    SELECT doc_id, count(DISTINCT place) AS n
+    FROM (SELECT doc_id, unnest(range(p, p + width)) AS place FROM found) GROUP BY doc_id
+),
+owners AS (
+    SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(places.n, 0)::BIGINT AS n_hit,
+       coalesce(owners.n, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(places.n, 0) > 0 AS contaminated
+FROM words LEFT JOIN places USING (doc_id) LEFT JOIN owners USING (doc_id)"""
+
+ORACLES: dict[str, str] = {
+    "op3_near_dup": _NEAR_DUP,
+    "op8_substring_dedup": _REPEATS,
+    "op10_decontaminate": _LEAKS,
+}
