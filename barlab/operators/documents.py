@@ -113,5 +113,8 @@ def reconcile(computed: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def missing_rows(published: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """Published rows whose key was never stored."""
-    return published.join(stored.select(*keys), keys, "left_anti")
+    """Published rows whose key was never stored; null keys equal each other."""
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(f"p.{key}").eqNullSafe(F.col(f"s.{key}"))
+    return published.alias("p").join(stored.select(*keys).alias("s"), same, "left_anti")

@@ -21,9 +21,9 @@ from ..schemas import SERIES, TIME
 
 Build = Callable[[WindowSpec], Column]
 
-# Days per chunk, for roughly 90,000 bars of the given length.
-CHUNK_DAYS = {"1min": 64, "1h": 4096, "1d": 65536}
-CHUNK_DAYS_OTHER = 1
+# Days per chunk and minute of a bar, for roughly 90,000 bars whatever their length.
+CHUNK_DAYS_PER_MINUTE = 64
+MINUTES = {"min": 1, "h": 60, "d": 1440}
 
 # Sorts before every real day, like a NULL date does.
 _NO_DAY = -(2**31)
@@ -38,9 +38,13 @@ def _chunk(days: int | None) -> Column:
     if days is not None:
         width = F.lit(days)
     else:
-        width = F.lit(CHUNK_DAYS_OTHER)
-        for timeframe, span in CHUNK_DAYS.items():
-            width = F.when(F.col("Timeframe") == timeframe, F.lit(span)).otherwise(width)
+        # "4h" is 4 units of 60 minutes; a name of another form counts as one minute.
+        count = F.regexp_extract("Timeframe", "^([0-9]{1,4})[a-z]+$", 1).try_cast("int")
+        unit = F.regexp_extract("Timeframe", "^[0-9]{1,4}([a-z]+)$", 1)
+        minutes = F.lit(None).cast("int")
+        for name, length in MINUTES.items():
+            minutes = F.when(unit == name, F.greatest(count, F.lit(1)) * length).otherwise(minutes)
+        width = F.coalesce(minutes, F.lit(1)) * CHUNK_DAYS_PER_MINUTE
     return F.coalesce(F.floor(day / width).cast("int"), F.lit(_NO_DAY))
 
 

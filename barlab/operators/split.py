@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import FEATURES, TIME
 
+# Fixed value: the share of the dates that is trained on.
 TRAIN_SHARE = 0.8
 
 

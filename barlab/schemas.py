@@ -29,6 +29,7 @@ FEATURES = (
 )
 TARGET_PRICE = "Close_h1"
 TARGET_DIRECTION = "PriceDirection"
+# Fixed value: the steps of a forecast.
 HORIZON = 24
 
 NUMERIC_PROCESSED = tuple(c for c in PROCESSED_COLUMNS if c not in ("Date", *SERIES))

@@ -18,7 +18,7 @@ TABLES = (
 ).split()
 
 
-KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
+KINDS = {"boolean": "BOOLEAN", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
 
 
 def duck(folder: str) -> duckdb.DuckDBPyConnection:

@@ -85,3 +85,10 @@ def test_both_branches_read_one_shuffle(spark, uneven):
                training.lag_features(stored), training.target_direction(stored)):
         df.collect()
         assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_other_bar_lengths_get_chunks_of_their_own_width(make_bars):
+    builds = {"s": lambda w: F.sum("Close").over(w.rowsBetween(-4, 0))}
+    bars = make_bars({"A": [(4 * i, float(i % 7)) for i in range(3000)]}, "4h")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(over_series(bars, builds, back=4)) == rows(over_series(bars, builds, back=4, chunk_days=0))
