@@ -25,6 +25,7 @@ Nulls: a null text has null ids, an empty one has none. Rows need no id.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ from .common import list_array, map_batches
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 LONGEST_REMEMBERED = 64
 
 
@@ -69,6 +70,13 @@ class Vocabulary:
     def _derive(self) -> None:
         self.beginnings = {p[:n] for p in self.pieces for n in range(1, len(p) + 1)}
         self.longest = max(map(len, self.pieces), default=1)
+        # The same pieces letter by letter; a piece is held under the empty letter.
+        self.letters: dict = {}
+        for piece, held in self.pieces.items():
+            node = self.letters
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[""] = held
         self.lowest = min((s for s, _ in self.pieces.values()), default=0.0) - 10.0
         # Words are independent if the mark of a word's start only starts pieces.
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.pieces)
@@ -150,35 +158,74 @@ def _meeting(back: dict[int, tuple[int, int | None]], open_at: list[int], settle
     return places[0]
 
 
+def word_ids(vocabulary: Vocabulary, word: str) -> list[int]:
+    """The ids of a short text by the same search without a window: a word is one."""
+    pieces, lowest = vocabulary.pieces, vocabulary.lowest
+    n = len(word)
+    score, back, known = [0.0, *[_NEVER] * n], [0] * (n + 1), [None] * (n + 1)
+    for start in range(n):
+        node, reached = vocabulary.letters, score[start]
+        for end in range(start, n):
+            node = node.get(word[end])
+            if node is None:
+                break
+            if "" in node:
+                worth, number = node[""]
+                if reached + worth > score[end + 1]:
+                    score[end + 1], back[end + 1] = reached + worth, start
+                    known[end + 1] = number
+        if word[start] not in pieces and reached + lowest > score[start + 1]:
+            score[start + 1], back[start + 1], known[start + 1] = reached + lowest, start, None
+    path, at = [], n
+    while at:
+        start, number = back[at], known[at]
+        if number is None:
+            path += reversed(_ids(vocabulary, word[start:at], None))
+        else:
+            path.append(number)
+        at = start
+    return path[::-1]
+
+
+_NEVER = float("-inf")
+
+
 class Encoder(dict):
-    """Words, mapped to their ids as little-endian 32-bit numbers."""
+    """Words, mapped to their ids as 32-bit numbers.
+
+    Two generations are remembered, so words that come often are not forgotten
+    when the newer one is full.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
+        self.older: dict[str, bytes] = {}
 
     def _search(self, text: str) -> bytes:
-        return b"".join(
-            np.array(ids, "<i4").tobytes() for ids in stream_ids(self.vocabulary, text)
-        )
+        return b"".join(array("i", ids).tobytes() for ids in stream_ids(self.vocabulary, text))
 
     def __missing__(self, word: str) -> bytes:
-        value = self._search(word)
-        if len(word) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = value
+        if len(word) > LONGEST_REMEMBERED:
+            return self._search(word)
+        value = self.older.get(word)
+        if value is None:
+            value = array("i", word_ids(self.vocabulary, word)).tobytes()
+        if 2 * len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        self[word] = value
         return value
 
     def ids(self, text: str) -> np.ndarray:
         if not text:
-            return np.empty(0, "<i4")
+            return np.empty(0, np.intc)
         marked = SPACE + text.replace(" ", SPACE)
         if self.vocabulary.by_word:
             found = b"".join(map(self.__getitem__, self.vocabulary.words.findall(marked)))
         else:
             found = self._search(marked)
-        return np.frombuffer(found, "<i4")
+        return np.frombuffer(found, np.intc)
 
 
 def decode_ids(vocabulary: Vocabulary, ids: np.ndarray) -> bytes:
