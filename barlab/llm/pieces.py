@@ -38,7 +38,7 @@ from .common import list_array, map_batches
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-REMEMBERED = 500_000
+REMEMBERED = 160_000
 LONGEST_REMEMBERED = 64
 
 
@@ -240,16 +240,23 @@ def _shared(df: DataFrame, model: str | Vocabulary):
     return df.sparkSession.sparkContext.broadcast(held)
 
 
-def _with(df: DataFrame, added: str) -> StructType:
-    name = added.split()[0]
-    kept = [f for f in df.schema if f.name != name]
-    return StructType(kept + StructType.fromDDL(added).fields)
+def _with(df: DataFrame, *added: str) -> StructType:
+    new = StructType.fromDDL(", ".join(added)).fields
+    names = {f.name for f in new}
+    return StructType([f for f in df.schema if f.name not in names] + new)
 
 
-def encode(docs: DataFrame, model: str | Vocabulary = DEFAULT_MODEL) -> DataFrame:
-    """The columns of ``docs`` and ``ids`` (a column of that name is replaced)."""
+def encode(
+    docs: DataFrame, model: str | Vocabulary = DEFAULT_MODEL, with_decoded: bool = False
+) -> DataFrame:
+    """The columns of ``docs`` and ``ids``; columns of the added names are replaced.
+
+    ``with_decoded`` adds ``decoded``, what the ids decode to, in the same pass.
+    """
     shared = _shared(docs, model)
-    kept = [i for i, c in enumerate(docs.columns) if c != "ids"]
+    added = ["ids array<int>", "decoded string"] if with_decoded else ["ids array<int>"]
+    names = [a.split()[0] for a in added]
+    kept = [i for i, c in enumerate(docs.columns) if c not in names]
     place = docs.columns.index("text")
 
     def rows():
@@ -260,15 +267,19 @@ def encode(docs: DataFrame, model: str | Vocabulary = DEFAULT_MODEL) -> DataFram
                 None if text is None else encoder.ids(text)
                 for text in batch.column(place).to_pylist()
             ]
-            ids = list_array(found, pa.int32())
-            columns = [batch.column(i) for i in kept]
+            columns = [*(batch.column(i) for i in kept), list_array(found, pa.int32())]
+            if with_decoded:
+                columns.append(pa.array([
+                    None if f is None else decode_ids(encoder.vocabulary, f).decode("utf-8", "replace")
+                    for f in found
+                ], pa.string()))
             return pa.RecordBatch.from_arrays(
-                [*columns, ids], names=[*(batch.schema.names[i] for i in kept), "ids"]
+                columns, names=[*(batch.schema.names[i] for i in kept), *names]
             )
 
         return apply
 
-    return map_batches(docs, rows, _with(docs, "ids array<int>"))
+    return map_batches(docs, rows, _with(docs, *added))
 
 
 def decode(encoded: DataFrame, model: str | Vocabulary = DEFAULT_MODEL) -> DataFrame:

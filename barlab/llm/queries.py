@@ -41,8 +41,8 @@ def op2_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text, and whether decoding them gives the text back."""
-    encoded = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"))
-    decoded = pieces.decode(encoded)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    decoded = pieces.encode(docs, with_decoded=True)
     return decoded.select(
         "doc_id", "ids", F.size("ids").alias("n_ids"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

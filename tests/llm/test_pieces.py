@@ -53,7 +53,11 @@ def test_commits_before_the_end(vocabulary):
 
 
 def test_equals_the_library_as_a_unigram_model(vocabulary, texts):
-    """The same file read as a unigram model segments plain words in the same way."""
+    """The same file read as a unigram model segments plain words in the same way.
+
+    Its lattice search is asked; the plain one adds up 32-bit floats, and the
+    file's scores of -1e9 leave those too coarse.
+    """
     model_proto = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
     import sentencepiece
 
@@ -64,8 +68,8 @@ def test_equals_the_library_as_a_unigram_model(vocabulary, texts):
     library = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
     encoder = pieces.Encoder(vocabulary)
     words = {w for t in texts.values() for w in t.split() if w.isascii()}
-    for word in sorted(words)[:3_000]:
-        assert encoder.ids(word).tolist() == library.encode(word)
+    for word in sorted(words)[::5]:
+        assert encoder.ids(word).tolist() == library.nbest_encode_as_ids(word, 2)[0]
 
 
 def test_round_trip_and_rows(spark, vocabulary, make_docs):
@@ -81,6 +85,8 @@ def test_round_trip_and_rows(spark, vocabulary, make_docs):
     assert {r.ids is None for r in found if r.text is None} == {True}
     assert {len(r.ids) for r in found if r.text == ""} == {0}
     assert pieces.decode(pieces.encode(docs.limit(0))).collect() == []
+    at_once = pieces.encode(docs, with_decoded=True)
+    assert sorted(map(str, at_once.collect())) == sorted(map(str, found))
 
 
 def test_mark_in_the_text_becomes_a_space(vocabulary):
