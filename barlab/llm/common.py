@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from ..session import written
 
 # Words whose hash a task remembers before it starts over; bounds its memory.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 200_000
+# Rows a task turns into Python objects at a time; Spark's own batches are larger.
+ROWS_AT_ONCE = 1_000
 
 
 class WordHashes(dict):
@@ -65,7 +67,7 @@ def text_bytes(column: str = "text") -> Column:
 
 def map_batches(
     df: DataFrame,
-    rows: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]],
+    rows: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
     schema: str,
 ) -> DataFrame:
     """``mapInArrow`` with state per task: ``rows()`` makes the function for the batches."""
@@ -73,9 +75,8 @@ def map_batches(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = rows()
         for batch in batches:
-            result = apply(batch)
-            if result is not None:
-                yield result
+            for start in range(0, len(batch), ROWS_AT_ONCE):
+                yield apply(batch.slice(start, ROWS_AT_ONCE))
 
     return df.mapInArrow(run, schema)
 
