@@ -108,22 +108,17 @@ class Block:
 
     def __init__(self, words: np.ndarray):
         self.words = words
-        self.tables = []
-        for column in words.T:
-            order = np.argsort(column, kind="stable")
-            values, starts = np.unique(column[order], return_index=True)
-            self.tables.append((values, np.append(starts, len(order)), order))
+        # Of each substring the values that occur, and the place of every row's value.
+        self.tables = [np.unique(column, return_inverse=True) for column in words.T]
 
     def within(self, query: np.ndarray, radius: int) -> np.ndarray:
         """All rows whose code is within ``radius`` of the query's."""
         m = len(self.tables)
         shares, more = divmod(max(radius - m + 1, 0), m)
         held = np.zeros(len(self.words), bool)
-        for i, (values, starts, order) in enumerate(self.tables):
-            share = shares + (i < more)
-            # The values within the share, among those that occur in the block.
-            for at in np.flatnonzero(np.bitwise_count(values ^ query[i]) <= share):
-                held[order[starts[at]:starts[at + 1]]] = True
+        for i, (values, places) in enumerate(self.tables):
+            close = np.bitwise_count(values ^ query[i]) <= shares + (i < more)
+            held |= close[places]
         rows = np.flatnonzero(held)
         return rows[np.bitwise_count(self.words[rows] ^ query).sum(1) <= radius]
 
