@@ -7,10 +7,12 @@
    one score; paths whose score reaches a share of the spread of the scores are
    content. Paths through elements that are no content by tag, role or name, and
    paths that are mostly links, are not.
-4. The content block is the deepest element that holds nearly all the text of
-   content paths. Its text is the result, block by block in page order, without
-   the elements that are no content by tag, role or name. So a short line of an
-   article is kept with it.
+4. The content block is the deepest container that holds all the text of content
+   paths, or the article or main element around it. Its text is the result,
+   block by block in page order, without the elements that are no content by tag,
+   role or name. So a short line of an article is kept with it. Before the first
+   and after the last block of content, blocks that are mostly links go too,
+   unless the element that holds nearly all of the content holds them.
 
 Character references are decoded, white space in a block becomes one space, and
 blocks are joined by a line break. Pages are independent rows: nothing shuffles.
@@ -33,7 +35,7 @@ from .common import batch_of, longs, map_batches
 
 SPREADS = 0.3     # share of the scores' standard deviation that makes a path content
 WINDOW = 2        # nodes on each side that smooth a ratio
-NEARLY_ALL = 0.8  # share of the content text that the content block holds
+NEARLY_ALL = 0.8  # share of the content text in the element that keeps its lists of links
 
 # HTML elements by what they do.
 _VOID = frozenset(
@@ -45,6 +47,11 @@ _BLOCK = frozenset(
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol option p "
     "pre section summary table tbody td tfoot th thead tr ul".split()
 )
+# Blocks that are parts of a text and no containers of one.
+_PARTS = frozenset(
+    "address blockquote caption dd dl dt figcaption figure h1 h2 h3 h4 h5 h6 hr li ol option p pre "
+    "summary table tbody tfoot thead tr ul".split()
+)
 _ENDS_P = _BLOCK - {"body", "caption", "html", "option", "tbody", "td", "tfoot", "th", "thead", "tr"}
 _CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -244,30 +251,72 @@ def main_text(page: str | None) -> str:
         while node:
             node.own += size
             node = node.parent
-    top, deepest = None, -1
+    dense, deepest = None, -1
     for element, _ in content:
         node = element
         while node.own < NEARLY_ALL * total:
             node = node.parent
         # Elements with more than half of the text lie on one line from the root.
         if (depth := _depth(node)) > deepest:
-            top, deepest = node, depth
-    # A paragraph or a part of one is no container: its neighbours belong to the text.
-    while top.parent and (top.tag == "p" or top.tag not in _BLOCK):
+            dense, deepest = node, depth
+    top = dense
+    while top.own < total:
         top = top.parent
-    blocks: dict[int, list[str]] = {}
+    direct = {id(_block_of(e)) for e, _ in content}
+    dense, top = _container(dense, direct), _around(_container(top, direct))
+    shown: dict[int, list[tuple[_Element, str]]] = {}
     for element, block, text in nodes:
-        if element.aside:
-            continue
-        node = element
-        while node and node is not top:
-            node = node.parent
-        if node:
-            blocks.setdefault(block, []).append(text)
-    lines = (" ".join("".join(parts).split()) for parts in blocks.values())
+        if not element.aside and _inside(element, top):
+            shown.setdefault(block, []).append((element, text))
+    held = [any(e.path in paths and t.strip() for e, t in parts) for parts in shown.values()]
+    first, last = held.index(True), len(held) - 1 - held[::-1].index(True)
+    lines = []
+    for place, parts in enumerate(shown.values()):
+        # Menus without a name lie around the text, never between its parts.
+        if first <= place <= last or _inside(parts[0][0], dense) or not _mostly_links(parts):
+            lines.append(" ".join("".join(t for _, t in parts).split()))
     return "\n".join(line for line in lines if line)
 
 
+def _inside(node: _Element | None, top: _Element) -> bool:
+    while node and node is not top:
+        node = node.parent
+    return node is not None
+
+
+def _mostly_links(parts: list[tuple[_Element, str]]) -> bool:
+    sizes = [(len(t.strip()), e.link) for e, t in parts]
+    return 2 * sum(n for n, link in sizes if link) > sum(n for n, _ in sizes)
+
+
+def _block_of(node: _Element) -> _Element:
+    while node.parent and node.tag not in _BLOCK:
+        node = node.parent
+    return node
+
+
+def _container(node: _Element, direct: set[int]) -> _Element:
+    """The nearest container: neighbours of a paragraph, list, table or cell of text belong to it.
+
+    A cell that holds blocks, none of ``direct`` text, is one of a layout.
+    """
+    while node.parent and (node.tag not in _BLOCK or node.tag in _PARTS or id(node) in direct
+                           and node.tag in ("td", "th")):
+        node = node.parent
+    return node
+
+
+def _around(node: _Element) -> _Element:
+    """The article around an element, else the main element, else itself."""
+    main, up = None, node
+    while up:
+        if up.tag == "article":
+            return up
+        main = main or (up if up.tag == "main" else None)
+        up = up.parent
+    return main or node
+
+
 def _depth(node: _Element) -> int:
     depth = 0
     while node.parent:

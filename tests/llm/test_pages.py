@@ -78,3 +78,29 @@ def test_odd_rows(spark):
     found = sorted(((r.page_id, r.text, r.n_chars) for r in pages.extract(df).collect()), key=str)
     assert found == sorted([(1, "", 0), (None, "Some words, here.", 17), (1, "", 0)], key=str)
     assert pages.extract(df.limit(0)).collect() == []
+
+
+def prose(n, name):
+    return " ".join(f"This is sentence {i} of the {name}, and it goes on." for i in range(n))
+
+
+def test_split_articles_are_whole():
+    lead, body = prose(2, "lead"), prose(20, "body")
+    for page, expected in (
+        (f"<article><h1>Title</h1><div class=lead>{lead}</div><div class=body>{body}</div></article>",
+         ["Title", lead, body]),
+        (f"<article><h1>Title</h1><div class=body><p>{body}</p></div></article>", ["Title", body]),
+        (f"<div class=text><h1>Title</h1><div><p>{lead}</p></div><p>Short.</p><div><p>{body}</p></div></div>",
+         ["Title", lead, "Short.", body]),
+        *((f"<div><p>Intro, short.</p><{o}>{body}</{c}></div>", ["Intro, short.", body]) for o, c in (
+            ("ul><li", "li></ul"), ("blockquote", "blockquote"), ("pre", "pre"),
+            ("table><tr><td", "td></tr></table"))),
+    ):
+        assert pages.main_text(f"<body>{AROUND}{page}{AFTER}</body>") == "\n".join(expected)
+
+
+def test_menus_without_a_name_around_split_articles_go():
+    menu = "<div><a href='/a'>Home</a></div><div><a href='/b'>News of today</a></div>"
+    lead, body = prose(2, "lead"), prose(20, "body")
+    page = f"<body>{menu}<div><p>{lead}</p></div><div><p>{body}</p></div>{menu}</body>"
+    assert pages.main_text(page) == f"{lead}\n{body}"
