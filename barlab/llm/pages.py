@@ -6,7 +6,8 @@
 3. Along the page both ratios are smoothed with a Gaussian window and fused into
    one score; paths whose score reaches a share of the spread of the scores are
    content. Paths through elements that are no content by tag, role or name, and
-   paths that are mostly links, are not.
+   paths that are mostly links, are not. A name sets no element aside that wraps
+   most of the prose, nor does one after a word such as "has" or "no".
 4. The content block is the deepest container that holds all the text of content
    paths, or the article or main element around it. Its text is the result,
    block by block in page order, without the elements that are no content by tag,
@@ -78,6 +79,12 @@ _ASIDE_NAMES = frozenset(
     "overlay newsletter subscribe subscription signup login register share sharing social related "
     "recommended recommendations widget widgets pagination pager skip search".split()
 )
+# Names of what readers add, which can be longer than the text itself.
+_READERS_NAMES = frozenset(
+    "comment comments commentlist disqus reply replies respond".split()
+)
+# The name after such a word says what the element holds or lacks, not what it is.
+_MODIFIERS = frozenset("has have with without no not non hide hides".split())
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
 _TAG = re.compile(
     r"<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]{0,65536}+\"|'[^']{0,65536}+'|))*+)>"
@@ -90,19 +97,30 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "path", "aside", "link", "own")
+    __slots__ = ("tag", "parent", "path", "aside", "named", "link", "own")
 
-    def __init__(self, tag: str, parent: _Element | None, name: str, aside: bool):
+    def __init__(self, tag: str, parent: _Element | None, name: str, aside: bool, named: str = ""):
         self.tag, self.parent = tag, parent
         self.path = f"{parent.path}/{name}" if parent else name
         self.aside = aside or bool(parent and parent.aside)
+        self.named = "" if self.aside else named
         self.link = tag == "a" or bool(parent and parent.link)
         self.own = 0
 
 
-def _names(attributes: str) -> tuple[str, bool]:
-    """The class of an element for its path, and whether its attributes set it aside."""
-    shown, aside = "", False
+def _aside_name(value: str) -> str:
+    """The first name in a class or id that can set an element aside."""
+    for name in value.split():
+        words = [w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])", name)]
+        for before, word in zip(["", *words], words):
+            if word in _ASIDE_NAMES and before not in _MODIFIERS:
+                return word
+    return ""
+
+
+def _names(attributes: str) -> tuple[str, bool, str]:
+    """The class for the path, whether the attributes set aside, and a name that can do so."""
+    shown, aside, named = "", False, ""
     for match in _ATTRIBUTE.finditer(attributes):
         key = match.group(1).lower()
         value = next((g for g in match.groups()[1:] if g is not None), "")
@@ -113,17 +131,68 @@ def _names(attributes: str) -> tuple[str, bool]:
         elif key == "role":
             aside = aside or value.strip().lower() in _ASIDE_ROLES
         elif key in ("class", "id"):
-            words = re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])", value)
-            aside = aside or any(w.lower() in _ASIDE_NAMES for w in words)
+            named = named or _aside_name(value)
             if key == "class":
                 shown = value
-    return shown, aside
+    return shown, aside, named
+
+
+def _set_aside(named: list[_Element], nodes: list[tuple[_Element, int, str]]) -> None:
+    """Set elements aside by name, but no wrapper, which holds most prose of what is around it.
+
+    The prose is compared with that of the article or main element around, or of
+    the page. What readers add may be longer than the text: it is a wrapper only
+    with the main element, a first heading or nearly all prose in it, and outside
+    an article. An article or main element elsewhere leaves no named wrapper.
+    """
+    prose: dict[int, int] = {}
+    headed, every = set(), {}
+    for element, _, text in nodes:
+        size = 0 if element.aside or element.link else len(text.strip())
+        up = element
+        while up and size:
+            prose[id(up)] = prose.get(id(up), 0) + size
+            every[id(up)] = up
+            if up.tag in ("main", "h1"):
+                over = up
+                while over and id(over) not in headed:
+                    headed.add(id(over))
+                    over = over.parent
+            up = up.parent
+    texts = [e for e in every.values() if e.tag in ("article", "main")]
+    aside = set()
+    for element in named:
+        own, scope = prose.get(id(element), 0), element.parent
+        while scope.parent and scope.tag not in ("article", "main"):
+            scope = scope.parent
+        share = own / max(prose.get(id(scope), 0), 1)
+        wrapper = share > 0.5
+        if element.named in _READERS_NAMES:
+            wrapper = wrapper and not scope.parent and (id(element) in headed or share >= 0.95)
+        if wrapper and not scope.parent:
+            wrapper = not texts or any(_inside(e, element) for e in texts)
+        if not wrapper:
+            aside.add(id(element))
+    if aside:
+        _inherit(nodes, aside)
+
+
+def _inherit(nodes: list[tuple[_Element, int, str]], aside: set[int]) -> None:
+    known: set[int] = set()
+    for element, _, _ in nodes:
+        line = []
+        while element and id(element) not in known:
+            line.append(element)
+            element = element.parent
+        for node in reversed(line):
+            node.aside = node.aside or id(node) in aside or bool(node.parent and node.parent.aside)
+            known.add(id(node))
 
 
 def _nodes(page: str) -> list[tuple[_Element, int, str]]:
     """(element, number of the block, text) of every text node that is no raw text."""
     root = _Element("", None, "", False)
-    at, block, nodes = root, 0, []
+    at, block, nodes, named_ones = root, 0, [], []
     place, end = 0, len(page)
 
     def text(upto: int) -> None:
@@ -189,7 +258,7 @@ def _nodes(page: str) -> list[tuple[_Element, int, str]]:
         if tag in _CLOSES:
             close(*_CLOSES[tag])
         attributes = match.group(3)
-        shown, aside = _names(attributes) if attributes.strip() else ("", False)
+        shown, aside, named = _names(attributes) if attributes.strip() else ("", False, "")
         if tag in _ASIDE_TAGS:
             aside = True
         elif tag == "header":
@@ -198,9 +267,13 @@ def _nodes(page: str) -> list[tuple[_Element, int, str]]:
                 node = node.parent
             aside = aside or not node.parent
         elif tag in ("html", "body", "main", "article"):
-            aside = False  # their names describe the site or the layout
-        at = _Element(tag, at, f"{tag}.{shown}" if shown else tag, aside)
+            aside, named = False, ""  # their names describe the site or the layout
+        at = _Element(tag, at, f"{tag}.{shown}" if shown else tag, aside, named)
+        if at.named:
+            named_ones.append(at)
         block += tag in _BLOCK
+    if named_ones:
+        _set_aside(named_ones, nodes)
     return nodes
 
 

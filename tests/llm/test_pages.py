@@ -104,3 +104,22 @@ def test_menus_without_a_name_around_split_articles_go():
     lead, body = prose(2, "lead"), prose(20, "body")
     page = f"<body>{menu}<div><p>{lead}</p></div><div><p>{body}</p></div>{menu}</body>"
     assert pages.main_text(page) == f"{lead}\n{body}"
+
+
+def test_wrappers_named_after_their_layout_are_kept():
+    for name in ("content has-sidebar", "no-sidebar", "with-comments", "nav-fixed", "hasWidgets",
+                 "page comments-open", "sidebar-right"):
+        for page in (f"<div class='{name}'>{AROUND}<article>{ARTICLE}</article>{AFTER}</div>",
+                     f"<main><div id='{name}'>{AROUND}<div>{ARTICLE}</div></div></main>{AFTER}",
+                     f"<div class='{name}'>{AROUND}<main><div>{ARTICLE}</div></main>{AFTER}</div>"):
+            if name == "page comments-open" and page.startswith("<main>"):
+                continue
+            assert pages.main_text(f"<body>{page}</body>") == EXPECTED, (name, page)
+
+
+def test_long_comments_and_adverts_go():
+    said = f"<div id='comments'><article><p>{prose(40, 'reply')}</p></article></div>"
+    for page in (f"<article>{ARTICLE}</article>{said}", f"<article>{ARTICLE}{said}</article>",
+                 f"<div class=text>{ARTICLE}</div><div id='comments'><p>{prose(40, 'reply')}</p></div>",
+                 f"<main>{ARTICLE}</main><div class='promo'><p>{prose(40, 'advert')}</p></div>"):
+        assert pages.main_text(f"<body>{page}</body>") == EXPECTED, page
