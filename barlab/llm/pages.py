@@ -86,12 +86,11 @@ _READERS_NAMES = frozenset(
 # The name after such a word says what the element holds or lacks, not what it is.
 _MODIFIERS = frozenset("has have with without no not non hide hides".split())
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
-_TAG = re.compile(
-    r"<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]{0,65536}+\"|'[^']{0,65536}+'|))*+)>"
-)
+_TAG_NAME = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
+_STOP = re.compile(r"[>=]")
+_QUOTE = re.compile(r"\s*+([\"'])")
 _ATTRIBUTE = re.compile(
-    r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?",
-    re.IGNORECASE,
+    r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?"
 )
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
@@ -108,6 +107,36 @@ class _Element:
         self.own = 0
 
 
+class _Tags:
+    """Finds where tags end, in time linear in the page however long their values are.
+
+    A quoted value ends at its quote; a quote that never closes opens nothing.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.dead: set[int] = set()  # stops from which no tag comes to an end
+        self.near = (0, -1)          # between these no stop lies but the last
+
+    def end(self, at: int) -> int:
+        """The place of the ``>`` of a tag whose name ends at a place, or -1."""
+        passed = []
+        while True:
+            if not self.near[0] <= at <= self.near[1]:
+                stop = _STOP.search(self.page, at)
+                self.near = (at, stop.start() if stop else len(self.page))
+            at = self.near[1]
+            if at == len(self.page) or at in self.dead:
+                self.dead.update(passed)
+                return -1
+            if self.page[at] == ">":
+                return at
+            passed.append(at)
+            quote = _QUOTE.match(self.page, at + 1)
+            closing = self.page.find(quote.group(1), quote.end()) if quote else -1
+            at = closing + 1 if closing >= 0 else at + 1
+
+
 def _aside_name(value: str) -> str:
     """The first name in a class or id that can set an element aside."""
     for name in value.split():
@@ -193,7 +222,7 @@ def _nodes(page: str) -> list[tuple[_Element, int, str]]:
     """(element, number of the block, text) of every text node that is no raw text."""
     root = _Element("", None, "", False)
     at, block, nodes, named_ones = root, 0, [], []
-    place, end = 0, len(page)
+    place, end, tags = 0, len(page), _Tags(page)
 
     def text(upto: int) -> None:
         if upto > place:
@@ -228,12 +257,13 @@ def _nodes(page: str) -> list[tuple[_Element, int, str]]:
             close_at = page.find(">", start)
             place = search = end if close_at < 0 else close_at + 1
             continue
-        match = _TAG.match(page, start)
-        if not match:
+        match = _TAG_NAME.match(page, start)
+        tag_end = tags.end(match.end()) if match else -1
+        if tag_end < 0:
             search = start + 1
             continue
         text(start)
-        place = search = match.end()
+        place = search = tag_end + 1
         tag = match.group(2).lower()
         if match.group(1):
             node = at
@@ -257,7 +287,7 @@ def _nodes(page: str) -> list[tuple[_Element, int, str]]:
             close({"p"}, {"table", "button", "article", "section", "div", "li", "td", "th", "main"})
         if tag in _CLOSES:
             close(*_CLOSES[tag])
-        attributes = match.group(3)
+        attributes = page[match.end():tag_end]
         shown, aside, named = _names(attributes) if attributes.strip() else ("", False, "")
         if tag in _ASIDE_TAGS:
             aside = True

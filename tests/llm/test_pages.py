@@ -123,3 +123,13 @@ def test_long_comments_and_adverts_go():
                  f"<div class=text>{ARTICLE}</div><div id='comments'><p>{prose(40, 'reply')}</p></div>",
                  f"<main>{ARTICLE}</main><div class='promo'><p>{prose(40, 'advert')}</p></div>"):
         assert pages.main_text(f"<body>{page}</body>") == EXPECTED, page
+
+
+def test_long_attribute_values_are_no_text():
+    value = '{"a":">>","hidden":true,"t":"class=nav"}' * 5_000
+    for page in (f"<div data-props='{value}'><article>{ARTICLE}</article></div>",
+                 f"<article data-props='{value}'>{ARTICLE}</article>",
+                 f"<article>{ARTICLE}<img alt='{value}'></article>"):
+        assert pages.main_text(f"<body>{page}</body>") == EXPECTED
+    for start in ("<a ", "<a x=\"", "<a x='", "<a x=\"<a y='", "<a x=y ", "<a x=\"'\" "):
+        pages.main_text(start * 200_000)
