@@ -6,8 +6,10 @@
 2. A noisy channel turns a disguised word into a lattice: every character stays,
    stands for a letter it looks like, is a separator to drop, or repeats the
    letter before it. Viterbi decoding finds the likeliest letters under the
-   trigram model. Letters spaced out one by one are joined into one word first.
-   Plain words have one path only and are taken as they are.
+   trigram model. Letters set apart by white space are joined into one word first.
+   Every word that mixes letters with look-alike signs is decoded, of any length;
+   plain words have one path only and are taken as they are. A ``!`` at the end
+   of a word and brackets around it are punctuation.
 3. The restored words give the features: the words and their beginnings. Those
    that tell the labelled rows apart best (chi-squared over a bounded sample of
    labelled rows) enter a logistic regression by their presence anywhere in the
@@ -65,9 +67,13 @@ _DROP_SEPARATOR, _DROP_SIGN, _DROP_LETTER = np.log(0.3), np.log(0.05), np.log(1e
 _EDGES = ".,;:?!\"'()[]{}<>*%&#=/\\~`_-…«»“”„’‘"
 _DISGUISE = re.compile(
     r"[^\W\d_][0-9@$!|+(<€£¡§µ.\-*~'`^·​‌‍­_]+[^\W\d_]"
-    r"|(?<!\S)[0-9@$!|(<€£¡§µ][^\W\d_]{2}|[^\W\d_]{2}[0-9@$€£§](?!\S)|([^\W\d_])\1\1"
+    r"|([^\W\d_])\1\1"
+)
+_LETTER = re.compile(r"[^\W\d_]")
+_SIGN = re.compile(f"[{re.escape(''.join(LOOKS_LIKE))}]")
+_SPACED = re.compile(
+    r"(?<!\S)(?:[^\W\d_]|[0-9@$!|])\s++(?:[^\W_]|[@$!|])(?:\s++(?:[^\W_]|[@$!|]))+(?!\S)"
 )
-_SPACED = re.compile(r"(?<!\S)(?:[^\W\d_]|[0-9@$!|]) (?:[^\W_]|[@$!|])(?: (?:[^\W_]|[@$!|]))+(?!\S)")
 
 
 def trigram_counts(docs: DataFrame) -> DataFrame:
@@ -124,17 +130,21 @@ class CharacterModel:
         p_bi = (bi + 5 * p_one) / (bi.sum(1, keepdims=True) + 5)
         p_tri = (tri + 5 * p_bi[None, :, :]) / (tri.sum(2, keepdims=True) + 5)
         self.log = np.log(p_tri).reshape(-1).tolist()
+        # Paths that go on alike differ in two trigrams, and in one that another repeats.
+        self.behind = -3 * min(self.log) + 1
 
     def restore(self, word: str) -> str:
         """The likeliest letters behind a disguised word (Viterbi over its lattice).
 
-        A state is the last two letters; a step keeps the best path to each state.
+        A state is the last two letters; a step keeps the best path to each state, as
+        (letters before, letter). The cost is linear in the length: states that even the
+        rarest trigrams of another path could not bring back to the front are left out.
         """
         log = self.log
         drawn_out = {c for c, again, more in zip(word, word[1:], word[2:]) if c == again == more}
-        best: dict[tuple[int, int], tuple[float, str]] = {(_EDGE, _EDGE): (0.0, "")}
+        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(_EDGE, _EDGE): (0.0, None)}
         for c in word:
-            step: dict[tuple[int, int], tuple[float, str]] = {}
+            step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             options = [(c, _KEEP)] if c.isalpha() else []
             options += [(o, _STANDS_FOR) for o in LOOKS_LIKE.get(c, "")]
             drop = (
@@ -147,8 +157,8 @@ class CharacterModel:
                     new = score + cost + log[(before * _N + last) * _N + code]
                     key = (last, code)
                     if key not in step or new > step[key][0]:
-                        step[key] = (new, letters + letter)
-                    if c in drawn_out and letters and letters[-1] == letter:
+                        step[key] = (new, (letters, letter))
+                    if c in drawn_out and letters and letters[1] == letter:
                         again = score + cost + _REPEAT
                         key = (before, last)
                         if key not in step or again > step[key][0]:
@@ -159,11 +169,23 @@ class CharacterModel:
                     if key not in step or gone > step[key][0]:
                         step[key] = (gone, letters)
             best = step
-        ends = (
+            if len(best) > 32:
+                least = max(score for score, _ in best.values()) - self.behind
+                best = {key: state for key, state in best.items() if state[0] >= least}
+        ends = [
             (score + log[(before * _N + last) * _N + _EDGE], letters)
             for (before, last), (score, letters) in best.items()
-        )
-        return max(ends, key=lambda e: (e[0], e[1]))[1]
+        ]
+        top = max(score for score, _ in ends)
+        return max(_spelled(letters) for score, letters in ends if score == top)
+
+
+def _spelled(letters: tuple | None) -> str:
+    found = []
+    while letters:
+        letters, letter = letters
+        found.append(letter)
+    return "".join(reversed(found))
 
 
 def character_model(docs: DataFrame) -> CharacterModel:
@@ -184,10 +206,10 @@ class Restorer(dict):
         if len(self) >= REMEMBERED:
             self.clear()
         core = word.lower().strip(_EDGES)
-        if not core.isalpha() or _DISGUISE.search(core):
-            disguised = word.lower().strip(".,;:?\"'")
-            # Beyond this length it is a number, an address or a key, not a word.
-            if len(disguised) <= 40 and _DISGUISE.search(disguised):
+        disguised = word.lower().strip(".,;:?\"'")
+        if not core.isalpha() or _DISGUISE.search(core) or disguised[:1] == "!":
+            mixed = _SIGN.search(core) or disguised[:1] == "!"
+            if mixed and _LETTER.search(core) or _DISGUISE.search(disguised):
                 core = self.model.restore(disguised)
         self[word] = core
         return core
@@ -197,7 +219,7 @@ class Restorer(dict):
             return set()
         found = set(map(self.__getitem__, set(text.split())))
         for run in _SPACED.finditer(text):
-            found.add(self.model.restore(run.group().replace(" ", "").lower()))
+            found.add(self.model.restore("".join(run.group().split()).lower()))
         return found
 
 

@@ -79,3 +79,18 @@ def test_restored_texts(make_docs, model):
     docs = make_docs([(1, "the 1d10t said"), (2, None)])
     found = {r.doc_id: r.words for r in toxicity.restored(docs, model.characters).collect()}
     assert "idiot" in found[1] and found[2] == []
+
+
+def test_every_mixed_or_spaced_word_is_restored(model):
+    restorer = toxicity.Restorer(model.characters)
+    for word in ("id107", "1d107", "!diot", "idi" + "o" * 60 + "t", ("-" * 12).join("idiot")):
+        assert restorer[word] == "idiot", word
+    for word in ("a55", "a$$", "pi55", "$h17", "stupid" * 20 + "5"):
+        assert restorer[word].isalpha(), word
+    assert restorer["idiot!"] == "idiot" and restorer["(thing)"] == "thing"
+    for gap in ("  ", "\t", "\n", "  "):
+        assert "idiot" in restorer.words("so " + gap.join("idiot") + " it"), gap
+
+
+def test_long_mixed_words_cost_linear_time(model):
+    assert len(model.characters.restore("a1b2c3$4" * 2_500)) > 10_000
