@@ -1,7 +1,8 @@
 """Personal data by bootstrapped contextual extraction.
 
 1. Four plain rules find the base spans (email, ip, card, phone). They are the
-   seeds; whatever else looks like an identifier is a candidate.
+   seeds; whatever else looks like an identifier is a candidate: words with a
+   digit or @, and rows of numbers, such as phone numbers written with spaces.
 2. Each occurrence of a seed or candidate gives lexical patterns: the two words
    before it, and the words on both sides. Patterns and instances (the strings
    found) make up a graph.
@@ -23,7 +24,7 @@ import hashlib
 import re
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
@@ -46,6 +47,10 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
+_DIGIT = re.compile("[0-9]")
+# A number as it is written in a row of them, and what may stand between two.
+_NUMERIC = re.compile(r"\+?[0-9][0-9.()/-]*")
+_BETWEEN = re.compile(r"[^\S\r\n]+(?:[-./()]+[^\S\r\n]+)?")
 _EDGES = ".,;:?!\"'()[]{}<>=*&%#$"
 _NEAR = 120  # characters on each side in which context words are looked for
 
@@ -98,30 +103,64 @@ def base_spans(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
 
 
 def _candidates(text: str, base: list[Span], runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Words with a digit or @ that look like identifiers and touch no base span."""
-    places = [start for start, _ in runs]
+    """What looks like an identifier and touches no base span.
+
+    Words with a digit or @, and rows of numbers written with white space
+    between them, dots, hyphens and brackets included, as long as no end of a
+    sentence or line comes between.
+    """
+    places = runs
     if "@" in text:
-        places = sorted([*places, *(m.start() for m in re.finditer("@", text))])
-    found, done = [], 0
-    for place in places:
-        if place < done:
+        places = sorted([*runs, *(m.span() for m in re.finditer("@", text))])
+    words, done = [], 0
+    for start, upto in places:
+        place: int | None = start
+        if done > start:
+            following = _DIGIT.search(text, done, upto)
+            place = following.start() if following else None
+        while place is not None:
+            start, end = place, place
+            while start > done and not text[start - 1].isspace():
+                start -= 1
+            while end < len(text) and not text[end].isspace():
+                end += 1
+            done = end
+            words.append((start, end))
+            following = _DIGIT.search(text, end, upto)
+            place = following.start() if following else None
+    seen, row = [], []
+    for start, end in words:
+        first, last = start, end
+        while first < last and text[first] in _EDGES:
+            first += 1
+        while last > first and text[last - 1] in _EDGES:
+            last -= 1
+        seen.append((first, last))
+        if not _NUMERIC.fullmatch(text, first, last):
+            row = _settled(row, seen)
             continue
-        start = place
-        while start > done and not text[start - 1].isspace():
-            start -= 1
-        end = place
-        while end < len(text) and not text[end].isspace():
-            end += 1
-        done = end
-        while start < end and text[start] in _EDGES:
-            start += 1
-        while end > start and text[end - 1] in _EDGES:
-            end -= 1
-        if end - start < 6 or sum(c.isalnum() for c in text[start:end]) < 5:
+        # An opening bracket before a number belongs to it, and a closing one after it.
+        if row and not (_BETWEEN.fullmatch(text, row[-1][1], start) and text[start:first] in ("", "(")):
+            row = _settled(row, seen)
+        if any(s < end and start < e for s, _, e in base):
+            row = _settled(row, seen)
             continue
-        if not any(s < end and start < e for s, _, e in base):
-            found.append((start, end))
-    return found
+        row.append((start if text[start:first] == "(" else first, end, last))
+        if text[last:end] not in ("", ")"):
+            row = _settled(row, seen)
+    _settled(row, seen)
+    return [
+        (start, end) for start, end in sorted(set(seen))
+        if end - start >= 6 and sum(c.isalnum() for c in text[start:end]) >= 5
+        and not any(s < end and start < e for s, _, e in base)
+    ]
+
+
+def _settled(row: list[tuple[int, int, int]], seen: list[tuple[int, int]]) -> list:
+    """Add a row of several numbers to what was seen, and begin a new row."""
+    if len(row) > 1:
+        seen.append((row[0][0], row[-1][2]))
+    return []
 
 
 def _context(word: str) -> str:
@@ -279,11 +318,18 @@ def find(docs: DataFrame) -> DataFrame:
         .select("unit", "start", "stop", "instance", F.explode("patterns").alias("pattern"))
         .join(trusted, "pattern").join(likely, ["instance", "kind"])
     )
-    best = hits.groupBy("unit", "start").agg(
-        F.max(F.struct("likely", -F.col("kind"), "stop")).alias("best")
+    best = hits.groupBy("unit", "start", "stop").agg(
+        F.max(F.struct("likely", -F.col("kind"))).alias("best")
+    )
+    # A number inside a found row of numbers is part of it.
+    before = Window.partitionBy("unit").orderBy("start", F.col("stop").desc()).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    best = best.withColumn("reached", F.max("stop").over(before)).filter(
+        F.coalesce(F.col("stop") > F.col("reached"), F.lit(True))
     )
     added = best.groupBy("unit").agg(F.array_sort(F.collect_list(F.struct(
-        "start", (-F.col("best.col2")).alias("kind"), F.col("best.stop").alias("stop")
+        "start", (-F.col("best.col2")).alias("kind"), "stop"
     ))).alias("found"))
     none = F.array().cast("array<struct<start:int,kind:int,stop:int>>")
     return rows.drop("occurrences").join(added, "unit", "left").withColumn(

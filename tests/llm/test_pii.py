@@ -94,3 +94,18 @@ def test_redaction(make_docs):
 def test_empty_table(make_docs):
     docs = make_docs([(1, "a@b.cd")]).limit(0)
     assert pii.find(docs).collect() == [] and pii.redact(docs).collect() == []
+
+
+def test_identifiers_written_with_spaces_are_discovered(make_docs):
+    rows = [(i, f"text {i} our phone: +1 743 555 38{i}4 today and more") for i in range(8)]
+    spelled = ["030 1234 5678", "(555) 123 4567", "030 / 123 45 67", "030 - 1234 567", "(0)30 12 34 56",
+               "12 34567890"]
+    texts = [f"so our phone: {s} is here" for s in spelled]
+    texts += [f"so our phone: {s}. 5 of them" for s in spelled]
+    rows += [(20 + i, t) for i, t in enumerate(texts)] + [(50, "we saw 12 34 56 78 birds")]
+    found = {r.doc_id: [tuple(s) for s in r.found] for r in pii.find(make_docs(rows)).collect()}
+    for i, text in enumerate(texts):
+        said = spelled[i % len(spelled)]
+        start = text.index(said)
+        assert found[20 + i] == [(start, 3, start + len(said))], text
+    assert found[50] == []
