@@ -2,7 +2,7 @@
 
 1. A task hashes the word shingles of each text and keeps the ``k`` smallest
    values, the sketch. Texts with equal shingle sets form a class at once; one
-   document per class, the smallest id, goes on.
+   text per class, that of the smallest id, goes on.
 2. Inverted lists. If two sets reach the similarity, their sketches share at
    least ``_needed`` values, so they share one among the few rarest values of
    each. Only those values are listed; a value that very many documents hold is
@@ -29,7 +29,8 @@ the limit), in every list chain that connects the two documents.
 Nulls: a null or empty text, or one without words, has an empty set and no
 links. A row with a null id is kept and linked with nothing (its component is
 null). Ids name documents: rows that share an id are one node, linked if any of
-their texts is.
+their texts is, and joined with all classes their texts are in. ``copies`` takes texts
+as nodes instead: it tells which rows go so that one text of each group stays.
 """
 
 from __future__ import annotations
@@ -65,8 +66,12 @@ def shingle_hashes(words: list[bytes], size: int, hashes: WordHashes) -> np.ndar
     return np.unique(run)
 
 
+def text_hash() -> Column:
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def sketches(docs: DataFrame, size: int, k: int, id_column: str = "doc_id") -> DataFrame:
-    """Per row: doc_id, n_shingles, set_key (equal for equal sets), sketch, bits.
+    """Per row: doc_id, text_hash, n_shingles, set_key (equal for equal sets), sketch, bits.
 
     ``bits`` has the place of each sketch value modulo ``BITS`` set.
     """
@@ -77,7 +82,7 @@ def sketches(docs: DataFrame, size: int, k: int, id_column: str = "doc_id") -> D
 
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
             counts, keys, kept, bits = [], [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 values = shingle_hashes(ascii_words(text and text.lower()), size, hashes)
                 counts.append(len(values))
                 keys.append(blake2b(values.tobytes(), digest_size=16).digest())
@@ -86,16 +91,19 @@ def sketches(docs: DataFrame, size: int, k: int, id_column: str = "doc_id") -> D
                 marks[values[:k] % np.uint64(BITS)] = True
                 bits.append(np.packbits(marks).view(np.int64))
             return batch_of(
-                doc_id=batch.column(0), n_shingles=longs(counts),
+                doc_id=batch.column(0), text_hash=batch.column(1), n_shingles=longs(counts),
                 set_key=pa.array(keys, pa.binary()), sketch=list_array(kept, pa.int64()),
                 bits=list_array(bits, pa.int64()),
             )
 
         return apply
 
-    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_bytes().alias("text"))
+    source = docs.select(
+        F.col(id_column).cast("long").alias("doc_id"), text_hash().alias("text_hash"),
+        text_bytes().alias("text"),
+    )
     return map_batches(
-        source, rows, "doc_id long, n_shingles long, set_key binary, sketch array<long>, "
+        source, rows, "doc_id long, text_hash long, n_shingles long, set_key binary, sketch array<long>, "
         "bits array<long>"
     )
 
@@ -259,49 +267,131 @@ def near_duplicates(
     of ``shingle_words``-word runs; ``component_id`` is the smallest id that
     links lead to.
     """
-    rows = class_table(docs, shingle_words, k)
+    rows, units, links = _graph(docs, shingle_words, percent, k)
+    named = rows.filter("doc_id is not null")
+    classes = units.select("set_key", F.col("id").alias("least"))
+    # Ids are the nodes: links join those of two classes, and an id the classes it appears in.
+    several = (
+        named.groupBy("doc_id").agg(
+            F.min(F.xxhash64("set_key")).alias("low"), F.max(F.xxhash64("set_key")).alias("high")
+        ).filter("low <> high").select(F.col("doc_id").alias("of"))
+    )
+    meant = named.join(several, named["doc_id"] == several["of"]).join(classes, "set_key").select(
+        F.col("doc_id").alias("a"), F.col("least").alias("b")
+    )
+    ids = units.select(F.col("doc").alias("unit"), "id")
+    edges = (
+        links.join(ids.toDF("a", "one"), "a").join(ids.toDF("b", "other"), "b")
+        .select(F.col("one").alias("a"), F.col("other").alias("b"))
+    )
+    joined = components(edges.union(meant))
+    found = classes.join(joined, classes["least"] == joined["node"], "left").select(
+        "set_key", F.coalesce("component", "least").alias("component_id")
+    )
+    columns = ("doc_id", "n_shingles", "component_id")
+    with_sets = rows.filter("n_shingles > 0").join(found, "set_key", "left").select(*columns)
+    # Empty sets are linked with nothing, but their ids may have other texts.
+    empty = rows.filter("n_shingles = 0").join(
+        joined, F.col("doc_id") == joined["node"], "left"
+    ).select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+    return with_sets.union(empty).withColumn(
+        "component_id",
+        F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component_id")), "doc_id"),
+    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def _graph(docs: DataFrame, size: int, percent: int, k: int):
+    """The sketches of all rows, one unit per class, and links (a, b) of units.
+
+    A unit has a number ``doc`` and the smallest ``id`` that its class has.
+    """
+    rows = class_table(docs, size, k)
     classes = (
         rows.filter("n_shingles > 0 and doc_id is not null")
-        .groupBy("set_key").agg(F.min("doc_id").alias("doc"))
+        .groupBy("set_key").agg(F.min("doc_id").alias("id"))
     )
     # The id is part of the key, so a class of very many copies meets in no single task.
     units = written(
-        rows.withColumnRenamed("doc_id", "doc").join(classes, ["set_key", "doc"])
-        .select("doc", F.col("n_shingles").alias("n"), "sketch", "bits")
-        .dropDuplicates(["doc"]),
+        rows.withColumnRenamed("doc_id", "id").join(classes, ["set_key", "id"])
+        .select("set_key", "id", F.col("n_shingles").alias("n"), "sketch", "bits")
+        .dropDuplicates(["set_key", "id"])
+        .withColumn("doc", F.monotonically_increasing_id()),
         "units",
     )
-    joined = components(_links(docs, units, shingle_words, percent, k))
-    named = classes.join(joined, classes["doc"] == joined["node"], "left").select(
-        "set_key", F.coalesce("component", "doc").alias("component_id")
+    return rows, units, _links(docs, units, size, percent, k)
+
+
+def copies(
+    docs: DataFrame, shingle_words: int = 5, percent: int = 80, k: int = 128
+) -> tuple[DataFrame, DataFrame]:
+    """What goes so that one row of each group of linked texts stays.
+
+    The first table, (gone_id, gone_hash), names rows that go. The second,
+    (once_id, once_hash), names equal rows that share an id, of which one stays.
+    Texts are the nodes here, so one text of an id may go and another stay. Rows
+    without an id or words stay.
+    """
+    rows, units, links = _graph(docs, shingle_words, percent, k)
+    joined = components(written(links, "text-links"), "text-components")
+    grouped = units.join(joined, units["doc"] == joined["node"], "left").select(
+        "set_key", "id", F.coalesce("component", "doc").alias("component")
+    )
+    kept = grouped.groupBy("component").agg(
+        F.min(F.struct("id", "set_key")).alias("kept")
+    ).select(F.col("kept.set_key").alias("set_key"), F.col("kept.id").alias("doc_id"))
+    texts = (
+        rows.filter("n_shingles > 0 and doc_id is not null")
+        .groupBy("set_key", "doc_id", "text_hash").agg(F.count("*").alias("times"))
+    )
+    # Of texts with equal sets in the kept class and id, that with the smallest hash stays.
+    stays = texts.join(kept, ["set_key", "doc_id"]).groupBy("set_key", "doc_id").agg(
+        F.min("text_hash").alias("first")
+    )
+    marked = written(
+        texts.join(stays, ["set_key", "doc_id"], "left").select(
+            "doc_id", "text_hash", "times",
+            F.coalesce(F.col("text_hash") == F.col("first"), F.lit(False)).alias("stays"),
+        ).filter("not stays or times > 1"),
+        "copies",
+    )
+    return (
+        marked.filter("not stays").select(
+            F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")
+        ),
+        marked.filter("stays").select(
+            F.col("doc_id").alias("once_id"), F.col("text_hash").alias("once_hash")
+        ),
     )
-    return rows.drop("sketch", "bits").join(named, "set_key", "left").select(
-        "doc_id", "n_shingles",
-        F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component_id")), "doc_id")
-        .alias("component_id"),
-    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def _shingles(docs: DataFrame, listed: DataFrame, size: int) -> DataFrame:
-    """(doc, shingles): the full sets, sorted, of the listed documents."""
+    """(doc, shingles): the full sets, sorted, of the listed units (doc, id, set_key)."""
 
     def rows():
+        from hashlib import blake2b
+
         hashes = WordHashes()
 
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [
-                shingle_hashes(ascii_words(text and text.lower()), size, hashes).view(np.int64)
-                for text in batch.column(1).to_pylist()
-            ]
+            found, own = [], []
+            for text, key in zip(
+                batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True
+            ):
+                values = shingle_hashes(ascii_words(text and text.lower()), size, hashes)
+                # An id may have other texts, which are other units.
+                own.append(blake2b(values.tobytes(), digest_size=16).digest() == key)
+                found.append(np.sort(values.view(np.int64)))
             return batch_of(
-                doc=batch.column(0),
-                shingles=list_array([np.sort(f) for f in found], pa.int64()),
-            )
+                doc=batch.column(0), shingles=list_array(found, pa.int64()),
+            ).filter(pa.array(own, pa.bool_()))
 
         return apply
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), text_bytes().alias("text"))
-    return map_batches(texts.join(listed, "doc"), rows, "doc long, shingles array<long>")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_bytes().alias("text"))
+    return map_batches(
+        texts.join(listed, "id").select("doc", "text", "set_key"), rows,
+        "doc long, shingles array<long>",
+    )
 
 
 def _links(docs: DataFrame, units: DataFrame, size: int, percent: int, k: int) -> DataFrame:
@@ -327,6 +417,7 @@ def _links(docs: DataFrame, units: DataFrame, size: int, percent: int, k: int) -
     )
     # Only documents in some star or in a list with another are compared at all.
     listed = lists.join(several, "value").select("doc").distinct()
+    listed = listed.join(units.select("doc", "id", "set_key"), "doc")
     sets = written(_shingles(docs, listed, size), "sets")
 
     def confirmed(pairs: DataFrame, label: str) -> DataFrame:

@@ -25,16 +25,21 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near duplicates."""
-    found = near_dup.near_duplicates(docs, shingle_words=5, percent=80)
-    dropped = written(
-        found.filter("not kept").select(F.col("doc_id").alias("dropped")).distinct(), "dropped"
-    )
-    if dropped.count() <= BROADCAST_ROWS:
-        dropped = F.broadcast(dropped)
-    return docs.alias("d").join(
-        dropped.alias("x"), F.col("d.doc_id") == F.col("x.dropped"), "left_anti"
+    """One row, that with the smallest id, of each group of near duplicate texts."""
+    gone, once = near_dup.copies(docs, shingle_words=5, percent=80)
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    row = (F.col("doc_id").cast("long"), near_dup.text_hash())
+    keyed = docs.withColumn("of_id", row[0]).withColumn("of_hash", row[1])
+    left = keyed.join(
+        gone, (F.col("of_id") == gone["gone_id"]) & (F.col("of_hash") == gone["gone_hash"]),
+        "left_anti",
     )
+    if once.isEmpty():
+        return left.drop("of_id", "of_hash")
+    same = (F.col("of_id") == once["once_id"]) & (F.col("of_hash") == once["once_hash"])
+    repeated = left.join(once, same, "left_semi").dropDuplicates(["of_id", "of_hash"])
+    return left.join(once, same, "left_anti").union(repeated).drop("of_id", "of_hash")
 
 
 def keep_unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -108,3 +108,33 @@ def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1001), (5, 5)]
     found = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert found == {**{i: 0 for i in range(201)}, 1000: 1000, 1001: 1000}
+
+
+def texts_of(n):
+    return " ".join(f"{n}{i}" for i in range(60))
+
+
+def ids_with_two_texts():
+    x, y, z = texts_of("x"), texts_of("y"), texts_of("z")
+    return [(1, x), (3, x), (3, z), (5, z + " more"), (11, x + " w"), (11, y), (15, y + " more"), (3, ""),
+            (20, "é"), (20, ""), (21, y + " more still")]
+
+
+def test_ids_with_two_texts_join_their_classes(make_docs):
+    for rows in (ids_with_two_texts(), ids_with_two_texts()[::-1]):
+        check(make_docs(rows), rows, 2)
+
+
+def test_the_pipeline_keeps_one_row_of_each_group_of_texts(spark, make_docs):
+    import corpus_pipeline
+
+    x, y, z = texts_of("x"), texts_of("y"), texts_of("z")
+    rows = [*ids_with_two_texts(), (1, x), (None, x), (None, x), (1, x.upper())]
+    found = corpus_pipeline.keep_distinct(spark, make_docs(rows), "").collect()
+    kept = [(r.doc_id, r.text) for r in found]
+    assert len([r for r in kept if r[0] == 1 and r[1].lower() == x]) == 1
+    rest = [r for r in kept if r[0] != 1]
+    assert sorted(rest, key=str) == sorted(
+        [(None, x), (None, x), (3, z), (11, y), (3, ""), (20, "é"), (20, "")], key=str
+    )
+    assert list(found[0].asDict()) == make_docs(rows).columns
