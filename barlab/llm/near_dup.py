@@ -23,8 +23,8 @@
    shingles) by ``100 * intersection >= percent * union``.
 
 A wrong answer needs a linked pair whose sketch overlap falls ``SIGMAS``
-standard deviations below its mean (about 3 in 10 million for pairs right at
-the limit), in every list chain that connects the two documents.
+standard deviations below its mean (about 2 in 10 million by the exact binomial
+for pairs right at the limit and ``k`` 128), in every list chain that connects the two documents.
 
 Nulls: a null or empty text, or one without words, has an empty set and no
 links. A row with a null id is kept and linked with nothing (its component is
@@ -46,7 +46,7 @@ from .common import (
     text_bytes,
 )
 
-SIGMAS = 5.0
+SIGMAS = 5.5
 BITS = 256
 # Components and lists from this size on are compared in blocks of about so many documents.
 LARGE = 64

@@ -138,3 +138,13 @@ def test_the_pipeline_keeps_one_row_of_each_group_of_texts(spark, make_docs):
         [(None, x), (None, x), (3, z), (11, y), (3, ""), (20, "é"), (20, "")], key=str
     )
     assert list(found[0].asDict()) == make_docs(rows).columns
+
+
+def test_loss_at_the_limit_is_as_stated(spark):
+    from math import comb
+
+    from pyspark.sql import functions as F
+
+    needed = spark.range(1).select(near_dup._needed(F.lit(10 ** 9), 128, 0.8)).first()[0]
+    loss = sum(comb(128, i) * 0.8 ** i * 0.2 ** (128 - i) for i in range(int(needed)))
+    assert loss < 2.5e-7
