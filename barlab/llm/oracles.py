@@ -95,8 +95,136 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(places.n, 0)::BIGINT AS n_hi
        coalesce(places.n, 0) > 0 AS contaminated
 FROM words LEFT JOIN places USING (doc_id) LEFT JOIN owners USING (doc_id)"""
 
+_AUDIT = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS said FROM documents
+),
+firsts AS (SELECT said, min(doc_id) AS first FROM texts GROUP BY said),
+marks AS (
+    SELECT doc_id, max((quality IS NOT DISTINCT FROM 1)::INT) AS good,
+           max((toxic IS NOT DISTINCT FROM 1)::INT) AS toxic
+    FROM labels GROUP BY doc_id
+),
+worded AS (
+    SELECT *, list_filter(
+        regexp_split_to_array(said, '[\x20\x09-\x0D]+'), lambda x: x <> ''
+    ) AS ws FROM texts
+),
+judged AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, map {
+        'A': len(ws) < 100,
+        'B': 100 * len(list_distinct(ws)) < 80 * len(ws),
+        'C': 100 * (length(said) - length(translate(said, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')))
+             > 10 * length(said),
+        'D': regexp_matches(said, '[#$%&*|]'),
+        'E': coalesce(first < worded.doc_id, false)
+    } AS failed
+    FROM worded JOIN firsts USING (said) LEFT JOIN marks USING (doc_id)
+),
+counted AS (
+    SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+    FROM judged GROUP BY part, failed
+),
+orders AS (
+    SELECT '' AS filter_order
+    UNION ALL
+    SELECT filter_order || letter
+    FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter)
+    WHERE NOT contains(filter_order, letter)
+),
+steps AS (
+    SELECT filter_order, step, filter_order[step] AS letter
+    FROM orders, (SELECT unnest(range(1, 6))::INT AS step) WHERE length(filter_order) = 5
+),
+ranked AS (
+    SELECT c.part, s.filter_order, s.step, s.letter, c.n, c.good, c.toxic,
+           c.failed[s.letter] AS fails,
+           len(list_filter(range(1, s.step), lambda i: c.failed[s.filter_order[i]])) > 0 AS gone,
+           len(list_filter(map_values(c.failed), lambda f: f)) = 1 AS alone
+    FROM counted c, steps s
+),
+totals AS (
+    SELECT part, filter_order, step, letter,
+           sum(CASE WHEN NOT gone AND NOT fails THEN n ELSE 0 END)::BIGINT AS kept,
+           sum(CASE WHEN NOT gone AND fails THEN n ELSE 0 END)::BIGINT AS removed,
+           sum(CASE WHEN gone AND fails THEN n ELSE 0 END)::BIGINT AS redundant,
+           sum(CASE WHEN alone AND fails THEN n ELSE 0 END)::BIGINT AS unique_fails,
+           sum(CASE WHEN NOT gone AND fails THEN good ELSE 0 END)::BIGINT AS good_lost,
+           sum(CASE WHEN NOT gone AND fails THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+    FROM ranked GROUP BY ALL
+)
+SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM totals"""
+
+_TRIE = r"""
+WITH RECURSIVE bits AS (
+    SELECT i, i AS c, 0 AS k FROM (SELECT unnest(range(256)) AS i)
+    UNION ALL
+    SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1
+    FROM bits WHERE k < 8
+),
+crcs AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+said AS (
+    SELECT conv_id, list(
+        {'role': coalesce(role, ''), 'text': coalesce(text, '')}
+        ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')
+    ) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+taken AS (
+    SELECT conv_id, turns, conv_id - conv_id % 5 AS lender, xor(list_reduce(
+        list_prepend(4294967295, list_transform(
+            string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+        lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])
+    ), 4294967295) % 9 AS h
+    FROM said, crcs
+),
+whole AS (
+    SELECT x.conv_id, coalesce(y.turns[1:x.h::INT], []) || x.turns[x.h::INT + 1:] AS turns
+    FROM taken x LEFT JOIN said y ON y.conv_id = x.lender
+),
+members AS (
+    SELECT conv_id, d::BIGINT AS depth, turns[1:d] AS path, len(turns) = d AS ended,
+           CASE WHEN d = 0 THEN 0 ELSE strlen(turns[d].text) END AS bytes
+    FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM whole)
+),
+nodes AS (
+    SELECT min(conv_id) AS conv_id, depth, path, count(*) AS n_convs,
+           (count(*) - 1) * min(bytes) AS saved,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+                           FILTER (WHERE ended), '')) AS ends_sha256
+    FROM members GROUP BY depth, path
+),
+linked AS (
+    SELECT x.*, y.conv_id AS parent_conv_id
+    FROM nodes x LEFT JOIN nodes y
+        ON y.depth = x.depth - 1 AND y.path = x.path[1:x.depth::INT - 1]
+),
+below AS (
+    SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children
+    FROM linked WHERE depth > 0 GROUP BY ALL
+),
+tree AS (
+    SELECT linked.*, coalesce(n_children, 0) AS n_children
+    FROM linked LEFT JOIN below USING (conv_id, depth)
+),
+climb AS (
+    SELECT conv_id, depth, parent_conv_id, (n_children = 0)::BIGINT AS leaf, saved FROM tree
+    UNION ALL
+    SELECT t.conv_id, t.depth, t.parent_conv_id, c.leaf, c.saved
+    FROM climb c JOIN tree t ON t.conv_id = c.parent_conv_id AND t.depth = c.depth - 1
+),
+sums AS (
+    SELECT conv_id, depth, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+    FROM climb GROUP BY ALL
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM tree JOIN sums USING (conv_id, depth)"""
+
 ORACLES: dict[str, str] = {
     "op3_near_dup": _NEAR_DUP,
     "op8_substring_dedup": _REPEATS,
     "op10_decontaminate": _LEAKS,
+    "op12_filter_audit": _AUDIT,
+    "op13_prefix_trie": _TRIE,
 }

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import fresh_dir
 from . import (
-    ann, decontaminate, licences, near_dup, pages, pieces, pii, quality, substring_dedup, toxicity,
+    ann, decontaminate, filter_audit, licences, near_dup, pages, pieces, pii, quality,
+    substring_dedup, token_files, toxicity, trie,
 )
 from .common import table
 
@@ -99,3 +101,34 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
     ).drop("text_hash")
+
+
+@query
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Written to a new folder of files, and read back from them."""
+    import public_tokenizers
+
+    path = fresh_dir(spark, "token-files")
+    token_files.write(
+        table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return token_files.read(spark, path).select(
+        "doc_id", "start", (F.length("tokens") / 4).cast("long").alias("n_tokens"),
+        F.crc32("tokens").alias("ids_crc32"),
+    )
+
+
+@query
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Filters A to E in all 120 orders, per language."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    counts = filter_audit.with_copies(
+        table(spark, folder, "documents"), filter_audit.text_conditions(text),
+        table(spark, folder, "labels"),
+    )
+    return filter_audit.audit(counts, list("ABCDE")).drop("filter")
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, folder, "conversations"))
