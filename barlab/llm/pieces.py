@@ -2,16 +2,17 @@
 
 The pieces and scores of a model file are read as they are; the ids of a text
 are the segmentation with the largest sum of scores. The search walks through
-the text and keeps scores only for boundaries that a piece can still reach, at
-most the length of the longest piece back. Whenever the back pointers of all
-boundaries that are still open lead through one boundary, the ids before it are
-final: they are emitted and forgotten. So a text of any length needs a small
-window, and no text is cut.
-
-Where no piece of the model crosses the start of a word, such a boundary comes
-at each word at the latest, and what follows does not depend on what came
-before. Then the ids of a word are remembered and the search runs once per
-different word. Words longer than ``LONGEST_REMEMBERED`` are searched each time.
+the text and keeps scores and back pointers of a window of boundaries. Whenever
+the back pointers of all boundaries that are still open lead through one
+boundary, the ids before it are final: they are emitted and forgotten. The window
+is at least four times the longest piece and doubles until the paths agree. So a
+text of any length needs a small window and time in proportion, and no text is
+cut.
+
+Where no piece of the model crosses the start of a word, all paths agree there,
+and what follows does not depend on what came before. Then the search runs word
+by word, and a worker remembers the ids of ``REMEMBERED`` words; longer words
+than ``LONGEST_REMEMBERED`` are searched again, to bound its memory.
 
 As the model files ask: one space is put before the text, spaces become ``▁``,
 nothing else is normalised; a character in no piece becomes its UTF-8 byte
@@ -19,7 +20,9 @@ pieces, or the unknown id if the model has none. Equal sums prefer the longest
 last piece. Decoding undoes all of this; a ``▁`` in the text itself comes back
 as a space.
 
-Nulls: a null text has null ids, an empty one has none. Rows need no id.
+Nulls: a null text has null ids, an empty one has none. Rows need no id; repeated
+rows stay. An empty table gives an empty one. Columns of ``docs`` stay, but those
+of the names that are added are replaced.
 """
 
 from __future__ import annotations
@@ -38,9 +41,11 @@ from .common import list_array, map_batches
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-REMEMBERED = 160_000
+REMEMBERED = 240_000
 LONGEST_REMEMBERED = 64
 
+_NEVER = float("-inf")
+
 
 class Vocabulary:
     """Pieces, scores and special ids of a model file."""
@@ -68,15 +73,17 @@ class Vocabulary:
         self._derive()
 
     def _derive(self) -> None:
-        self.beginnings = {p[:n] for p in self.pieces for n in range(1, len(p) + 1)}
+        self._encoder: Encoder | None = None
+        # The pieces letter by letter: to each letter, what may follow, and the score and
+        # id of the piece that ends there, if one does.
+        leaf: dict = {}
+        kids: dict[str, dict] = {"": {}}
+        for piece in sorted({p[:n] for p in self.pieces for n in range(1, len(p) + 1)},
+                            key=len, reverse=True):
+            node = (kids.pop(piece, leaf), *self.pieces.get(piece, (None, None)))
+            kids.setdefault(piece[:-1], {})[piece[-1]] = node
+        self.letters: dict = kids[""]
         self.longest = max(map(len, self.pieces), default=1)
-        # The same pieces letter by letter; a piece is held under the empty letter.
-        self.letters: dict = {}
-        for piece, held in self.pieces.items():
-            node = self.letters
-            for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = held
         self.lowest = min((s for s, _ in self.pieces.values()), default=0.0) - 10.0
         # Words are independent if the mark of a word's start only starts pieces.
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.pieces)
@@ -87,114 +94,97 @@ class Vocabulary:
                                 else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
-def _ids(vocabulary: Vocabulary, piece: str, known: int | None) -> list[int]:
-    if known is not None:
-        return [known]
-    found = [vocabulary.bytes[b] for b in piece.encode()]
+    def encoder(self) -> Encoder:
+        if self._encoder is None:
+            self._encoder = Encoder(self)
+        return self._encoder
+
+
+def _bytes(vocabulary: Vocabulary, letter: str) -> list[int]:
+    found = [vocabulary.bytes[b] for b in letter.encode()]
     return found if min(found) >= 0 else [vocabulary.unknown]
 
 
 def stream_ids(vocabulary: Vocabulary, text: str) -> Iterator[list[int]]:
-    """Lists of final ids, each as soon as all open paths agree on a boundary."""
-    pieces, beginnings, lowest = vocabulary.pieces, vocabulary.beginnings, vocabulary.lowest
-    # Of each open boundary: best score, start of the last piece, its id (None: unknown).
-    score: dict[int, float] = {0: 0.0}
-    back: dict[int, tuple[int, int | None]] = {}
-    growing: list[int] = []  # starts from which a longer piece is still possible
-    settled = 0
-
-    def emit(upto: int) -> list[int]:
-        nonlocal settled
-        path, at = [], upto
-        while at > settled:
-            start, known = back[at]
-            path.append(_ids(vocabulary, text[start:at], known))
-            at = start
-        for boundary in [b for b in back if b <= upto]:
-            del back[boundary]
-        settled = upto
-        return [i for ids in reversed(path) for i in ids]
-
-    for end in range(1, len(text) + 1):
-        growing.append(end - 1)
-        alive = []
-        single = text[end - 1] in pieces
-        for start in growing:
-            piece = text[start:end]
-            if piece not in beginnings:
-                continue
-            alive.append(start)
-            held = pieces.get(piece)
-            if held is not None:
-                total = score[start] + held[0]
-                if end not in score or total > score[end]:
-                    score[end], back[end] = total, (start, held[1])
-        if not single:
-            total = score[end - 1] + lowest
-            if end not in score or total > score[end]:
-                score[end], back[end] = total, (end - 1, None)
-        growing = [s for s in alive if end < len(text) and text[s:end + 1] in beginnings]
-        keep = {end, *growing}
-        for boundary in [b for b in score if b not in keep]:
-            del score[boundary]
-        if not growing:
-            yield emit(end)  # every path that goes on starts here
-        elif len(back) >= 4 * vocabulary.longest:
-            common = _meeting(back, [*growing, end], settled)
-            if common > settled:
-                yield emit(common)
-    if settled < len(text):
-        yield emit(len(text))
-
-
-def _meeting(back: dict[int, tuple[int, int | None]], open_at: list[int], settled: int) -> int:
-    """The last boundary that the paths to all open boundaries share."""
-    places = list(open_at)
-    while len(set(places)) > 1:
-        furthest = max(places)
-        places = [back[p][0] if p == furthest else p for p in places]
-        if min(places) <= settled:
-            return settled
-    return places[0]
-
-
-def word_ids(vocabulary: Vocabulary, word: str) -> list[int]:
-    """The ids of a short text by the same search without a window: a word is one."""
-    pieces, lowest = vocabulary.pieces, vocabulary.lowest
-    n = len(word)
-    score, back, known = [0.0, *[_NEVER] * n], [0] * (n + 1), [None] * (n + 1)
+    """Lists of final ids, each as soon as all open paths agree on a boundary.
+
+    Boundaries are counted from the last one agreed on. Agreement is looked for
+    each time their number has doubled since it was last looked for, which walks
+    the back pointers once, so the time is in proportion to the text.
+    """
+    pieces, letters, lowest = vocabulary.pieces, vocabulary.letters, vocabulary.lowest
+    n, settled, longest = len(text), 0, vocabulary.longest
+    least = 4 * longest
+    attempt = least
+    # Of each boundary: best score, start of the last piece, its id (None: unknown).
+    room = min(n, attempt + longest) + 1
+    score, back, known = [0.0, *[_NEVER] * (room - 1)], [0] * room, [None] * room
     for start in range(n):
-        node, reached = vocabulary.letters, score[start]
-        for end in range(start, n):
-            node = node.get(word[end])
+        here = start - settled
+        if here >= attempt:
+            common = _meeting(back, here, score)
+            if common:
+                yield _path(vocabulary, text, back, known, common, settled)
+                settled += common
+                here -= common
+                score, known = score[common:], known[common:]
+                back = [max(b - common, 0) for b in back[common:]]
+            attempt = max(least, 2 * here)
+            more = min(n - settled, attempt + longest) + 1 - len(score)
+            if more > 0:
+                score += [_NEVER] * more
+                back += [0] * more
+                known += [None] * more
+        following, reached, at = letters, score[here], here
+        for letter in text[start:start + longest]:
+            node = following.get(letter)
             if node is None:
                 break
-            if "" in node:
-                worth, number = node[""]
-                if reached + worth > score[end + 1]:
-                    score[end + 1], back[end + 1] = reached + worth, start
-                    known[end + 1] = number
-        if word[start] not in pieces and reached + lowest > score[start + 1]:
-            score[start + 1], back[start + 1], known[start + 1] = reached + lowest, start, None
-    path, at = [], n
+            at += 1
+            following, worth, number = node
+            if worth is not None and reached + worth > score[at]:
+                score[at], back[at], known[at] = reached + worth, here, number
+        if text[start] not in pieces and reached + lowest > score[here + 1]:
+            score[here + 1], back[here + 1], known[here + 1] = reached + lowest, here, None
+    if settled < n:
+        yield _path(vocabulary, text, back, known, n - settled, settled)
+
+
+def _meeting(back: list[int], here: int, score: list[float]) -> int:
+    """The last boundary that the paths to ``here`` and all reached beyond it share."""
+    ends = [here, *(i for i in range(here + 1, len(back)) if score[i] != _NEVER)]
+    open_at = set(ends)
+    place = ends[-1]
+    while len(open_at) > 1:
+        # The furthest open boundary steps back; where only one is left, all paths meet.
+        if place in open_at:
+            open_at.discard(place)
+            open_at.add(back[place])
+        place -= 1
+    return open_at.pop()
+
+
+def _path(
+    vocabulary: Vocabulary, text: str, back: list[int], known: list[int | None], upto: int,
+    settled: int,
+) -> list[int]:
+    path, at = [], upto
     while at:
         start, number = back[at], known[at]
         if number is None:
-            path += reversed(_ids(vocabulary, word[start:at], None))
+            path += reversed(_bytes(vocabulary, text[settled + start:settled + at]))
         else:
             path.append(number)
         at = start
-    return path[::-1]
-
-
-_NEVER = float("-inf")
+    path.reverse()
+    return path
 
 
 class Encoder(dict):
     """Words, mapped to their ids as 32-bit numbers.
 
     Two generations are remembered, so words that come often are not forgotten
-    when the newer one is full.
+    when the newer one is full. The tasks of one worker share them.
     """
 
     def __init__(self, vocabulary: Vocabulary):
@@ -210,7 +200,7 @@ class Encoder(dict):
             return self._search(word)
         value = self.older.get(word)
         if value is None:
-            value = array("i", word_ids(self.vocabulary, word)).tobytes()
+            value = self._search(word)
         if 2 * len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()
@@ -260,7 +250,8 @@ def encode(
     place = docs.columns.index("text")
 
     def rows():
-        encoder = Encoder(shared.value)
+        # A worker holds a broadcast value, and what it remembers of it, across tasks.
+        encoder = shared.value.encoder()
 
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = [

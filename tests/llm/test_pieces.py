@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -27,7 +28,7 @@ def brute(vocabulary, text):
     ids, at = [], len(text)
     while at:
         start, known = best[at][1]
-        ids = pieces._ids(vocabulary, text[start:at], known) + ids
+        ids = (pieces._bytes(vocabulary, text[start:at]) if known is None else [known]) + ids
         at = start
     return ids
 
@@ -52,6 +53,27 @@ def test_commits_before_the_end(vocabulary):
     assert len(parts) > 10
 
 
+@pytest.mark.parametrize("sign", ["a", "-", " ", "é", "\x00"])
+def test_time_grows_with_the_run(vocabulary, sign):
+    """Runs of one sign, whose paths may never agree, take time in proportion."""
+    taken = []
+    for n in (20_000, 100_000):
+        began = time.process_time()
+        parts = list(pieces.stream_ids(vocabulary, sign * n))
+        taken.append(time.process_time() - began)
+        assert b"".join(vocabulary.surface[i] for p in parts for i in p).decode() == sign * n
+    assert taken[1] < 15 * taken[0] + 1 and taken[1] < 30
+
+
+def test_window_is_agreed_on_late(vocabulary):
+    """Runs that stay undecided over several windows, then end: as the whole table has it."""
+    rng = random.Random(2)
+    for _ in range(30):
+        text = "".join(rng.choice("a-e") * rng.randrange(1, 300) for _ in range(4))
+        parts = [i for p in pieces.stream_ids(vocabulary, text) for i in p]
+        assert parts == brute(vocabulary, text)
+
+
 def test_equals_the_library_as_a_unigram_model(vocabulary, texts):
     """The same file read as a unigram model segments plain words in the same way.
 
