@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and set(QUERIES) | {"pipeline"} <= set(driver.queries())
+    assert numbers == list(range(1, 14)) and set(QUERIES) | {"pipeline"} <= set(driver.queries())
     assert set(ORACLES) <= set(QUERIES) and set(ORACLES) <= set(driver.oracle_sql())
 
 
