@@ -40,6 +40,8 @@ import os
 import re
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -54,9 +56,10 @@ BLOCK = 4096
 LANES = 64
 BLOCKS_AT_ONCE = 64
 PERCENT = 95
-BYTES_A_FILE = 64 << 20
+BYTES_A_FILE = 32 << 20
 # Parts of texts and characters in them that a task remembers before it starts over.
-PARTS, PART_CHARS = 300_000, 8_000_000
+PARTS, PART_CHARS = 500_000, 8_000_000
+PARTS_AT_ONCE = 4096
 TEXTS_AT_ONCE = 64
 BYTES_AT_ONCE = 4 << 20
 
@@ -172,7 +175,12 @@ class Shelf:
 
 
 class Encoder:
-    """Token ids of texts as little-endian 32-bit numbers."""
+    """Token ids of texts as little-endian 32-bit numbers.
+
+    A text is cut before each space that a non-space follows. Parts not yet known
+    are encoded many at a time as one text, whose ids are told apart by the bytes
+    their tokens stand for.
+    """
 
     def __init__(self, model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already uses every core
@@ -182,27 +190,72 @@ class Encoder:
         self.library.encode_special_tokens = True
         asked = json.loads(model)
         split = asked.get("pre_tokenizer") or {}
-        byte_level = (
+        self.by_part = (
             split.get("type") == "ByteLevel" and split.get("use_regex", True)
             and not split.get("add_prefix_space") and not asked.get("normalizer")
         )
-        self.cut = re.compile(r"(?= \S)").split if byte_level else lambda text: [text]
+        if self.by_part:
+            # One sign of a byte-level token stands for one byte.
+            tokens = map(self.library.id_to_token, range(self.library.get_vocab_size()))
+            self.sizes = np.array([len(t or "") for t in tokens], np.int64)
+        # Ids of parts with a space before them, and the characters of those parts.
         self.known: dict[str, bytes] = {}
         self.chars = 0
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [self.cut(text) if text else [] for text in texts]
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def _learn(self, parts: list[str]) -> None:
+        """Remember the ids of each part with a space before it."""
+        self.chars += sum(map(len, parts))
+        for start in range(0, len(parts), PARTS_AT_ONCE):
+            some = parts[start:start + PARTS_AT_ONCE]
+            ids = self._whole([" " + " ".join(some)])[0]
+            ends = np.cumsum(self.sizes[np.frombuffer(ids, "<u4")])
+            cuts = np.cumsum([len(part.encode()) + 1 for part in some])
+            places = np.searchsorted(ends, cuts)
+            if not (ends[places] == cuts).all():
+                raise ValueError("a token crosses the start of a part")
+            stops = (4 * (places + 1)).tolist()
+            self.known.update(zip(some, map(ids.__getitem__, map(slice, [0, *stops], stops))))
+
+    def _forget(self) -> None:
+        """Drop the older half of what has become too much."""
         if len(self.known) > PARTS or self.chars > PART_CHARS:
-            self.known.clear()
-            self.chars = 0
-        new = list(set().union(*parts).difference(self.known))
-        for start in range(0, len(new), 4096):
-            some = new[start:start + 4096]
-            found = self.library.encode_batch_fast(some, add_special_tokens=False)
-            for part, encoded in zip(some, found):
-                self.known[part] = np.array(encoded.ids, "<u4").tobytes()
-                self.chars += len(part)
-        return [b"".join(map(self.known.__getitem__, part)) for part in parts]
+            for part in list(islice(self.known, len(self.known) // 2)):
+                del self.known[part]
+            self.chars = sum(map(len, self.known))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.by_part:
+            return self._whole(texts)
+        self._forget()
+        parts = [
+            text.split(" ") if not _BEFORE_SPACE.search(text)
+            else [p[i > 0:] for i, p in enumerate(_CUT.split(text))] for text in texts
+        ]
+        firsts = self._whole([part[0] for part in parts])
+        found = [list(map(self.known.get, part[1:])) for part in parts]
+        new = list({
+            p for part, ids in zip(parts, found) if None in ids
+            for p, i in zip(part[1:], ids) if i is None
+        })
+        self._learn(new)
+        return [
+            first + b"".join(ids if None not in ids else map(self.known.__getitem__, part[1:]))
+            for first, part, ids in zip(firsts, parts, found)
+        ]
+
+
+_CUT = re.compile(r"(?= \S)")
+_BEFORE_SPACE = re.compile(r" (?!\S)")
+
+
+@lru_cache(maxsize=1)
+def _encoder(model: str) -> Encoder:
+    """One for all tasks of a worker."""
+    return Encoder(model)
 
 
 def _file(number: int, batches: Iterator[pa.RecordBatch], encoder: Encoder, end_id: int,
@@ -265,7 +318,7 @@ def write(
     files = max(-(-size // bytes_a_file), spark.sparkContext.defaultParallelism)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model.value)
+        encoder = _encoder(model.value)
         for record in _file(TaskContext.get().partitionId(), batches, encoder, end_id, percent):
             yield pa.RecordBatch.from_arrays([pa.array([record], pa.binary())], names=["value"])
 
@@ -351,7 +404,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     schema = "file long, place long, doc_id long, offset long, tokens binary"
     found = _files(spark, path).select("content").mapInArrow(run, schema)
-    # One row of 16 bytes for each file of 64 MB of text.
+    # One row of 16 bytes for each file of ``BYTES_A_FILE`` bytes of text.
     return found.join(F.broadcast(_totals(spark, path)), "file").select(
         "doc_id", (F.col("before") + F.col("offset")).alias("start"), "tokens", "file", "place"
     )
