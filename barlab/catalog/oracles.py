@@ -6,7 +6,9 @@ from ..operators.documents import COLLECTIONS, FORECASTS, REJECTS
 from ..operators.forecast import RECURSIVE_MODEL
 from ..operators.models import BOOSTED_TREES, LOGISTIC, RANDOM_FOREST
 from ..schemas import FEATURES, LAG_COLUMNS, NUMERIC_PROCESSED, PROCESSED_COLUMNS
-from .queries import MOMENTUM, REPORT_PAIR, REPORT_YEAR
+from .queries import (
+    DOUBLED_DAY, EARLIER_RUNS, LOST_DAY, MOMENTUM, REPORT_PAIR, REPORT_YEAR,
+)
 
 _UNITS = {"1d": "day", "1h": "hour", "1min": "minute"}
 _ROLLING = ("MA5", "MA20", "Volatility5")
@@ -97,15 +99,19 @@ def _states(table: str, where: str = "TRUE") -> str:
     """Forecast states: features without gaps, and the two price windows."""
     values = ", ".join(f"coalesce({_q(c)}, 0)::DOUBLE AS {_q(c)}" for c in FEATURES)
     return f"""
-    SELECT "Pair", trigger_date, "Close" AS base_close, 0 AS hour, {_list(FEATURES)},
+    SELECT "Pair", "Timeframe", trigger_date, "Close" AS base_close, 0 AS hour, {_list(FEATURES)},
            ["Close_lag3", "Close_lag2", "Close_lag1", "Close"] AS short_closes,
            [x FOR x IN list_transform(range(19), lambda i: "Close")] AS long_closes,
            NULL::DOUBLE AS predicted_close, NULL::DOUBLE AS current_close,
            NULL::DOUBLE AS ma5_before, NULL::DOUBLE AS ma20_before, NULL::DOUBLE AS vol_before
-    FROM (SELECT "Pair", "Date" AS trigger_date, {values} FROM {table} WHERE {where})"""
+    FROM (SELECT "Pair", "Timeframe", "Date" AS trigger_date, {values} FROM {table} WHERE {where})"""
+
+
+def _guess(rate: float) -> str:
+    return f'"Close" + {rate}::DOUBLE * ("Close" - "Close_lag1")'
 
 
-def _step(source: str) -> str:
+def _step(source: str, guess: str = _guess(MOMENTUM), horizon: int = 24) -> str:
     """One step of every state in ``source``."""
     new = {
         "Open": '"Close"',
@@ -130,21 +136,33 @@ def _step(source: str) -> str:
     }
     values = ", ".join(f"{new[c]} AS {_q(c)}" for c in FEATURES)
     return f"""
-    SELECT "Pair", trigger_date, base_close, hour + 1 AS hour, {values},
+    SELECT "Pair", "Timeframe", trigger_date, base_close, hour + 1 AS hour, {values},
            s[2:] AS short_closes, l[2:] AS long_closes,
            p AS predicted_close, "Close" AS current_close,
            "MA5" AS ma5_before, "MA20" AS ma20_before, "Volatility5" AS vol_before
     FROM (SELECT *, list_append(short_closes, p) AS s, list_append(long_closes, p) AS l
-          FROM (SELECT *, "Close" + {MOMENTUM}::DOUBLE * ("Close" - "Close_lag1") AS p
-                FROM {source} WHERE hour < 24))"""
+          FROM (SELECT *, {guess} AS p FROM {source} WHERE hour < {horizon}))"""
 
 
 _CURVES = f"""
     SELECT "Pair" AS pair, hour::BIGINT AS hour, predicted_close, trigger_date,
            '{RECURSIVE_MODEL}' AS model, base_close, current_close,
-           ma5_before AS ma5, ma20_before AS ma20, vol_before AS volatility5
+           ma5_before AS ma5, ma20_before AS ma20, vol_before AS volatility5,
+           "Timeframe" AS timeframe
     FROM walk WHERE hour > 0"""
 
+# The newest close of each hour; runs are named in the order they were published in.
+_STORED = """
+    SELECT "Pair", "Timeframe", hour, arg_max(predicted_close, run) AS p FROM (""" + " UNION ALL ".join(
+    f'SELECT "Pair", "Timeframe", hour, predicted_close, {i} AS run FROM {run} WHERE hour > 0'
+    for i, run in enumerate(EARLIER_RUNS)
+) + ') GROUP BY ALL'
+
+_RESUMED = f"""coalesce((
+    SELECT s.p FROM stored s WHERE s."Pair" = continued."Pair"
+        AND s."Timeframe" = continued."Timeframe" AND s.hour = continued.hour + 1
+), {_guess(MOMENTUM)})"""
+
 _NULL_TEXT = "NULL::VARCHAR"
 _NULL_NUMBER = "NULL::DOUBLE"
 
@@ -183,6 +201,14 @@ _TABLES = {
     "triggers": (_TRIGGERS, ("lagged",)),
     "walk": (_states("triggers") + "\n    UNION ALL" + _step("walk"), ("triggers",)),
     "curves": (_CURVES, ("walk",)),
+    **{
+        run: (_states("triggers") + "\n    UNION ALL" + _step(run, _guess(rate), hours), ("triggers",))
+        for run, (rate, hours) in EARLIER_RUNS.items()
+    },
+    "stored": (_STORED, tuple(EARLIER_RUNS)),
+    "continued": (
+        _states("triggers") + "\n    UNION ALL" + _step("continued", _RESUMED), ("triggers", "stored")
+    ),
     "messages": (_MESSAGES, ("scored", "curves", "processed")),
 }
 
@@ -196,11 +222,15 @@ def _needs(name: str, seen: list[str]) -> list[str]:
 
 
 def _sql(select: str, *tables: str, timeframe: str = "1h") -> str:
-    """``select`` with the named tables, and those they build on, in front."""
+    """``select`` with the named tables, and those they build on, in front.
+
+    The time frame "all" puts the bars of every length into one table.
+    """
     seen: list[str] = []
     for name in tables:
         _needs(name, seen)
-    parts = [f"bars AS ({_bars(timeframe)})"]
+    every = " UNION ALL ".join(f"SELECT * FROM ({_bars(t)})" for t in _UNITS)
+    parts = [f"bars AS ({every if timeframe == 'all' else _bars(timeframe)})"]
     parts += [f"{name} AS ({_TABLES[name][0]})" for name in seen]
     return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + select
 
@@ -217,7 +247,7 @@ _LAG_LIST = _list(LAG_COLUMNS)
 _CURVE_OUT = (
     "SELECT pair, hour, CAST(trigger_date AS VARCHAR) AS trigger_date, model, "
     + _r("predicted_close", "base_close", "current_close", "ma5", "ma20", "volatility5")
-    + " FROM curves"
+    + ", timeframe FROM curves"
 )
 _STAMP = 'coalesce("Date", trigger_date) AS stamp'
 
@@ -285,7 +315,8 @@ def _field_typing() -> str:
         part("curves", head("pair", "model", "trigger_date", "hour"),
              {c: c for c in ("hour", "predicted_close", "base_close", "current_close", "ma5", "ma20",
                              "volatility5")},
-             {"model": "model", "pair": "pair", "trigger_date": "NULL::VARCHAR"}),
+             {"model": "model", "pair": "pair", "trigger_date": "NULL::VARCHAR",
+              "timeframe": "timeframe"}),
         part("processed", head('"Pair"', "NULL::VARCHAR", '"Date"'),
              {c: _q(c) for c in PROCESSED_COLUMNS[3:]},
              {**dated, "Timeframe": '"Timeframe"'}),
@@ -330,14 +361,26 @@ def oracles() -> dict[str, str]:
             "messages"),
         "sink_missing_rows": _sql(
             f"""SELECT key, model, {_STAMP}, hour FROM messages
-            WHERE model = '{RECURSIVE_MODEL}' OR model IS NULL""", "messages"),
+            WHERE model = '{RECURSIVE_MODEL}' OR model IS NULL
+                OR (model = '{RANDOM_FOREST}' AND day("Date") = {LOST_DAY})""", "messages"),
         "publish_counts": _sql(
             "SELECT model, count(*)::BIGINT AS messages FROM messages GROUP BY model", "messages"),
+        "sink_summary": _sql(
+            f"""SELECT collection, count(*)::BIGINT AS published,
+                (count(*) - count(*) FILTER (lost))::BIGINT AS stored,
+                (count(*) FILTER (lost))::BIGINT AS missing,
+                (count(*) FILTER (model = '{LOGISTIC}' AND day(stamp) = {DOUBLED_DAY}))::BIGINT AS repeated
+            FROM (SELECT {_COLLECTION} AS collection, model, {_STAMP},
+                    coalesce(model = '{RANDOM_FOREST}' AND day("Date") = {LOST_DAY}, FALSE) AS lost
+                FROM messages) GROUP BY collection""", "messages"),
         "store_retrieve_reconcile": _sql(
-            """SELECT pair, CAST(trigger_date AS VARCHAR) AS trigger_date, hour,
-                round(predicted_close, 6) AS "close",
-                CASE WHEN hour <= 12 THEN 'stored' ELSE 'computed' END AS source FROM curves""",
-            "curves"),
+            f"""SELECT "Pair" AS pair, "Timeframe" AS timeframe,
+                CAST(trigger_date AS VARCHAR) AS trigger_date, hour::BIGINT AS hour,
+                round(predicted_close, 6) AS "close", round(ma5_before, 6) AS ma5,
+                round(ma20_before, 6) AS ma20, round(vol_before, 6) AS volatility5,
+                CASE WHEN hour <= {max(h for _, h in EARLIER_RUNS.values())}
+                    THEN 'stored' ELSE 'computed' END AS source
+            FROM continued WHERE hour > 0""", "continued", timeframe="all"),
         "price_features": _sql(
             f'SELECT *, {_RANGE} AS "Range", {_CHANGE} AS "Change", {_PCT} AS "ChangePct" FROM bars'),
         "gain_loss": _sql(f'SELECT "Date", "Pair", {_GAIN} AS "Gain", {_LOSS} AS "Loss" FROM bars'),
@@ -456,31 +499,32 @@ def oracles() -> dict[str, str]:
         "forecast_step": _sql(_state_out(_step(f"({_ALL_STATES})")), "lagged"),
         "forecast_24h": _sql(_CURVE_OUT, "curves"),
         "forecast_summary": _sql(
-            """SELECT pair, hour, round(predicted_close, 6) AS predicted_close,
+            """SELECT pair, timeframe, hour, round(predicted_close, 6) AS predicted_close,
                 round(base_close, 6) AS base_close, round(move, 6) AS change, round(pct, 6) AS change_pct,
                 CASE WHEN move >= 0 THEN '+' ELSE '' END || printf('%.4f%%', pct) AS change_text
             FROM (SELECT *, predicted_close - base_close AS move,
                 (predicted_close - base_close) / nullif(base_close, 0) * 100 AS pct FROM curves)""",
-            "curves"),
+            "curves", timeframe="all"),
         "forecast_total": _sql(
-            f"""SELECT pair, CAST(trigger_date AS VARCHAR) AS trigger_date,
+            f"""SELECT pair, timeframe, CAST(trigger_date AS VARCHAR) AS trigger_date,
                 round(base_close, 6) AS base_close, round(predicted_close, 6) AS final_close,
                 round(predicted_close - base_close, 6) AS total_change,
                 round((predicted_close - base_close) / nullif(base_close, 0) * 100, 6) AS total_pct
-            FROM curves WHERE hour = 24""", "curves"),
+            FROM curves WHERE hour = 24""", "curves", timeframe="all"),
         "forecast_stats": _sql(
-            """SELECT pair, CAST(trigger_date AS VARCHAR) AS trigger_date,
+            """SELECT pair, timeframe, CAST(trigger_date AS VARCHAR) AS trigger_date,
                 round(base_close, 6) AS "current", round(predicted_close, 6) AS predicted,
                 round(ma5, 6) AS ma5, round(volatility5, 6) AS volatility5, round(pct, 6) AS change_pct,
                 CASE WHEN pct >= 0 THEN 'UP' ELSE 'DOWN' END AS direction
             FROM (SELECT *, (predicted_close - base_close) / nullif(base_close, 0) * 100 AS pct
-                FROM curves WHERE hour = 24)""", "curves"),
+                FROM curves WHERE hour = 24)""", "curves", timeframe="all"),
         "forecast_curve": _sql(
-            f"""SELECT "Pair" AS pair, -age::BIGINT AS "position", 'h-' || age AS "label",
+            f"""SELECT "Pair" AS pair, "Timeframe" AS timeframe, -age::BIGINT AS "position", 'h-' || age AS "label",
                 round("Close", 6) AS historical, NULL::DOUBLE AS forecast
             FROM ({_AGED.format(table='processed')}) WHERE age <= 24
             UNION ALL
-            SELECT pair, hour, 'h+' || hour, NULL, round(predicted_close, 6) FROM curves""", "curves"),
+            SELECT pair, timeframe, hour, 'h+' || hour, NULL, round(predicted_close, 6)
+            FROM curves""", "curves", timeframe="all"),
         "stream_trigger_parse": _sql(
             f"""SELECT "Date" AS kafka_timestamp, CAST("Date" AS VARCHAR) AS "Date", "Pair", "Timeframe",
                 "Open", "High", "Low", "Close", "Volume"::DOUBLE AS "Volume", "Range", "Change",
@@ -489,6 +533,9 @@ def oracles() -> dict[str, str]:
         "stream_drain": _sql('SELECT "Pair" AS key, "Date" AS "timestamp", "Close" FROM bars'),
         "stream_monitor": _sql(
             "SELECT pair, hour, round(predicted_close, 6) AS predicted_close FROM curves", "curves"),
+        "forecast_24h_model": _sql(_CURVE_OUT, "curves", timeframe="all"),
         "stream_forecast": _sql(_CURVE_OUT, "curves"),
+        "stream_forecast_model": _sql(_CURVE_OUT, "curves", timeframe="all"),
+        "stream_restart": _sql(_DOCUMENTS_OUT, "messages"),
         "stream_sink_route": _sql(_DOCUMENTS_OUT, "messages"),
     }

@@ -54,7 +54,7 @@ def documents(messages: DataFrame, known_only: bool = False) -> DataFrame:
     )
     extra_texts = F.map_filter("fields", lambda k, v: ~is_number(k, v) & ~k.isin(*TEXT_FIELDS))
     return routed.select(
-        "collection", "key", "value", *[c for c in messages.columns if c == "origin"],
+        "collection", "key", "value", *[c for c in messages.columns if c == "position"],
         *[get(name).alias(name) for name in TEXT_FIELDS],
         *[number(get(name)).alias(name) for name in NUMBER_FIELDS],
         F.transform_values(extra_numbers, lambda _, v: number(v)).alias("numbers"),
@@ -101,10 +101,17 @@ def sample_documents(docs: DataFrame) -> DataFrame:
 def reconcile(computed: DataFrame, stored: DataFrame) -> DataFrame:
     """Computed forecast rows with the stored close where there is one.
 
-    Stored rows may repeat after a restart; they are made unique first.
+    Of several stored rows of an hour the newest by position counts; without
+    positions they are taken to be equal.
     """
     keys = ["pair", "trigger_date", "hour"]
-    known = stored.groupBy(*keys).agg(F.max("predicted_close").alias("stored_close"))
+    newest = (
+        F.max_by("predicted_close", "position") if "position" in stored.columns
+        else F.max("predicted_close")
+    )
+    known = stored.filter("predicted_close is not null").groupBy(*keys).agg(
+        newest.alias("stored_close")
+    )
     return computed.join(known, keys, "left").select(
         *keys,
         F.coalesce("stored_close", "predicted_close").alias("close"),
@@ -112,6 +119,46 @@ def reconcile(computed: DataFrame, stored: DataFrame) -> DataFrame:
     )
 
 
+def _copies(stored: DataFrame) -> DataFrame:
+    """How many documents there are of each position."""
+    return stored.groupBy(
+        F.col("position.source").alias("_source"), F.col("position.nth").alias("_nth")
+    ).agg(F.count("*").alias("copies"))
+
+
+def ledger_of(published: DataFrame, stored: DataFrame) -> DataFrame:
+    """Every message of a topic with ``copies``, the documents a store holds of it.
+
+    Messages and documents are matched by position, so equal messages count one
+    by one, and texts are not compared.
+    """
+    held = _copies(stored)
+    same = (F.col("position.source") == F.col("_source")) & (F.col("position.nth") == F.col("_nth"))
+    return published.join(held, same, "left").select(
+        *published.columns, F.coalesce("copies", F.lit(0)).alias("copies")
+    )
+
+
+def unstored(published: DataFrame, stored: DataFrame) -> DataFrame:
+    """The messages of a topic that a store holds no document of."""
+    return ledger_of(published, stored).filter("copies = 0").drop("copies")
+
+
+def sink_summary(published: DataFrame, stored: DataFrame) -> DataFrame:
+    """Per collection: messages published, stored, missing, and documents too many."""
+    copies = F.col("copies")
+    return (
+        ledger_of(published, stored)
+        .groupBy(collection_of(json_field("value", "model")).alias("collection"))
+        .agg(
+            F.count("*").alias("published"),
+            F.count_if(copies > 0).alias("stored"),
+            F.count_if(copies == 0).alias("missing"),
+            F.sum(F.greatest(copies - 1, F.lit(0))).alias("repeated"),
+        )
+    )
+
+
 def missing_rows(published: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Published rows whose key was never stored; null keys equal each other."""
     same = F.lit(True)

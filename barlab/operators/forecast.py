@@ -8,7 +8,12 @@ forward independently: no shuffle, no driver state, all triggers at once.
 With a predictor that is a column expression the whole recursion is one fold
 inside a single projection. With a saved model each step is a ``transform`` of
 the state table, and the growing plan is cut by writing that table every few
-steps.
+steps; the steps are taken out of the state there, so it does not grow.
+
+A forecast that was stored in part is continued (``resume``): the stored closes
+are folded into the state first, and only the hours after them are predicted.
+
+A forecast belongs to a series, (Pair, Timeframe), and a trigger date.
 """
 
 from __future__ import annotations
@@ -68,7 +73,7 @@ def _number(name: str, missing: str) -> Column:
 
 
 def forecast_init(triggers: DataFrame, missing: str = "zero", seed: str = "flat") -> DataFrame:
-    """(Pair, trigger_date, base_close, state) for every trigger.
+    """(Pair, Timeframe, trigger_date, base_close, state) for every trigger.
 
     A missing feature counts as 0.0; ``missing="reject"`` leaves such triggers
     out (``incomplete_triggers`` lists them). ``seed="flat"`` fills the long
@@ -92,10 +97,11 @@ def forecast_init(triggers: DataFrame, missing: str = "zero", seed: str = "flat"
             values["Close_lag3"], values["Close_lag2"], values["Close_lag1"], close
         ).alias("short_closes"),
         long_closes.alias("long_closes"),
+        F.lit(0).alias("hour"),
         F.expr(_EMPTY_STEPS).alias("steps"),
     )
     return triggers.select(
-        "Pair", F.col(TIME).cast("string").alias("trigger_date"),
+        *SERIES, F.col(TIME).cast("string").alias("trigger_date"),
         close.alias("base_close"), state.alias("state"),
     )
 
@@ -132,7 +138,7 @@ def next_state(state: Column, predicted: Column, shift_change_lag: bool = False)
     short = F.concat(state["short_closes"], F.array(predicted))
     long = F.concat(state["long_closes"], F.array(predicted))
     step = F.struct(
-        (F.size(state["steps"]) + 1).alias("hour"),
+        (state["hour"] + 1).alias("hour"),
         predicted.alias("predicted_close"),
         old.alias("current_close"),
         state["MA5"].alias("ma5"),
@@ -169,6 +175,7 @@ def next_state(state: Column, predicted: Column, shift_change_lag: bool = False)
             *[new[name].alias(name) for name in FEATURES],
             F.slice(short, 2, MA_SHORT - 1).alias("short_closes"),
             F.slice(long, 2, MA_LONG - 1).alias("long_closes"),
+            (state["hour"] + 1).alias("hour"),
             F.concat(state["steps"], F.array(step)).alias("steps"),
         )
 
@@ -185,11 +192,48 @@ def forecast_step(states: DataFrame, predict: Predictor, shift_change_lag: bool
     return states.withColumn("state", _step(F.col("state"), predict, shift_change_lag))
 
 
+def stored_closes(stored: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """(pair, timeframe, trigger_date, closes): what is stored of each forecast.
+
+    ``stored`` holds parsed forecast messages with their ``position``. Of several
+    closes of an hour the newest by position counts. ``closes`` ends before the
+    first hour that is missing, as later ones rest on it.
+    """
+    keys = ("pair", "timeframe", "trigger_date")
+    newest = (
+        stored.filter(F.col("hour").between(1, horizon) & F.col("predicted_close").isNotNull())
+        .groupBy(*keys, "hour").agg(F.max_by("predicted_close", "position").alias("close"))
+    )
+    # At most ``horizon`` hours a forecast are left.
+    steps = F.array_sort(F.collect_list(F.struct("hour", "close")))
+    unbroken = F.filter(steps, lambda step, i: step["hour"] == i + 1)
+    return newest.groupBy(*keys).agg(F.transform(unbroken, lambda step: step["close"]).alias("closes"))
+
+
+def resume(
+    states: DataFrame, stored: DataFrame, horizon: int = HORIZON, shift_change_lag: bool = False
+) -> DataFrame:
+    """States moved on through the closes that are stored of them; others stay."""
+    known = stored_closes(stored, horizon).alias("k")
+    same = (
+        (F.col("s.Pair") == F.col("k.pair")) & (F.col("s.trigger_date") == F.col("k.trigger_date"))
+        & F.col("s.Timeframe").eqNullSafe(F.col("k.timeframe"))
+    )
+    moved = F.aggregate(
+        F.coalesce("closes", F.expr("cast(array() as array<double>)")), F.col("state"),
+        lambda state, close: next_state(state, close, shift_change_lag),
+    )
+    kept = [moved.alias(c) if c == "state" else F.col(f"s.{c}").alias(c) for c in states.columns]
+    return states.alias("s").join(known, same, "left").select(*kept)
+
+
 def run_formula(
     states: DataFrame, predict: Predictor, horizon: int = HORIZON, shift_change_lag: bool = False
 ) -> DataFrame:
-    """All steps as one fold over the hours."""
-    hours = F.sequence(F.lit(1), F.lit(horizon))
+    """All steps that are left as one fold over the hours."""
+    hours = F.filter(
+        F.sequence(F.lit(1), F.lit(horizon)), lambda hour: hour > F.col("state")["hour"]
+    )
     fold = F.aggregate(
         hours, F.col("state"), lambda state, _: _step(state, predict, shift_change_lag)
     )
@@ -202,8 +246,15 @@ def run_model(
     horizon: int = HORIZON,
     shift_change_lag: bool = False,
     write_every: int = 2,
+    model_name: str = RECURSIVE_MODEL,
+    resumed: bool = False,
 ) -> DataFrame:
-    """All steps with a saved model, scoring every trigger at once in each step."""
+    """The rows of all steps with a saved model, scoring every trigger at once in each step.
+
+    Every ``write_every`` steps the table of states is written; the rows of the
+    steps since then are read from there, and the state goes on without them.
+    ``resumed`` states have steps already, and may need fewer.
+    """
     columns = states.columns
     features = [F.col("state")[name].alias(name) for name in FEATURES]
     advanced = _let(
@@ -211,21 +262,37 @@ def run_model(
         lambda both: next_state(both["state"], both["prediction"], shift_change_lag),
     )
     kept = [advanced.alias(c) if c == "state" else F.col(c) for c in columns]
-    for hour in range(1, horizon + 1):
-        states = model.transform(states.select(*columns, *features)).select(*kept)
-        if write_every and hour % write_every == 0 and hour < horizon:
-            states = written(states, "forecast")
-    return states
+    done: list[DataFrame] = []
+
+    def put_down(states: DataFrame) -> DataFrame:
+        held = written(states, "forecast-steps") if write_every else states
+        # A resumed state may have passed the horizon since it was last written.
+        done.append(forecast_rows(held, model_name).filter(F.col("hour") <= horizon))
+        emptied = F.col("state").withField("steps", F.expr(_EMPTY_STEPS))
+        return held.withColumn("state", emptied).filter(F.col("state.hour") < horizon)
+
+    if resumed:
+        states = put_down(states)
+    taken = 0
+    while taken < horizon and not (resumed and states.isEmpty()):
+        for _ in range(min(write_every or horizon, horizon - taken)):
+            states = model.transform(states.select(*columns, *features)).select(*kept)
+            taken += 1
+        states = put_down(states)
+    rows = done[0]
+    for some in done[1:]:
+        rows = rows.union(some)
+    return rows
 
 
 def forecast_rows(states: DataFrame, model: str = RECURSIVE_MODEL) -> DataFrame:
     """One row per trigger and hour, carrying the features from before the step."""
     return states.select(
-        "Pair", "trigger_date", "base_close", F.explode("state.steps").alias("step")
+        *SERIES, "trigger_date", "base_close", F.explode("state.steps").alias("step")
     ).select(
         F.col("Pair").alias("pair"), "step.hour", "step.predicted_close", "trigger_date",
         F.lit(model).alias("model"), "base_close", "step.current_close",
-        "step.ma5", "step.ma20", "step.volatility5",
+        "step.ma5", "step.ma20", "step.volatility5", F.col("Timeframe").alias("timeframe"),
     )
 
 
@@ -238,14 +305,21 @@ def forecast(
     seed: str = "flat",
     shift_change_lag: bool = False,
     write_every: int = 2,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
-    """Triggers to forecast rows, with an MLlib model or a column formula."""
+    """Triggers to forecast rows, with an MLlib model or a column formula.
+
+    With ``stored``, parsed forecast messages and their positions, each forecast
+    goes on after the last hour that is stored of it, from the stored closes.
+    """
     states = forecast_init(triggers, missing=missing, seed=seed)
+    if stored is not None:
+        states = resume(states, stored, horizon, shift_change_lag)
     if isinstance(predict, Transformer):
-        done = run_model(states, predict, horizon, shift_change_lag, write_every)
-    else:
-        done = run_formula(states, predict, horizon, shift_change_lag)
-    return forecast_rows(done, model_name)
+        return run_model(
+            states, predict, horizon, shift_change_lag, write_every, model_name, stored is not None
+        )
+    return forecast_rows(run_formula(states, predict, horizon, shift_change_lag), model_name)
 
 
 def forecast_summary(forecasts: DataFrame) -> DataFrame:
@@ -253,7 +327,7 @@ def forecast_summary(forecasts: DataFrame) -> DataFrame:
     move = F.col("predicted_close") - F.col("base_close")
     pct = prices.percent_of(move, F.col("base_close"))
     return forecasts.select(
-        "pair", "hour", "predicted_close", "base_close",
+        "pair", "timeframe", "hour", "predicted_close", "base_close",
         move.alias("change"), pct.alias("change_pct"),
         prices.signed_percent_text(move, pct).alias("change_text"),
     )
@@ -261,7 +335,7 @@ def forecast_summary(forecasts: DataFrame) -> DataFrame:
 
 def forecast_total(forecasts: DataFrame) -> DataFrame:
     """Base, final close and total change of every forecast."""
-    final = forecasts.groupBy("pair", "trigger_date", "base_close").agg(
+    final = forecasts.groupBy("pair", "timeframe", "trigger_date", "base_close").agg(
         F.max_by("predicted_close", "hour").alias("final_close")
     )
     move = F.col("final_close") - F.col("base_close")
@@ -272,7 +346,7 @@ def forecast_total(forecasts: DataFrame) -> DataFrame:
 
 def forecast_stats(forecasts: DataFrame) -> DataFrame:
     """The six figures shown with a curve, as of its last hour."""
-    last = forecasts.groupBy("pair", "trigger_date").agg(
+    last = forecasts.groupBy("pair", "timeframe", "trigger_date").agg(
         F.max_by("base_close", "hour").alias("current"),
         F.max_by("predicted_close", "hour").alias("predicted"),
         F.max_by("ma5", "hour").alias("ma5"),
@@ -288,14 +362,14 @@ def forecast_stats(forecasts: DataFrame) -> DataFrame:
 def forecast_curve(processed: DataFrame, forecasts: DataFrame, points: int = HORIZON) -> DataFrame:
     """The last ``points`` bars followed by the forecast, labelled h-k and h+k."""
     past = last_rows(processed, points).select(
-        F.col("Pair").alias("pair"),
+        F.col("Pair").alias("pair"), F.col("Timeframe").alias("timeframe"),
         (-F.col("_age")).cast("int").alias("position"),
         F.concat(F.lit("h-"), F.col("_age")).alias("label"),
         F.col("Close").alias("historical"),
         F.lit(None).cast("double").alias("forecast"),
     )
     ahead = forecasts.select(
-        "pair",
+        "pair", "timeframe",
         F.col("hour").cast("int").alias("position"),
         F.concat(F.lit("h+"), F.col("hour")).alias("label"),
         F.lit(None).cast("double").alias("historical"),

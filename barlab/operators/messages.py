@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -62,8 +62,21 @@ def bridge_csv_json(tables: Mapping[str, DataFrame]) -> DataFrame:
     return first
 
 
-# Publishing fresh predictions and re-publishing prediction files is the same step.
-publish_predictions_json = bridge_csv_json
+def publish_predictions_json(
+    scored: DataFrame, tables: Mapping[str, Mapping[str, Column]], key: str = "Pair"
+) -> DataFrame:
+    """Messages of several models out of one table that holds what all have scored.
+
+    ``tables`` gives, per model, the fields of its messages as expressions. Each
+    row becomes one message per model, so the table is read once.
+    """
+    def message(model: str, fields: Mapping[str, Column]) -> Column:
+        value = F.to_json(F.struct(
+            F.lit(model).alias("model"), *(text(c).alias(name) for name, c in fields.items())
+        ))
+        return F.struct(text(key).alias("key"), value.alias("value"))
+
+    return scored.select(F.inline(F.array(*(message(m, f) for m, f in tables.items()))))
 
 
 def forecast_messages(forecasts: DataFrame) -> DataFrame:
@@ -75,7 +88,8 @@ def forecast_messages(forecasts: DataFrame) -> DataFrame:
 
 
 def parse_forecasts(messages: DataFrame) -> DataFrame:
-    return _parsed(messages, FORECAST_SCHEMA)
+    """The fields of forecast messages; a ``position`` of the messages stays."""
+    return _parsed(messages, FORECAST_SCHEMA, *(c for c in messages.columns if c == "position"))
 
 
 def publish_counts(messages: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import FEATURES, TARGET_DIRECTION, TARGET_PRICE
@@ -135,21 +135,33 @@ def best_model(comparison: DataFrame) -> DataFrame:
     )
 
 
-def price_predictions(scored: DataFrame, column: str) -> DataFrame:
+def price_fields(column: str, prediction: str = "prediction") -> dict[str, Column]:
     """Date, Pair, Close, Actual_h1 and the prediction under ``column``."""
-    return scored.select(
-        "Date", "Pair", "Close",
-        F.col(TARGET_PRICE).alias("Actual_h1"), F.col("prediction").alias(column),
-    )
+    return {
+        "Date": F.col("Date"), "Pair": F.col("Pair"), "Close": F.col("Close"),
+        "Actual_h1": F.col(TARGET_PRICE), column: F.col(prediction),
+    }
 
 
-def signal_recode(scored: DataFrame) -> DataFrame:
+def signal_fields(prediction: str = "prediction") -> dict[str, Column]:
     """Direction label and prediction as UP/DOWN and BUY/SELL."""
-    return scored.select(
-        "Date", "Pair", "Close",
-        F.when(F.col(TARGET_DIRECTION) == 1.0, "UP").otherwise("DOWN").alias("Actual"),
-        F.when(F.col("prediction") == 1.0, "BUY").otherwise("SELL").alias("Signal"),
-    )
+    return {
+        "Date": F.col("Date"), "Pair": F.col("Pair"), "Close": F.col("Close"),
+        "Actual": F.when(F.col(TARGET_DIRECTION) == 1.0, "UP").otherwise("DOWN"),
+        "Signal": F.when(F.col(prediction) == 1.0, "BUY").otherwise("SELL"),
+    }
+
+
+def _selected(scored: DataFrame, fields: Mapping[str, Column]) -> DataFrame:
+    return scored.select(*(c.alias(name) for name, c in fields.items()))
+
+
+def price_predictions(scored: DataFrame, column: str) -> DataFrame:
+    return _selected(scored, price_fields(column))
+
+
+def signal_recode(scored: DataFrame) -> DataFrame:
+    return _selected(scored, signal_fields())
 
 
 def latest_signals(scored: DataFrame, count: int = 10) -> DataFrame:

@@ -54,6 +54,7 @@ PROCESSED_SCHEMA = _struct(**{
 })
 
 # Every field of a trigger travels as text and is cast after parsing.
+# The field names of trigger and forecast messages, and their order.
 TRIGGER_SCHEMA = _struct(**{c: T.StringType() for c in ("Date", "Pair", "Timeframe", *FEATURES)})
 
 FORECAST_SCHEMA = _struct(
@@ -67,6 +68,8 @@ FORECAST_SCHEMA = _struct(
     ma5=T.DoubleType(),
     ma20=T.DoubleType(),
     volatility5=T.DoubleType(),
+    # Not in older messages: the series a forecast belongs to is (pair, timeframe).
+    timeframe=T.StringType(),
 )
 
 # What a message looks like to every stream and batch reader of a topic.
