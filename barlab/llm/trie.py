@@ -11,14 +11,15 @@ and what earlier chunks give is added from one row per chunk. So a conversation
 that holds a third of all rows is worked on by many tasks.
 
 Sums over subtrees (``rollup``) come from a centroid decomposition of the forest
-of parent edges. All components are split at once, in rounds: the centroid of a
-component is the lowest node with more than half of its nodes below or at it; the
-weights of the centroid and all that is below it are added up, and the total is
-added to each node on the path from the centroid to the component's top. Then the
-subtree of each child, and what is left above, are components of their own, none
-with more than half the nodes. So the number of rounds is the logarithm of the
-number of nodes, however deep the trie is, and a finished centroid is not read
-again. Paths and children are looked up in the table of prefixes, since the
+of parent edges. All components are split at once, in rounds. With 2^k the largest
+power of two that a component's number of nodes reaches, its centroid is the
+lowest node with 2^k nodes at or below it; there is one path of such nodes, as
+two subtrees of that size do not fit. The weights of the centroid and all that is
+below it are added up, and the total is added to each node on the path from the
+centroid to the component's top. Then the subtree of each child, and what is left
+above, are components of their own, each with fewer than 2^k nodes. So there are
+at most log2(nodes) + 1 rounds, however deep the trie is, and a finished centroid
+is not read again. Paths and children are looked up in the table of prefixes, since the
 ancestors of a node are the prefixes of the conversation it is named after.
 
 Rows join what is known of their component or node. Where one of those has more
@@ -57,22 +58,23 @@ _NODE = ("conv_id", "depth")
 
 
 def attach(
-    rows: DataFrame, info: DataFrame, on: list[str], weight: str, spread: int = SPREAD,
-    how: str = "inner",
+    rows: DataFrame, info: DataFrame, on: list[str], weight: str, most: int, spread: int = SPREAD,
 ) -> DataFrame:
     """``rows`` with the columns of ``info``, which has one row per key.
 
     ``weight`` is a column of ``info``, not less than the number of rows of its
-    key. Keys above ``spread`` are split: their rows are dealt over several
-    copies of the row of ``info``.
+    key, and ``most`` not less than any weight. Keys above ``spread`` are split:
+    their rows are dealt over several copies of the row of ``info``.
     """
+    if most <= spread:
+        return rows.join(info, on)
     parts = F.ceil(F.col(weight) / spread).cast("int")
     large = info.filter(F.col(weight) > spread).select(*on, parts.alias("_parts"))
     dealt = rows.join(F.broadcast(large), on, "left").withColumn(
         "_part", F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col("_parts")).cast("int"), F.lit(0))
     ).drop("_parts")
     copies = info.withColumn("_part", F.explode(F.sequence(F.lit(0), F.greatest(parts - 1, F.lit(0)))))
-    return dealt.join(copies, [*on, "_part"], how).drop("_part")
+    return dealt.join(copies, [*on, "_part"]).drop("_part")
 
 
 def in_order(turns: DataFrame) -> DataFrame:
@@ -107,7 +109,9 @@ def in_order(turns: DataFrame) -> DataFrame:
     )
 
 
-def rebuilt(places: DataFrame, group: int = GROUP, longest: int = LONGEST_LOAN):
+def rebuilt(
+    places: DataFrame, group: int = GROUP, longest: int = LONGEST_LOAN, spread: int = SPREAD
+) -> tuple[DataFrame, DataFrame]:
     """Each conversation with its first turns taken from the first of its group.
 
     Gives its turns (conv_id, chunk, depth, d1, d2, bytes) and the conversations
@@ -128,9 +132,9 @@ def rebuilt(places: DataFrame, group: int = GROUP, longest: int = LONGEST_LOAN):
         ),
         "trie-conversations",
     )
-    own = attach(places, convs.select("conv_id", "n", "h", "lent"), ["conv_id"], "n").filter(
-        "place > h"
-    )
+    own = attach(
+        places, convs.select("conv_id", "n", "h", "lent"), ["conv_id"], "n", places.count(), spread
+    ).filter("place > h")
     loans = places.filter(F.col("place") <= longest).withColumnRenamed("conv_id", "lender").join(
         convs.select("conv_id", "lender", "lent"), "lender"
     ).filter("place <= lent")
@@ -185,6 +189,7 @@ def owned(keys: DataFrame, root: int, spread: int = SPREAD) -> tuple[DataFrame,
     owner, parent), where ``owner`` names the node of the prefix.
     """
     keys = written(keys, "trie-keys")
+    most = keys.count()
     nodes = written(
         keys.groupBy("depth", "k1", "k2").agg(
             F.min("conv_id").alias("owner"), F.count("*").alias("n_convs"),
@@ -197,7 +202,7 @@ def owned(keys: DataFrame, root: int, spread: int = SPREAD) -> tuple[DataFrame,
         (F.col("depth") + 1).alias("depth"), F.col("k1").alias("p1"), F.col("k2").alias("p2"),
         F.col("owner").alias("above"), F.col("n_convs").alias("weight"),
     )
-    below = attach(nodes.filter("depth > 1"), above, ["depth", "p1", "p2"], "weight", spread)
+    below = attach(nodes.filter("depth > 1"), above, ["depth", "p1", "p2"], "weight", most, spread)
     # Two prefixes of one conversation have one path, hence the same parent.
     first = nodes.filter("depth = 1").select("depth", "k1", "k2", "owner", "n_convs", "bytes",
                                              F.lit(root).cast("long").alias("above"))
@@ -208,7 +213,7 @@ def owned(keys: DataFrame, root: int, spread: int = SPREAD) -> tuple[DataFrame,
     table = attach(
         keys.select("conv_id", "depth", "k1", "k2"),
         nodes.select("depth", "k1", "k2", "owner", "parent", "n_convs"),
-        ["depth", "k1", "k2"], "n_convs", spread,
+        ["depth", "k1", "k2"], "n_convs", most, spread,
     ).select("conv_id", "depth", "owner", "parent")
     named = nodes.select(F.col("owner").alias("conv_id"), "depth", "parent", "n_convs", "bytes")
     return named, written(table, "trie-prefixes")
@@ -226,20 +231,18 @@ def sizes(table: DataFrame, convs: DataFrame, spread: int = SPREAD) -> DataFrame
     ends = convs.filter("n_turns > 0").join(shared, "conv_id")
     held = F.col("n_turns") - F.greatest(F.col("shared"), F.col("depth") - 1)
     return (
-        attach(table, ends, ["conv_id"], "n_turns", spread)
+        attach(table, ends, ["conv_id"], "n_turns", table.count(), spread)
         .groupBy(F.col("owner").alias("conv_id"), "depth")
         .agg(F.sum(held).alias("size"))
     )
 
 
 def _between(splits: DataFrame) -> DataFrame:
-    """A row for each depth from the top (but the root) to above the centroid."""
-    low, high = F.greatest("top_depth", F.lit(1)), F.col("c_depth") - 1
+    """A row for each depth from the top to the centroid."""
     # Two steps keep the arrays of a very long path short.
-    by = F.explode(F.sequence(low, high, F.lit(STRIDE).cast("long")))
-    strides = splits.filter(low <= high).withColumn("high", high).withColumn("from", by)
-    last = F.least(F.col("from") + STRIDE - 1, F.col("high"))
-    return strides.withColumn("depth", F.explode(F.sequence(F.col("from"), last)))
+    by = F.explode(F.sequence("top_depth", "c_depth", F.lit(STRIDE).cast("long")))
+    last = F.least(F.col("from") + STRIDE - 1, F.col("c_depth"))
+    return splits.withColumn("from", by).withColumn("depth", F.explode(F.sequence("from", last)))
 
 
 def rollup(
@@ -252,76 +255,74 @@ def rollup(
     component is named after its top.
     """
     gained = [f"gained_{w}" for w in weights]
-    node = F.struct(*_NODE)
+    top = ["top_conv", "top_depth"]
     state = written(
         nodes.select(
             *_NODE, "size", *weights, *(F.lit(0).cast("long").alias(g) for g in gained),
             F.lit(root).cast("long").alias("top_conv"), F.lit(0).cast("long").alias("top_depth"),
+            F.lit(False).alias("done"),
         ),
         "trie-state",
     )
-    top = ["top_conv", "top_depth"]
-    done: list[DataFrame] = []
-    # Each round at least halves the largest component.
-    while not state.isEmpty():
-        # The top of a component has all of it below.
-        totals = state.groupBy(*top).agg(F.max("size").alias("total"))
-        inside = attach(state, totals, top, "total", spread)
-        centroids = written(
-            inside.filter(2 * F.col("size") > F.col("total")).groupBy(*top)
-            .agg(F.min_by(node, "size").alias("centroid"), F.first("total").alias("total"),
-                 F.min("size").alias("below"))
-            .select(*top, "total", "below", F.col("centroid.conv_id").alias("c_conv"),
-                    F.col("centroid.depth").alias("c_depth")),
-            "trie-centroids",
-        )
-        # What is below the centroid has it as a prefix; the prefix one turn longer is the child.
-        child = table.select(
-            "conv_id", F.col("depth").alias("at"), F.col("owner").alias("child"),
-            F.col("parent").alias("child_parent"),
+    # The prefix one turn longer than a centroid's tells which child a node is below.
+    child = table.select(
+        "conv_id", F.col("depth").alias("at"), F.col("owner").alias("child"),
+        F.col("parent").alias("child_parent"),
+    )
+    most = state.count()
+    finished = []
+    while most:
+        # The highest power of two first, and of the nodes that reach it the lowest.
+        power = F.length(F.bin("size"))
+        chosen = F.min(F.struct(
+            (-power).alias("power"), "size", F.col("conv_id").alias("c_conv"),
+            F.col("depth").alias("c_depth"),
+        ))
+        centroids = state.groupBy(*top).agg(chosen.alias("c"), F.count("*").alias("total")).select(
+            *top, "total", "c.c_conv", "c.c_depth", F.col("c.size").alias("below")
         )
-        near = attach(state, centroids, top, "total", spread).withColumn(
+        near = attach(state, centroids, top, "total", most, spread).withColumn(
             "at", F.when(F.col("depth") > F.col("c_depth"), F.col("c_depth") + 1)
         )
         judged = written(
             near.join(child, ["conv_id", "at"], "left").select(
-                *_NODE, "size", *weights, *gained, *top, "c_conv", "c_depth",
+                *_NODE, "size", *weights, *gained, *top, "c_conv", "c_depth", "below",
                 F.when(F.col("child_parent") == F.col("c_conv"), F.col("child")).alias("child"),
             ),
             "trie-judged",
         )
         is_centroid = (F.col("conv_id") == F.col("c_conv")) & (F.col("depth") == F.col("c_depth"))
+        # What the centroid and all below it weigh, for each node from there to the top.
         sums = judged.filter(F.col("child").isNotNull() | is_centroid).groupBy(*top).agg(
-            *(F.sum(w).alias(f"sum_{w}") for w in weights)
-        )
-        known = written(centroids.join(sums, top), "trie-sums")
-        finished = judged.filter(is_centroid).select(*_NODE, *top, *gained).join(
-            known.select(*top, *(f"sum_{w}" for w in weights)), top
+            F.first("c_conv").alias("c_conv"), F.first("c_depth").alias("c_depth"),
+            F.first("below").alias("taken"), *(F.sum(w).alias(f"sum_{w}") for w in weights),
         )
-        done.append(written(finished.select(
-            *_NODE, *((F.col(f"sum_{w}") + F.col(f"gained_{w}")).alias(w) for w in weights)
-        ), "trie-done"))
-        added = ["below", *(f"sum_{w}" for w in weights)]
-        path = _between(known.select(*top, "c_conv", "c_depth", *added)).join(
-            table.select(F.col("conv_id").alias("c_conv"), "depth", "owner"), ["c_conv", "depth"]
-        ).select(F.col("owner").alias("conv_id"), "depth", *added).union(
-            known.filter("top_depth = 0 and c_depth > 0").select("top_conv", "top_depth", *added)
+        added = ["taken", *(f"sum_{w}" for w in weights)]
+        on_path = table.select(F.col("conv_id").alias("c_conv"), "depth", "owner")
+        path = _between(sums).join(on_path, ["c_conv", "depth"], "left").select(
+            # The root has no row among the prefixes.
+            F.coalesce("owner", F.lit(root)).alias("conv_id"), "depth", *added
         )
-        rest = judged.filter(~is_centroid).join(path, list(_NODE), "left")
-        state = written(
-            rest.select(
-                *_NODE, (F.col("size") - F.coalesce("below", F.lit(0))).alias("size"),
-                *weights,
+        kept = judged.withColumn("done", is_centroid).join(path, list(_NODE), "left")
+        after = written(
+            kept.select(
+                *_NODE, (F.col("size") - F.coalesce("taken", F.lit(0))).alias("size"), *weights,
                 *((F.col(g) + F.coalesce(f"sum_{w}", F.lit(0))).alias(g)
                   for g, w in zip(gained, weights)),
                 F.coalesce("child", "top_conv").alias("top_conv"),
                 F.when(F.col("child").isNotNull(), F.col("c_depth") + 1)
                 .otherwise(F.col("top_depth")).alias("top_depth"),
+                "done",
             ),
             "trie-state",
         )
-    result = done[0]
-    for some in done[1:]:
+        finished.append(after.filter("done").select(
+            *_NODE, *(F.col(g).alias(w) for g, w in zip(gained, weights))
+        ))
+        state = after.filter("not done")
+        most = state.count()
+    result = finished[0]
+    for some in finished[1:]:
         result = result.union(some)
     return result
 
@@ -389,7 +390,7 @@ def ends(table: DataFrame, convs: DataFrame, root: int) -> DataFrame:
 def prefix_trie(turns: DataFrame, spread: int = SPREAD) -> DataFrame:
     """One row per node of the trie of rebuilt conversations (see ``rebuilt``)."""
     spark = turns.sparkSession
-    rows, convs = rebuilt(in_order(turns))
+    rows, convs = rebuilt(in_order(turns), spread=spread)
     known = convs.agg(F.min("conv_id").alias("root"), F.count("*").alias("n")).first()
     if known.root is None:
         return spark.createDataFrame([], RESULT)
