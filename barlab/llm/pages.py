@@ -7,7 +7,9 @@
    one score; paths whose score reaches a share of the spread of the scores are
    content. Paths through elements that are no content by tag, role or name, and
    paths that are mostly links, are not. A name sets no element aside that wraps
-   most of the prose, nor does one after a word such as "has" or "no".
+   most of the prose, nor does one after a word such as "has" or "no". Nor does a
+   form, or an element that is never closed, if it wraps most of the prose, or one
+   with the article, the main element or the first heading in it.
 4. The content block is the deepest container that holds all the text of content
    paths, or the article or main element around it. Its text is the result,
    block by block in page order, without the elements that are no content by tag,
@@ -19,7 +21,10 @@ Character references are decoded, white space in a block becomes one space, and
 blocks are joined by a line break. Pages are independent rows: nothing shuffles.
 
 Nulls: a null or empty page, or one without content, has an empty text. Rows
-with a null or repeated id are extracted each.
+with a null or repeated id are extracted each. An empty table gives an empty one;
+further columns are not read. Pages of any length and depth take time and memory
+in proportion; a page is held by one task. Of equally good containers the deepest
+counts, and of those the first.
 """
 
 from __future__ import annotations
@@ -36,6 +41,7 @@ from .common import batch_of, longs, map_batches
 
 SPREADS = 0.3     # share of the scores' standard deviation that makes a path content
 WINDOW = 2        # nodes on each side that smooth a ratio
+LIKE_TEXT = 0.5   # share of the content's mean ratios that makes a box on the page one of it
 NEARLY_ALL = 0.8  # share of the content text in the element that keeps its lists of links
 
 # HTML elements by what they do.
@@ -67,6 +73,9 @@ _ASIDE_TAGS = frozenset(
     "head nav aside footer form menu button select dialog svg canvas audio video object "
     "datalist map".split()
 )
+# What may stand in a head; anything else, and any text, ends one that is left open.
+_HEAD_TAGS = frozenset("base head link meta noscript script style template title".split())
+_PAGE = frozenset(["", "html", "body"])
 _ASIDE_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar "
     "form toolbar".split()
@@ -96,11 +105,11 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "path", "aside", "named", "link", "own")
+    __slots__ = ("tag", "parent", "path", "aside", "named", "link", "own", "closed", "holds")
 
-    def __init__(self, tag: str, parent: _Element | None, name: str, aside: bool, named: str = ""):
-        self.tag, self.parent = tag, parent
-        self.path = f"{parent.path}/{name}" if parent else name
+    def __init__(self, tag: str, parent: _Element | None, path: int, aside: bool, named: str = ""):
+        self.tag, self.parent, self.path = tag, parent, path
+        self.closed = self.holds = False  # by an end tag; an article, main element or h1
         self.aside = aside or bool(parent and parent.aside)
         self.named = "" if self.aside else named
         self.link = tag == "a" or bool(parent and parent.link)
@@ -196,7 +205,9 @@ def _set_aside(named: list[_Element], nodes: list[tuple[_Element, int, str]]) ->
             scope = scope.parent
         share = own / max(prose.get(id(scope), 0), 1)
         wrapper = share > 0.5
-        if element.named in _READERS_NAMES:
+        if element.named == element.tag and element.closed and element.tag != "form":
+            wrapper = wrapper and element.holds
+        elif element.named in _READERS_NAMES:
             wrapper = wrapper and not scope.parent and (id(element) in headed or share >= 0.95)
         if wrapper and not scope.parent:
             wrapper = not texts or any(_inside(e, element) for e in texts)
@@ -220,14 +231,22 @@ def _inherit(nodes: list[tuple[_Element, int, str]], aside: set[int]) -> None:
 
 def _nodes(page: str) -> list[tuple[_Element, int, str]]:
     """(element, number of the block, text) of every text node that is no raw text."""
-    root = _Element("", None, "", False)
+    root = _Element("", None, 0, False)
     at, block, nodes, named_ones = root, 0, [], []
     place, end, tags = 0, len(page), _Tags(page)
+    paths: dict[tuple[int, str], int] = {}  # the number of a path, by its parent's and a name
+    head: _Element | None = None
+
+    def leave_head() -> None:
+        nonlocal at, head
+        at, head = head.parent, None
 
     def text(upto: int) -> None:
         if upto > place:
             piece = unescape(page[place:upto])
             if piece:
+                if head and piece.strip():
+                    leave_head()
                 nodes.append((at, block, piece))
 
     def close(names: set, stops: set) -> None:
@@ -270,9 +289,12 @@ def _nodes(page: str) -> list[tuple[_Element, int, str]]:
             while node.parent and node.tag != tag:
                 node = node.parent
             if node.parent:
-                at = node.parent
+                at, node.closed = node.parent, True
+                head = head if head and _inside(at, head) else None
             block += tag in _BLOCK
             continue
+        if head and tag not in _HEAD_TAGS:
+            leave_head()
         if tag in _VOID:
             if tag == "br":
                 nodes.append((at, block, " "))
@@ -289,8 +311,10 @@ def _nodes(page: str) -> list[tuple[_Element, int, str]]:
             close(*_CLOSES[tag])
         attributes = page[match.end():tag_end]
         shown, aside, named = _names(attributes) if attributes.strip() else ("", False, "")
-        if tag in _ASIDE_TAGS:
+        if tag == "head":
             aside = True
+        elif tag in _ASIDE_TAGS:
+            named = tag
         elif tag == "header":
             node = at
             while node.parent and node.tag not in ("article", "main"):
@@ -298,12 +322,26 @@ def _nodes(page: str) -> list[tuple[_Element, int, str]]:
             aside = aside or not node.parent
         elif tag in ("html", "body", "main", "article"):
             aside, named = False, ""  # their names describe the site or the layout
-        at = _Element(tag, at, f"{tag}.{shown}" if shown else tag, aside, named)
+        step = (at.path, f"{tag}.{shown}" if shown else tag)
+        at = _Element(tag, at, paths.setdefault(step, len(paths) + 1), aside, named)
+        if tag == "head":
+            head = at
+        elif tag in ("article", "main", "h1"):
+            up = at
+            while up and not up.holds:
+                up.holds, up = True, up.parent
         if at.named:
             named_ones.append(at)
         block += tag in _BLOCK
-    if named_ones:
-        _set_aside(named_ones, nodes)
+    # Tags that set aside do so, but where an element may wrap the text.
+    sure = {
+        id(e) for e in named_ones
+        if e.named == e.tag and e.closed and e.tag != "form" and not e.holds
+    }
+    if sure:
+        _inherit(nodes, sure)
+    if len(named_ones) > len(sure):
+        _set_aside([e for e in named_ones if id(e) not in sure], nodes)
     return nodes
 
 
@@ -314,10 +352,13 @@ def _smooth(values: np.ndarray) -> np.ndarray:
     return np.convolve(padded, weights / weights.sum(), mode="valid")
 
 
-def content_paths(nodes: list[tuple[_Element, int, str]]) -> set[str]:
-    """The paths whose smoothed, fused ratios reach the threshold."""
+def content_paths(nodes: list[tuple[_Element, int, str]]) -> tuple[set[int], set[int]]:
+    """The paths whose smoothed, fused ratios reach the threshold, and those like their text.
+
+    The latter are told by the ratios of a path alone, which neighbours do not raise.
+    """
     kept = [(e, t.strip()) for e, _, t in nodes if not e.aside and t.strip()]
-    totals: dict[str, list[int]] = {}
+    totals: dict[int, list[int]] = {}
     for element, text in kept:
         total = totals.setdefault(element.path, [0, 0, 0, 0])
         total[0] += 1
@@ -325,18 +366,22 @@ def content_paths(nodes: list[tuple[_Element, int, str]]) -> set[str]:
         total[2] += len(_PUNCTUATION.findall(text))
         total[3] += len(text) * element.link
     if not kept:
-        return set()
+        return set(), set()
     lengths = np.array([totals[e.path][1] / totals[e.path][0] for e, _ in kept])
     marks = np.array([totals[e.path][2] / totals[e.path][0] for e, _ in kept])
     fused = _smooth(lengths) * (1 + _smooth(marks))
-    scores: dict[str, float] = {}
+    scores: dict[int, float] = {}
     for (element, _), value in zip(kept, fused.tolist(), strict=True):
         scores[element.path] = max(scores.get(element.path, 0.0), value)
     least = SPREADS * float(fused.std())
-    return {
+    content = {
         path for path, value in scores.items()
         if value >= least and 2 * totals[path][3] <= totals[path][1]
     }
+    alone = {p: size / n * (1 + found / n) for p, (n, size, found, _) in totals.items()}
+    weight = sum(totals[p][1] for p in content)
+    mean = sum(alone[p] * totals[p][1] for p in content) / max(weight, 1)
+    return content, {p for p in content if alone[p] >= LIKE_TEXT * mean}
 
 
 def main_text(page: str | None) -> str:
@@ -344,7 +389,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     nodes = _nodes(page)
-    paths = content_paths(nodes)
+    paths, alike = content_paths(nodes)
     content = [(e, len(t.strip())) for e, _, t in nodes if not e.aside and e.path in paths]
     total = sum(size for _, size in content)
     if not total:
@@ -371,12 +416,25 @@ def main_text(page: str | None) -> str:
     for element, block, text in nodes:
         if not element.aside and _inside(element, top):
             shown.setdefault(block, []).append((element, text))
-    held = [any(e.path in paths and t.strip() for e, t in parts) for parts in shown.values()]
+    whole = top.tag not in _PAGE
+
+    def is_text(parts: list[tuple[_Element, str]]) -> bool:
+        """Whether a block is one of the text; on the page itself a box has to be like it."""
+        if not any(e.path in paths and t.strip() for e, t in parts):
+            return False
+        box = _block_of(parts[0][0])
+        return whole or box.tag in _PARTS or any(e.path in alike for e, _ in parts)
+
+    held = [is_text(parts) for parts in shown.values()]
+    if not any(held):
+        held = [any(e.path in paths and t.strip() for e, t in parts) for parts in shown.values()]
     first, last = held.index(True), len(held) - 1 - held[::-1].index(True)
     lines = []
     for place, parts in enumerate(shown.values()):
-        # Menus without a name lie around the text, never between its parts.
-        if first <= place <= last or _inside(parts[0][0], dense) or not _mostly_links(parts):
+        # Menus and notices without a name lie around the text, never between its parts.
+        if first <= place <= last or (
+            _inside(parts[0][0], dense) and (whole or dense is not top)
+        ) or not _mostly_links(parts) and (whole or _block_of(parts[0][0]).tag in _PARTS):
             lines.append(" ".join("".join(t for _, t in parts).split()))
     return "\n".join(line for line in lines if line)
 

@@ -133,3 +133,55 @@ def test_long_attribute_values_are_no_text():
         assert pages.main_text(f"<body>{page}</body>") == EXPECTED
     for start in ("<a ", "<a x=\"", "<a x='", "<a x=\"<a y='", "<a x=y ", "<a x=\"'\" "):
         pages.main_text(start * 200_000)
+
+
+def test_open_head_and_wrapping_elements():
+    for page in (
+        f"<html><head><title>x</title><body><article>{ARTICLE}</article>",
+        f"<html><head><title>x</title><meta charset=utf-8><article>{ARTICLE}</article>",
+        f"<html><head><title>x</title><div><p>{ARTICLE}</div></html>",
+        f"<html><head><style>p{{}}</style></head><body><article>{ARTICLE}</article></body></html>",
+        f"<body><form id=aspnetForm>{AROUND}<div>{ARTICLE}</div>{AFTER}</form></body>",
+        f"<body><form>{AROUND}<article>{ARTICLE}</article>{AFTER}</form></body>",
+        *(f"<body>{AROUND}<{tag}>x<article>{ARTICLE}</article></body>"
+          for tag in ("button", "select", "menu", "dialog", "nav", "aside", "footer", "svg", "map")),
+        *(f"<body><div><{tag}></div><div>{ARTICLE}</div></body>" for tag in ("button", "object", "form")),
+        f"<body><aside><main>{ARTICLE}</main></aside></body>",
+    ):
+        found = pages.main_text(page)
+        assert found == EXPECTED or found == "x\n" + EXPECTED, page
+    bare = "<head><title>x</title>Just a text, and no body at all. It goes on."
+    assert pages.main_text(bare) == "Just a text, and no body at all. It goes on."
+    for page in ("<body><nav>only, a menu.</nav></body>", "<body><footer>By us, to you.</footer></body>"):
+        assert pages.main_text(page) == ""
+
+
+def test_ratios_tell_notices_without_a_name():
+    """No element has a telling name or tag: only the ratios of the paths decide."""
+    body = "".join(f"<p>{prose(3, f'part {i}')}</p>" for i in range(6))
+    expected = "\n".join(prose(3, f"part {i}") for i in range(6))
+    notice = "<div>We use cookies, to improve. Accept them, please.</div>"
+    rights = "<div>&copy; 2020 Somebody, somewhere.</div>"
+    for text, shown in (
+        (f"<div>{body}</div>", expected),
+        (f"<div><div>{body}</div></div>", expected),
+        (f"<h1>Title</h1><div>{body}</div>", "Title\n" + expected),
+        (body, expected),
+        (body + "<ul><li>One.<li>Two.</ul>", expected + "\nOne.\nTwo."),
+        (f"<div>{body}</div><div>{body}</div>", expected + "\n" + expected),
+    ):
+        assert pages.main_text(f"<body>{notice}{text}{rights}</body>") == shown, text
+
+
+def test_memory_of_deep_pages():
+    """Paths are numbers, so a page's memory grows with its length, not with its square."""
+    import tracemalloc
+
+    sizes = []
+    for depth in (2_000, 20_000):
+        page = "<div class=some-long-name>" * depth + "<p>Some words, and some more.</p>"
+        tracemalloc.start()
+        assert pages.main_text(page) == "Some words, and some more."
+        sizes.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert sizes[1] < 15 * sizes[0] and sizes[1] < 40e6
