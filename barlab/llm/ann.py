@@ -196,7 +196,8 @@ def search(
             found = found[ids[found] != query_id]
             if not len(found):
                 continue
-            score = originals[found] @ ask / (norms[found] * np.linalg.norm(ask))
+            # Row by row, so that equal vectors have equal scores wherever they stand.
+            score = (originals[found] * ask).sum(axis=1) / (norms[found] * np.linalg.norm(ask))
             order = np.lexsort((ids[found], -score))
             _, first = np.unique(ids[found][order], return_index=True)
             order = order[np.sort(first)[:k]]

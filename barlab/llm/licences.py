@@ -19,7 +19,9 @@ with very many files is one row on the directory side of its join.
 Nulls: a file with a null path has no directory and inherits nothing; a null or
 empty text has no licence of its own. Rows are told apart by path and text;
 repeated rows get equal results. Equal scores prefer the first licence by name,
-and in a directory the first file by path.
+and in a directory the first file by path. An empty table gives an empty one;
+further columns are read only if they are to be kept. Texts of any length are
+split whole, into lines, by one task each.
 """
 
 from __future__ import annotations
@@ -200,10 +202,11 @@ def _directory(path: Column) -> Column:
     return F.regexp_replace(path, "/?[^/]*$", "")
 
 
-def scan(files: DataFrame, least: float = LEAST) -> DataFrame:
+def scan(files: DataFrame, least: float = LEAST, keep: tuple[str, ...] = ()) -> DataFrame:
     """Per row of ``files`` (path, text): path, text_hash, licence, origin, score, licence_file.
 
     ``origin`` is ``header`` for a licence of its own, ``inherited``, or null.
+    ``keep`` names further columns of ``files`` to be led by.
     """
     lines = written(licence_lines(files, least), "licence-lines")
     own = written(
@@ -239,8 +242,9 @@ def scan(files: DataFrame, least: float = LEAST) -> DataFrame:
     nearest = above.join(covering, "covered").groupBy("directory").agg(
         F.max_by("by", "depth").alias("by")
     )
+    led = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]
     rows = files.select(
-        F.col("path").cast("string").alias("path"),
+        *led, F.col("path").cast("string").alias("path"),
         F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
     ).withColumn("directory", _directory(F.col("path")))
     with_own = rows.alias("r").join(
@@ -248,9 +252,10 @@ def scan(files: DataFrame, least: float = LEAST) -> DataFrame:
         F.col("r.path").eqNullSafe(F.col("o.path"))
         & F.col("r.text_hash").eqNullSafe(F.col("o.text_hash")),
         "left",
-    ).select("r.path", "r.text_hash", "directory", "licence", "score")
+    ).select("r.path", "r.text_hash", "directory", "licence", "score",
+             *(f"kept_{i}" for i in range(len(keep))))
     return with_own.join(nearest, "directory", "left").select(
-        "path", "text_hash",
+        *(F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)), "path", "text_hash",
         F.coalesce("licence", "by.licence").alias("licence"),
         F.when(F.col("licence").isNotNull(), "header")
         .when(F.col("by").isNotNull(), "inherited").alias("origin"),

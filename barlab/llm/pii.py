@@ -2,11 +2,12 @@
 
 1. Four plain rules find the base spans (email, ip, card, phone). They are the
    seeds; whatever else looks like an identifier is a candidate: words with a
-   digit or @, and rows of numbers, such as phone numbers written with spaces.
+   digit or @, and rows of numbers, such as phone numbers written with spaces, of
+   at least ``LEAST_SIGNS`` signs and ``LEAST_ALNUM`` letters and digits.
 2. Each occurrence of a seed or candidate gives lexical patterns: the two words
    before it, and the words on both sides. Patterns and instances (the strings
    found) make up a graph.
-3. Spark scores the graph in turns. A pattern is as trustworthy, for a kind, as
+3. Spark scores the graph in ``turns`` turns, a parameter of ``find``. A pattern is as trustworthy, for a kind, as
    the instances it finds are likely of that kind; a candidate is as likely as
    its patterns make it together. Seeds stay certain.
 4. Candidates that end up likely enough by trusted patterns are added as spans.
@@ -15,13 +16,18 @@ Instances count once for a pattern, however often copies repeat them. All sums
 combine before the shuffle; a pattern with very many instances meets in no task.
 
 Nulls: a null or empty text has no spans. Rows are told apart by id and text, so
-rows with a null or repeated id get their own results.
+rows with a null or repeated id get their own results. Of equally likely kinds of
+a candidate the first in the order above counts. An empty table gives an empty
+one; further columns are not read, and ``redact`` keeps them. Texts are searched
+whole, in time about in proportion to their length; the spans of one text are
+held by one task.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -52,7 +58,9 @@ _DIGIT = re.compile("[0-9]")
 _NUMERIC = re.compile(r"\+?[0-9][0-9.()/-]*")
 _BETWEEN = re.compile(r"[^\S\r\n]+(?:[-./()]+[^\S\r\n]+)?")
 _EDGES = ".,;:?!\"'()[]{}<>=*&%#$"
-_NEAR = 120  # characters on each side in which context words are looked for
+# Longer context words stand in patterns by their digest.
+LONG_WORD = 60
+LEAST_SIGNS, LEAST_ALNUM = 6, 5
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -102,6 +110,24 @@ def base_spans(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
     return sorted(found), runs
 
 
+class _Cover:
+    """Whether a stretch touches any of the given spans."""
+
+    def __init__(self, spans: list[Span]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, _, end in sorted(spans):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def touches(self, start: int, end: int) -> bool:
+        last = bisect_left(self.starts, end) - 1
+        return last >= 0 and self.ends[last] > start
+
+
 def _candidates(text: str, base: list[Span], runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """What looks like an identifier and touches no base span.
 
@@ -128,7 +154,7 @@ def _candidates(text: str, base: list[Span], runs: list[tuple[int, int]]) -> lis
             words.append((start, end))
             following = _DIGIT.search(text, end, upto)
             place = following.start() if following else None
-    seen, row = [], []
+    seen, row, cover = [], [], _Cover(base)
     for start, end in words:
         first, last = start, end
         while first < last and text[first] in _EDGES:
@@ -142,7 +168,7 @@ def _candidates(text: str, base: list[Span], runs: list[tuple[int, int]]) -> lis
         # An opening bracket before a number belongs to it, and a closing one after it.
         if row and not (_BETWEEN.fullmatch(text, row[-1][1], start) and text[start:first] in ("", "(")):
             row = _settled(row, seen)
-        if any(s < end and start < e for s, _, e in base):
+        if cover.touches(start, end):
             row = _settled(row, seen)
             continue
         row.append((start if text[start:first] == "(" else first, end, last))
@@ -151,8 +177,9 @@ def _candidates(text: str, base: list[Span], runs: list[tuple[int, int]]) -> lis
     _settled(row, seen)
     return [
         (start, end) for start, end in sorted(set(seen))
-        if end - start >= 6 and sum(c.isalnum() for c in text[start:end]) >= 5
-        and not any(s < end and start < e for s, _, e in base)
+        if end - start >= LEAST_SIGNS
+        and sum(c.isalnum() for c in text[start:end]) >= LEAST_ALNUM
+        and not cover.touches(start, end)
     ]
 
 
@@ -164,15 +191,38 @@ def _settled(row: list[tuple[int, int, int]], seen: list[tuple[int, int]]) -> li
 
 
 def _context(word: str) -> str:
+    if len(word) > LONG_WORD:
+        return hashlib.sha256(word.lower().encode()).hexdigest()
     return re.sub(r"[0-9]+", "0", word.lower())
 
 
-def _patterns(text: str, start: int, end: int) -> list[str]:
+class _Words:
+    """The whole words around places of a text that are asked for in any order."""
+
+    def __init__(self, text: str):
+        self.places = [m.span() for m in re.finditer(r"\S+", text)] if text else []
+        self.starts = [start for start, _ in self.places]
+        self.ends = [end for _, end in self.places]
+        self.text = text
+
+    def before(self, place: int) -> list[str]:
+        """Up to two; what stands in one word before the place is one of them."""
+        upto = bisect_left(self.starts, place)
+        return [self.text[s:min(e, place)] for s, e in self.places[max(0, upto - 2):upto]]
+
+    def after(self, place: int) -> str:
+        first = bisect_left(self.ends, place + 1)
+        if first == len(self.places):
+            return ""
+        start, end = self.places[first]
+        return self.text[max(start, place):end]
+
+
+def _patterns(words: _Words, start: int, end: int) -> list[str]:
     """Two words before; one word before and one after."""
-    before = text[max(0, start - _NEAR):start].split()
-    after = text[end:end + _NEAR].split()
-    left = [_context(w) for w in before[-2:]]
-    right = _context(after[0]) if after else ""
+    left = [_context(w) for w in words.before(start)]
+    after = words.after(end)
+    right = _context(after) if after else ""
     found = []
     if len(left) == 2:
         found.append(f"{left[0]} {left[1]} _")
@@ -209,9 +259,10 @@ def outlines(docs: DataFrame) -> DataFrame:
                 spans.append([{"start": s, "kind": k, "stop": e} for s, k, e in base])
                 seen = [(s, e, k) for s, k, e in base]
                 seen += [(s, e, -1) for s, e in _candidates(text, base, runs)]
+                words = _Words(text if seen else "")
                 occurrences.append([
                     {"start": s, "stop": e, "kind": k, "instance": text[s:e].lower(),
-                     "patterns": _patterns(text, s, e)}
+                     "patterns": _patterns(words, s, e)}
                     for s, e, k in seen
                 ])
             return batch_of(
@@ -303,7 +354,7 @@ def score_graph(edges: DataFrame, turns: int = TURNS) -> tuple[DataFrame, DataFr
     return trusted, likely
 
 
-def find(docs: DataFrame) -> DataFrame:
+def find(docs: DataFrame, turns: int = TURNS) -> DataFrame:
     """Per row: doc_id, text_hash, n_email, n_ip, n_card, n_phone, base_sha256, spans, found.
 
     ``spans`` are the base spans (start, kind number, stop) in code points, and
@@ -312,7 +363,7 @@ def find(docs: DataFrame) -> DataFrame:
     rows = outlines(docs)
     seen = rows.select("unit", F.inline("occurrences"))
     edges = seen.select("instance", "kind", F.explode("patterns").alias("pattern"))
-    trusted, likely = score_graph(edges)
+    trusted, likely = score_graph(edges, turns)
     hits = (
         seen.filter("kind = -1").drop("kind")
         .select("unit", "start", "stop", "instance", F.explode("patterns").alias("pattern"))

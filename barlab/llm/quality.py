@@ -15,7 +15,11 @@ sample on the driver has a fixed bound too. Scoring reads each text once.
 
 Nulls: a null or empty text has no words and only the statements of an empty
 text. Labels with a null id or grade are not used; labels that repeat an id are
-used each. Rows with a null or repeated id are scored like any other.
+used each. Rows with a null or repeated id are scored like any other. Without
+labels, or without labels of some grade, the thresholds that no row speaks for
+stay where they begin, so every grade has a probability. Equal scores are equal
+results. An empty table gives an empty one; further columns are not read, and
+``select_rows`` keeps them. Texts of any length are read whole, by one task each.
 """
 
 from __future__ import annotations
@@ -32,6 +36,8 @@ from .common import ascii_words, batch_of, list_array, map_batches, text_bytes
 SAMPLE = 4_000
 BUCKETS = 8_192
 REMEMBERED = 200_000
+# A feature, no text: changes of class after so many leave the shape of a word as it is.
+SHAPE_SIGNS = 12
 
 # Shape classes: letters by case, digits, anything beyond ASCII; other characters stay.
 _CLASSES = bytes(
@@ -49,9 +55,9 @@ def _bucket(kind: bytes, value: bytes) -> int:
 
 
 def _shape(word: bytes) -> bytes:
-    """The classes of the characters, runs of one class cut to one."""
+    """The classes of the characters, runs of one class cut to one, up to ``SHAPE_SIGNS``."""
     classes = word.translate(_CLASSES)
-    return bytes(c for c, before in zip(classes, b"\0" + classes, strict=False) if c != before)[:12]
+    return bytes(c for c, before in zip(classes, b"\0" + classes, strict=False) if c != before)[:SHAPE_SIGNS]
 
 
 class _WordFeatures(dict):
@@ -106,10 +112,13 @@ class OrdinalModel:
 
 def fit(
     rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, steps: int = 400,
-    penalty: float = 1e-5, rate: float = 0.3,
+    penalty: float = 1e-5, rate: float = 0.3, levels: int | None = None,
 ) -> OrdinalModel:
-    """Maximum likelihood by Adam over all rows; grades are 0, 1, 2, ..."""
-    count = int(grades.max()) if len(grades) else 1
+    """Maximum likelihood by Adam over all rows; grades are 0, 1, 2, ..., ``levels`` of them.
+
+    A grade that no row has keeps its threshold, far from the others.
+    """
+    count = (int(grades.max()) if len(grades) else 1) if levels is None else levels - 1
     ends = np.cumsum([0, *(len(i) for i, _ in rows)])
     index = np.concatenate([i for i, _ in rows]) if rows else np.empty(0, np.int64)
     value = np.concatenate([v for _, v in rows]) if rows else np.empty(0)
@@ -151,8 +160,13 @@ def fit(
     return OrdinalModel(theta[:BUCKETS], thresholds)
 
 
-def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> OrdinalModel:
-    """Fit on ``ratings`` (doc_id, grade from 0), joined with the texts of ``docs``."""
+def train(
+    docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, grades: int | None = None
+) -> OrdinalModel:
+    """Fit on ``ratings`` (doc_id, grade from 0), joined with the texts of ``docs``.
+
+    ``grades`` is the number of grades there are, which the ratings need not all have.
+    """
     chosen = (
         ratings.filter("doc_id is not null and grade is not null")
         .select(F.col("doc_id").cast("long").alias("rated"), F.col("grade").cast("int"))
@@ -186,7 +200,7 @@ def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> OrdinalM
     ).orderBy("doc_id", "grade").collect()
     return fit(
         [(np.array(r["index"], np.int64), np.array(r["value"], np.float64)) for r in collected],
-        np.array([r.grade for r in collected], np.int64),
+        np.array([r.grade for r in collected], np.int64), levels=grades,
     )
 
 

@@ -71,12 +71,12 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as files ``source/lang/doc_id.txt``."""
-    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
-    files = table(spark, folder, "documents").select(path.alias("path"), "text")
-    return licences.scan(files).select(
-        F.regexp_extract("path", "([0-9]+)\\.txt$", 1).cast("long").alias("doc_id"), "path",
-        "licence", "origin", "score", "licence_file",
+    """Documents as files ``source/lang/doc_id.txt``, a null id as ``source/lang/.txt``."""
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(".txt"))
+    path = F.concat_ws("/", "source", "lang", name)
+    files = table(spark, folder, "documents").select("doc_id", path.alias("path"), "text")
+    return licences.scan(files, keep=("doc_id",)).select(
+        "doc_id", "path", "licence", "origin", "score", "licence_file"
     )
 
 
@@ -89,7 +89,7 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Probabilities of at least grade 1 and 2, from the two marks of a label."""
     docs = table(spark, folder, "documents")
-    model = quality.train(docs, quality.composed_grades(table(spark, folder, "labels")))
+    model = quality.train(docs, quality.composed_grades(table(spark, folder, "labels")), grades=3)
     return quality.grade(docs, model).select(
         "doc_id", "expected_grade", F.col("tails")[0].alias("p_good"),
         F.col("tails")[1].alias("p_best"), "selected",

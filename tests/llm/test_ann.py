@@ -20,10 +20,10 @@ def brute(rows, queries, k):
     for q in queries:
         if q in clean:
             scored = [
-                (-(clean[q] @ v) / (np.linalg.norm(clean[q]) * np.linalg.norm(v)), i)
+                (-(clean[q] * v).sum() / (np.linalg.norm(clean[q]) * np.linalg.norm(v)), i)
                 for i, v in clean.items() if i != q
             ]
-            result[q] = [(i, -s) for s, i in sorted((round(s, 12), i) for s, i in scored)[:k]]
+            result[q] = [(i, -s) for s, i in sorted(scored)[:k]]
     return result
 
 
@@ -85,3 +85,21 @@ def test_many_copies_and_small_blocks(spark, monkeypatch):
     truth = brute(rows, [i for i, _ in rows if i % 50 == 0], 5)
     assert [i for i, _ in found[0]] == [3, 6, 9, 12, 15] == [i for i, _ in truth[0]]
     assert all(len(f) == 5 for f in found.values()) and found.keys() == truth.keys()
+
+
+@pytest.mark.parametrize("copies", [2, 7, 8, 33])
+def test_copies_come_by_id_at_any_place(spark, copies):
+    """Equal vectors have equal scores, so the smaller ids come first, in many dimensions too."""
+    for seed in range(6):
+        random = np.random.default_rng(seed)
+        same = random.normal(size=64)
+        rows = [(i, same.tolist()) for i in range(1, copies + 1)]
+        rows += [(50 * i, (same + random.normal(size=64) / 9).tolist()) for i in range(2, 5)]
+        rows += [(1_000 + i, random.normal(size=64).tolist()) for i in range(1, 12)]
+        random.shuffle(rows)
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+        found = by_query(ann.search(df, F.col("vec_id") == 100, k=5).collect())
+        near = [i for i, _ in found[100] if i <= copies]
+        assert near == sorted(near) and near == list(range(1, len(near) + 1))
+        assert len(near) >= min(copies, 3)
+        assert [i for i, _ in found[100]] == [i for i, _ in brute(rows, [100], 5)[100]]

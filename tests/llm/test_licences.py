@@ -91,3 +91,17 @@ def test_main_path_runs_no_python(spark):
     df = spark.createDataFrame(rows(), "path string, text string").repartition(2)
     plan = licences.scan(df)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|MapInArrow", plan)
+
+
+def test_query_keeps_null_and_negative_ids(spark, tmp_path):
+    from barlab.llm.queries import QUERIES
+
+    docs = [(None, "Released under the MIT License", "s", "en"), (-7, "plain words", "s", "en"),
+            (3, None, None, None), (None, None, "s", None), (-7, "plain words", "s", "en")]
+    spark.createDataFrame(docs, "doc_id long, text string, source string, lang string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    found = QUERIES["op7_licences"](spark, str(tmp_path)).collect()
+    key = lambda i: (i is not None, i or 0)
+    assert sorted((r.doc_id for r in found), key=key) == sorted((d[0] for d in docs), key=key)
+    assert {r.licence for r in found if r.path == "s/en/-7.txt"} == {"MIT"}
+    assert [r.origin for r in found if r.path == "s/en/.txt"] == ["header"]

@@ -109,3 +109,31 @@ def test_identifiers_written_with_spaces_are_discovered(make_docs):
         start = text.index(said)
         assert found[20 + i] == [(start, 3, start + len(said))], text
     assert found[50] == []
+
+
+def test_many_spans_in_one_text():
+    """20,000 addresses and 20,000 keys: time in proportion, and nothing next to a span lost."""
+    import time
+
+    taken = []
+    for n in (2_000, 20_000):
+        text = " ".join(f"mail a{i}@b.org key AB{i:07d}" for i in range(n))
+        began = time.process_time()
+        base, runs = pii.base_spans(text)
+        found = pii._candidates(text, base, runs)
+        words = pii._Words(text)
+        patterns = [pii._patterns(words, s, e) for s, e in found]
+        taken.append(time.process_time() - began)
+        assert len(base) == n and [text[s:e] for s, e in found] == [f"AB{i:07d}" for i in range(n)]
+        assert patterns[1] == ["a0@b.org key _", "key _ mail"]
+    assert taken[1] < 25 * taken[0] + 1
+
+
+def test_context_words_are_whole():
+    long = "w" * 500
+    text = f"{long} its-number: AB-12345 {long}"
+    words, start = pii._Words(text), text.index("AB-")
+    digest = hashlib.sha256(long.encode()).hexdigest()
+    assert pii._patterns(words, start, start + 8) == [f"{digest} its-number: _", f"its-number: _ {digest}"]
+    glued = pii._Words("see(id=X12345) now")
+    assert pii._patterns(glued, 7, 13) == ["see(id= _ )"]

@@ -61,3 +61,49 @@ def test_odd_rows(spark, make_docs):
 def test_composed_grades(spark, quality_mark, toxic, grade):
     labels = spark.createDataFrame([(1, quality_mark, toxic)], "doc_id long, quality int, toxic int")
     assert quality.composed_grades(labels).first().grade == grade
+
+
+def loss(model_rows, grades, weights, thresholds):
+    """Mean negative log-likelihood of the grades, by the formula of the model."""
+    total = 0.0
+    for (index, value), grade in zip(model_rows, grades, strict=True):
+        tails = [1.0, *(1 / (1 + np.exp(-(weights[index] @ value - t))) for t in thresholds), 0.0]
+        total -= np.log(tails[grade] - tails[grade + 1])
+    return total / len(grades)
+
+
+def test_fit_is_where_the_likelihood_has_no_slope():
+    """Numeric slopes of the likelihood, written out, vanish at the fitted parameters."""
+    random = np.random.default_rng(1)
+    rows, grades = [], []
+    for _ in range(300):
+        x = random.integers(0, 5, 2)
+        rows.append((x, np.array([0.5, 0.5])))
+        grades.append(int(np.clip(x.mean() / 2 + random.normal(), 0, 2)))
+    model = quality.fit(rows, np.array(grades), steps=3_000, penalty=0.0, rate=0.02)
+    best = loss(rows, grades, model.weights, model.thresholds)
+    for place in range(5):
+        for step in (1e-3, -1e-3):
+            moved = model.weights.copy()
+            moved[place] += step
+            assert abs(loss(rows, grades, moved, model.thresholds) - best) < 2e-6
+    for place in range(2):
+        moved = model.thresholds.copy()
+        moved[place] += 1e-3
+        assert abs(loss(rows, grades, model.weights, moved) - best) < 2e-6
+
+
+@pytest.mark.parametrize("labels", [
+    [], [(1, 0, 0), (2, 1, 1)], [(1, 0, 0)], [(None, 1, 0), (1, None, 0), (2, 1, None)], [(1, 1, 0)],
+])
+def test_query_with_labels_that_lack_grades(spark, tmp_path, labels):
+    from barlab.llm.queries import QUERIES
+
+    docs = [(1, "some words"), (2, "Other words, here."), (None, "no id"), (-5, None), (2, "")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(
+        str(tmp_path / "labels.parquet"))
+    rows = QUERIES["op9_quality"](spark, str(tmp_path)).collect()
+    assert len(rows) == len(docs)
+    assert all(1 >= r.p_good >= r.p_best >= 0 for r in rows)
