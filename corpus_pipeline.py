@@ -21,7 +21,7 @@ BROADCAST_ROWS = 2_000_000
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of at least grade 1; the model is fitted on the labelled ones."""
     ratings = quality.composed_grades(table(spark, sf_dir, "labels"))
-    return quality.select_rows(docs, quality.train(docs, ratings))
+    return quality.select_rows(docs, quality.train(docs, ratings, grades=3))
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
