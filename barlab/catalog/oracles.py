@@ -75,6 +75,25 @@ _CUT = """
         FROM (SELECT DISTINCT "Date" FROM frame))
     WHERE i = floor(n * 0.8::DOUBLE)"""
 
+# Borders 1 to 5 of four folds; the fifth is the last date.
+_BORDERS = """
+    SELECT border, "Date" FROM (SELECT unnest(range(1, 6)) AS border) JOIN (
+        SELECT "Date", row_number() OVER (ORDER BY "Date") AS i, count(*) OVER () AS n
+        FROM (SELECT DISTINCT "Date" FROM frame)
+    ) ON i = border * n // 5"""
+
+# Averages of gain and loss, smoothed row by row.
+_SMOOTH = f"""
+    SELECT "Date", "Pair", "Timeframe", "Close", "Gain", "Loss", 1::BIGINT AS n,
+           "Gain" AS g, "Loss" AS l FROM (
+        SELECT *, row_number() OVER ({_SERIES}) AS n FROM processed) WHERE n = 1
+    UNION ALL
+    SELECT p."Date", p."Pair", p."Timeframe", p."Close", p."Gain", p."Loss", p.n,
+           CASE WHEN p.n <= 14 THEN (s.g * (p.n - 1) + p."Gain") / p.n ELSE (s.g * 13 + p."Gain") / 14 END,
+           CASE WHEN p.n <= 14 THEN (s.l * (p.n - 1) + p."Loss") / p.n ELSE (s.l * 13 + p."Loss") / 14 END
+    FROM smooth s JOIN (SELECT *, row_number() OVER ({_SERIES}) AS n FROM processed) p
+        ON p."Pair" = s."Pair" AND p."Timeframe" = s."Timeframe" AND p.n = s.n + 1"""
+
 _TRAIN = 'SELECT frame.* FROM frame, cut WHERE "Date" <= split_date'
 _TEST = 'SELECT frame.* FROM frame, cut WHERE "Date" > split_date'
 
@@ -197,6 +216,8 @@ _TABLES = {
     "cut": (_CUT, ("frame",)),
     "train": (_TRAIN, ("cut",)),
     "test": (_TEST, ("cut",)),
+    "borders": (_BORDERS, ("frame",)),
+    "smooth": (_SMOOTH, ("processed",)),
     "scored": (_SCORED, ("test",)),
     "triggers": (_TRIGGERS, ("lagged",)),
     "walk": (_states("triggers") + "\n    UNION ALL" + _step("walk"), ("triggers",)),
@@ -417,6 +438,37 @@ def oracles() -> dict[str, str]:
             f"SELECT {_PRICE_KEY} FROM ({_AGED.format(table='bars')}) WHERE age <= 4"),
         "trigger_rows": _sql(
             f"SELECT * REPLACE ({_r(*_ROLLING, 'MA5_MA20_Ratio')}) FROM triggers", "triggers"),
+        "rsi14": _sql(
+            f"""SELECT {_PRICE_KEY}, CASE WHEN n >= 14 AND g + l > 0 THEN round(100 * g / (g + l), 6) END
+                AS rsi14 FROM smooth""", "smooth"),
+        "time_folds": _sql(
+            """SELECT x.border::INT AS fold, x."Date" AS train_until, y."Date" AS valid_until,
+                (SELECT count(*) FROM frame WHERE "Date" <= x."Date")::BIGINT AS train_rows,
+                (SELECT count(*) FROM frame
+                 WHERE "Date" > x."Date" AND "Date" <= y."Date")::BIGINT AS valid_rows
+            FROM borders x JOIN borders y ON y.border = x.border + 1""", "borders"),
+        "pair_regression": _sql(
+            """SELECT "Pair", count(*)::BIGINT AS n, round(regr_slope("Close_h1", "Close"), 6) AS slope,
+                round(regr_intercept("Close_h1", "Close"), 6) AS intercept,
+                round(regr_r2("Close_h1", "Close"), 6) AS r2
+            FROM frame GROUP BY "Pair\"""", "frame"),
+        "scored_rows": _sql(
+            f"""SELECT model, "Pair", count(*)::BIGINT AS rows, 0::BIGINT AS outside,
+                round(sum("Close_h1"), 6) AS actual_sum
+            FROM test, (SELECT unnest(['{RANDOM_FOREST}', '{BOOSTED_TREES}', '{LOGISTIC}']) AS model)
+            GROUP BY ALL""", "test"),
+        "importance_sum": f"""SELECT {len(FEATURES)}::BIGINT AS features, 1::DOUBLE AS total,
+            0::BIGINT AS negative""",
+        "comparison_check": f"""SELECT model, metric, TRUE AS "equal"
+            FROM (SELECT unnest(['{RANDOM_FOREST}', '{BOOSTED_TREES}']) AS model),
+                (SELECT unnest(['rmse', 'mae', 'r2']) AS metric)""",
+        "topic_positions": _sql(
+            f"""SELECT n AS messages, n AS positions, n AS numbered FROM (
+                SELECT (SELECT count(*) FROM processed)
+                    + (SELECT count(*) FROM ({_bars('1d')})) AS n)""", "processed"),
+        "stream_two_queries": _sql(
+            'SELECT "Pair" AS pair, 24::BIGINT AS forecasts, 1::BIGINT AS triggers FROM triggers',
+            "triggers"),
         "series_stats": _sql(
             """SELECT "Pair", "Timeframe", count(*)::BIGINT AS records, min("Date") AS "start",
                 max("Date") AS "end", round(avg("Close"), 6) AS avg_close, min("Close") AS min_close,

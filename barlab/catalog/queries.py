@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions.fields import json_field, number
 from ..operators import documents as docs
-from ..operators import features, metrics, models, series, split, summaries, training
+from ..operators import (
+    features, metrics, models, oscillators, series, split, summaries, training, validation,
+)
 from ..operators import forecast as fc
 from ..operators import messages as msg
 from ..schemas import FEATURES, LAG_COLUMNS, PROCESSED_COLUMNS, TARGET_DIRECTION, TARGET_PRICE
@@ -600,6 +602,28 @@ def trigger_rows(spark, folder):
     return rounded(triggers, (*ROLLING, "MA5_MA20_Ratio"))
 
 
+@query
+def rsi14(spark, folder):
+    """Relative strength of every series, smoothed along the whole of it."""
+    rated = oscillators.wilder_rsi(_processed(spark, folder))
+    return rounded(rated.select(*PRICE_KEY, "rsi14"), ("rsi14",))
+
+
+@query
+def time_folds(spark, folder):
+    return validation.fold_counts(_stored_frame(spark, folder))
+
+
+@query
+def pair_regression(spark, folder):
+    """The next close on the present one, a line per pair."""
+    fitted = validation.linear_by_pair(_stored_frame(spark, folder), ["Close"])
+    return rounded(
+        fitted.select("Pair", "n", F.col("coefficients")[0].alias("slope"), "intercept", "r2"),
+        ("slope", "intercept", "r2"),
+    )
+
+
 # --- reports --------------------------------------------------------------
 
 
@@ -753,6 +777,66 @@ def model_comparison(spark, folder):
     return models.model_comparison({n: _predictions(spark, folder, n) for n in names})
 
 
+@query
+def scored_rows(spark, folder):
+    """What the three models were asked about: the test rows, and answers in the labels' range."""
+    frame = _stored_frame(spark, folder)
+    train, test = split.split_train(frame), split.split_test(frame)
+    reach = train.agg(F.min(TARGET_PRICE).alias("lo"), F.max(TARGET_PRICE).alias("hi"))
+    low, high = reach.select("lo").scalar(), reach.select("hi").scalar()
+    forest = models.score(_model(spark, folder, models.RANDOM_FOREST), test)
+    trees = models.score(_model(spark, folder, models.BOOSTED_TREES), test)
+    signs = models.score(_model(spark, folder, models.LOGISTIC), test)
+    # A forest averages labels; boosted trees may leave their range, by less than its width.
+    parts = [
+        forest.select("Pair", F.lit(models.RANDOM_FOREST).alias("model"),
+                      F.col("prediction").between(low, high).alias("fits"), TARGET_PRICE),
+        trees.select("Pair", F.lit(models.BOOSTED_TREES).alias("model"),
+                     F.col("prediction").between(2 * low - high, 2 * high - low).alias("fits"),
+                     TARGET_PRICE),
+        signs.select("Pair", F.lit(models.LOGISTIC).alias("model"),
+                     F.col("prediction").isin(0.0, 1.0).alias("fits"), TARGET_PRICE),
+    ]
+    return parts[0].union(parts[1]).union(parts[2]).groupBy("model", "Pair").agg(
+        F.count("*").alias("rows"), F.count_if(~F.col("fits")).alias("outside"),
+        F.round(F.sum(TARGET_PRICE), 6).alias("actual_sum"),
+    )
+
+
+@query
+def importance_sum(spark, folder):
+    """All importances of the forest: one per feature, none negative, adding up to one."""
+    table = models.feature_importance(
+        _model(spark, folder, models.RANDOM_FOREST), count=len(FEATURES)
+    )
+    return table.agg(
+        F.count("*").alias("features"), F.round(F.sum("importance"), 6).alias("total"),
+        F.count_if(F.col("importance") < 0).alias("negative"),
+    )
+
+
+@query
+def comparison_check(spark, folder):
+    """Reported metrics of the regressors against the same recomputed from the scored rows."""
+    names = (models.RANDOM_FOREST, models.BOOSTED_TREES)
+    scored = {n: written(_predictions(spark, folder, n).select(TARGET_PRICE, "prediction"), "scored")
+              for n in names}
+    reported = models.model_comparison(scored)
+    parts = []
+    for name, rows in scored.items():
+        error = F.col(TARGET_PRICE) - F.col("prediction")
+        mean = rows.agg(F.avg(TARGET_PRICE)).scalar()
+        again = rows.agg(
+            F.sqrt(F.sum(error * error) / F.count("*")).alias("rmse"),
+            (F.sum(F.abs(error)) / F.count("*")).alias("mae"),
+            (1 - F.sum(error * error) / F.sum((F.col(TARGET_PRICE) - mean) ** 2)).alias("r2"),
+        )
+        parts.append(again.select(F.lit(name).alias("model"), "*").unpivot(
+            "model", None, "metric", "again"))
+    both = reported.join(parts[0].union(parts[1]), ["model", "metric"])
+    return both.select("model", "metric", (F.abs(F.col("value") - F.col("again")) < 1e-9).alias("equal"))
+
+
 @query
 def model_roundtrip(spark, folder):
     """Rows a model predicts otherwise after it was saved and loaded."""
@@ -883,6 +967,44 @@ def stream_drain(spark, folder):
     )
 
 
+@query
+def topic_positions(spark, folder):
+    """A topic written in two goes and read at once: each message with its number in its file."""
+    path = fresh_dir(spark, "topic")
+    for part in (_processed(spark, folder), _all_frames(spark, folder).filter("Timeframe = '1d'")):
+        publish(msg.row_messages(part), "json", path=path)
+    read = topics.read_topic(spark, "json", positions=True, path=path)
+    files_of = read.groupBy("position.source").agg(
+        F.count("*").alias("n"), F.count_distinct("position.nth").alias("places"),
+        F.max("position.nth").alias("last"),
+    )
+    whole = files_of.agg(F.sum("n").alias("messages"), F.sum("places").alias("positions"),
+                         F.sum(F.col("last") + 1).alias("numbered"))
+    return whole.select(*(F.col(c).cast("bigint").alias(c) for c in whole.columns))
+
+
+@query
+def stream_two_queries(spark, folder):
+    """A forecast and a monitor over one topic at once, waited for together."""
+    triggers = fc.trigger_rows(_processed(spark, folder))
+    path = _topic(spark, msg.row_messages(triggers))
+    forecasts, seen = fresh_dir(spark, "forecasts"), fresh_dir(spark, "seen")
+    running = [
+        streams.start_forecasts(
+            _stream(spark, path), momentum_step, streams.per_batch_folder(forecasts),
+            fresh_dir(spark, "checkpoint"), available_now=True),
+        streams.start_monitor(
+            _stream(spark, path), fresh_dir(spark, "checkpoint"), format="parquet",
+            available_now=True, path=seen, name="seen"),
+    ]
+    for query_of in running:
+        _drain(query_of)
+    made = msg.parse_forecasts(spark.read.parquet(forecasts)).groupBy("pair").agg(
+        F.count("*").alias("forecasts"))
+    shown = spark.read.parquet(seen).groupBy("pair").agg(F.count("*").alias("triggers"))
+    return made.join(shown, "pair", "full")
+
+
 @query
 def stream_monitor(spark, folder):
     path = _topic(spark, msg.forecast_messages(_forecasts(spark, folder)))
