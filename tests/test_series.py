@@ -77,14 +77,28 @@ def test_rank_limit_runs_before_the_shuffle(uneven):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_both_branches_read_one_shuffle(spark, uneven):
+def test_rows_are_shuffled_and_sorted_once(spark, uneven):
     from barlab.session import written
 
     stored = written(features.bar_features(uneven))
-    for df in (features.rolling_ma(stored.drop("MA5", "MA20")), training.training_frame(stored),
-               training.lag_features(stored), training.target_direction(stored)):
-        df.collect()
-        assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+    for days in (None, 2):
+        frame = training.training_frame(stored, chunk_days=days)
+        plan = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("Sort [") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_equal_dates_give_one_result_in_any_order(spark, uneven):
+    """Rows of one date, on both sides of borders, in two orders of arrival."""
+    doubled = uneven.union(uneven.withColumn("Close", F.col("Close") + 1).withColumn("Volume", F.col("Volume") + 7))
+    found = []
+    for seed in (1, 2):
+        shuffled = doubled.repartition(7).orderBy(F.xxhash64("Date", "Close", F.lit(seed))).coalesce(3)
+        for days in (0, 1, 3):
+            found.append(rows(features.bar_features(shuffled, chunk_days=days)))
+        found[-1], tail = found[-1], series.series_tail(shuffled, 3)
+        found.append(sorted(map(str, tail.collect())))
+    assert found[0] == found[1] == found[2] == found[4] == found[5] == found[6]
+    assert found[3] == found[7]
 
 
 def test_other_bar_lengths_get_chunks_of_their_own_width(make_bars):
