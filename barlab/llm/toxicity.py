@@ -46,11 +46,16 @@ MARKED_WEIGHT = 3.0
 FOLDS, HELD_OUT = 3, 1
 REMEMBERED = 200_000
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
+SHORT = 6  # a beginning of up to so many signs, its mark included, is remembered
 
 # The letters the trigram model tells apart; any other one is the last symbol.
 ALPHABET = " abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþßÿ?"
 _SYMBOL = {c: i for i, c in enumerate(ALPHABET)}
 _OTHER, _EDGE, _N = len(ALPHABET) - 1, 0, len(ALPHABET)
+# The symbol of each code point; the last is that of all further ones, a line end is an edge.
+_CODES = np.full(max(map(ord, ALPHABET)) + 2, _OTHER, np.int64)
+_CODES[list(map(ord, ALPHABET))] = range(_N)
+_CODES[ord("\n")] = _EDGE
 
 # Letters that a digit or sign is often written for.
 LOOKS_LIKE = {
@@ -69,6 +74,7 @@ _DISGUISE = re.compile(
     r"[^\W\d_][0-9@$!|+(<€£¡§µ.\-*~'`^·​‌‍­_]+[^\W\d_]"
     r"|([^\W\d_])\1\1"
 )
+_TRIPLE = re.compile(r"([^\W\d_])\1\1")
 _LETTER = re.compile(r"[^\W\d_]")
 _SIGN = re.compile(f"[{re.escape(''.join(LOOKS_LIKE))}]")
 _SPACED = re.compile(
@@ -84,12 +90,8 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
         totals = np.zeros(_N ** 3, np.int64)
 
         def settle() -> None:
-            for word, times in seen.items():
-                codes = [_SYMBOL.get(c, _OTHER) for c in word]
-                before, last = _EDGE, _EDGE
-                for code in (*codes, _EDGE):
-                    totals[(before * _N + last) * _N + code] += times
-                    before, last = last, code
+            nonlocal totals
+            totals += _trigrams(seen)
             seen.clear()
 
         for batch in batches:
@@ -108,6 +110,24 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("code").agg(F.sum("times").alias("times"))
 
 
+def _trigrams(words: Counter) -> np.ndarray:
+    """Counts of all trigrams of the words, each with two edges before it and one after."""
+    if not words:
+        return np.zeros(_N ** 3, np.int64)
+    # An edge is written as a line end, which no word has.
+    said = np.frombuffer(("\n\n" + "\n\n\n".join(words) + "\n").encode("utf-32-le"), "<u4")
+    codes = _CODES[np.minimum(said, len(_CODES) - 1)]
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 3
+    times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), lengths)
+    # The first two places of a word are its edges, and no trigram ends there.
+    ends = np.ones(len(codes), bool)
+    starts = np.cumsum(lengths) - lengths
+    ends[starts] = ends[starts + 1] = False
+    at = np.flatnonzero(ends)
+    index = (codes[at - 2] * _N + codes[at - 1]) * _N + codes[at]
+    return np.bincount(index, times[at], _N ** 3).astype(np.int64)
+
+
 def _keep_plain(seen: Counter) -> None:
     """Keep plain words only, without the signs around them."""
     plain: Counter = Counter()
@@ -205,8 +225,12 @@ class Restorer(dict):
     def __missing__(self, word: str) -> str:
         if len(self) >= REMEMBERED:
             self.clear()
-        core = word.lower().strip(_EDGES)
-        disguised = word.lower().strip(".,;:?\"'")
+        lower = word.lower()
+        core = lower.strip(_EDGES)
+        if core.isalpha() and "!" not in word and not _TRIPLE.search(core):
+            self[word] = core
+            return core
+        disguised = lower.strip(".,;:?\"'")
         if not core.isalpha() or _DISGUISE.search(core) or disguised[:1] == "!":
             mixed = _SIGN.search(core) or disguised[:1] == "!"
             if mixed and _LETTER.search(core) or _DISGUISE.search(disguised):
@@ -217,12 +241,23 @@ class Restorer(dict):
     def words(self, text: str | None) -> set[str]:
         if not text:
             return set()
-        found = set(map(self.__getitem__, set(text.split())))
-        for run in _SPACED.finditer(text):
-            found.add(self.model.restore("".join(run.group().split()).lower()))
+        written_words = text.split()
+        found = set(map(self.__getitem__, set(written_words)))
+        if _spaced(written_words):
+            for run in _SPACED.finditer(text):
+                found.add(self.model.restore("".join(run.group().split()).lower()))
         return found
 
 
+def _spaced(words: list[str]) -> bool:
+    """Whether three words in a row have a single sign, as spaced letters do."""
+    lengths = list(map(len, words))
+    if lengths.count(1) < 3:
+        return False
+    single = np.array(lengths) == 1
+    return bool((single[:-2] & single[1:-1] & single[2:]).any())
+
+
 def _word_features(word: str) -> list[str]:
     return [word, *(f"{word[:n]}~" for n in BEGINNINGS if len(word) >= n)]
 
@@ -231,15 +266,36 @@ def _code(feature: str) -> int:
     return xxhash.xxh3_64_intdigest(feature.encode()) - (1 << 63)
 
 
+class _Beginnings(dict):
+    """Codes of the shorter beginnings of words, which are far fewer than words."""
+
+    def __missing__(self, feature: str) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        value = self[feature] = _code(feature)
+        return value
+
+
+def _codes_of(word: str, known: _Beginnings) -> list[int]:
+    if not word:
+        return []
+    whole, *beginnings = _word_features(word)
+    return [_code(whole), *(known[b] if len(b) <= SHORT else _code(b) for b in beginnings)]
+
+
 # Turns the code of a feature into that of several words having it.
 _SHARED = 0x5DEECE66D
 
 
 class _Codes(dict):
+    def __init__(self):
+        super().__init__()
+        self.beginnings = _Beginnings()
+
     def __missing__(self, word: str) -> list[int]:
         if len(self) >= REMEMBERED:
             self.clear()
-        value = self[word] = [_code(f) for f in _word_features(word)] if word else []
+        value = self[word] = _codes_of(word, self.beginnings)
         return value
 
 
@@ -248,6 +304,13 @@ class ToxicityModel:
 
     def __init__(self, characters: CharacterModel, weights: dict[int, float], intercept: float):
         self.characters, self.weights, self.intercept = characters, weights, intercept
+        self._tools: tuple[Restorer, _Scorer] | None = None
+
+    def tools(self) -> tuple[Restorer, _Scorer]:
+        """What remembers words; the tasks of a worker share the broadcast model, and so this."""
+        if self._tools is None:
+            self._tools = Restorer(self.characters), _Scorer(self.weights)
+        return self._tools
 
 
 class _Scorer(dict):
@@ -255,15 +318,17 @@ class _Scorer(dict):
 
     def __init__(self, weights: dict[int, float]):
         super().__init__()
-        self.weights = weights
+        self.chosen = weights.keys() | {c ^ _SHARED for c in weights}
+        self.beginnings = _Beginnings()
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= REMEMBERED:
             self.clear()
-        value = self[word] = tuple(
-            c for c in (map(_code, _word_features(word)) if word else ())
-            if c in self.weights or c ^ _SHARED in self.weights
-        )
+        codes = _codes_of(word, self.beginnings)
+        if self.chosen.isdisjoint(codes):
+            value = self[word] = ()
+        else:
+            value = self[word] = tuple(c for c in codes if c in self.chosen)
         return value
 
 
@@ -391,7 +456,7 @@ def score(docs: DataFrame, model: ToxicityModel, least: float = 0.7) -> DataFram
 
     def rows():
         fitted = packed.value
-        restorer, scorer = Restorer(fitted.characters), _Scorer(fitted.weights)
+        restorer, scorer = fitted.tools()
 
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
             sums = []

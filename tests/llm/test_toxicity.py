@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -94,3 +95,67 @@ def test_every_mixed_or_spaced_word_is_restored(model):
 
 def test_long_mixed_words_cost_linear_time(model):
     assert len(model.characters.restore("a1b2c3$4" * 2_500)) > 10_000
+
+
+def test_trigrams_equal_counting_one_by_one():
+    from collections import Counter
+
+    words = Counter({"abc": 3, "é": 2, "straße": 5, "日本": 1, "a" * 300: 2, "zz": 7})
+    truth = np.zeros(toxicity._N ** 3, np.int64)
+    for word, times in words.items():
+        codes = [toxicity._SYMBOL.get(c, toxicity._OTHER) for c in word]
+        line = [toxicity._EDGE, toxicity._EDGE, *codes, toxicity._EDGE]
+        for x, y, z in zip(line, line[1:], line[2:]):
+            truth[(x * toxicity._N + y) * toxicity._N + z] += times
+    assert (toxicity._trigrams(words) == truth).all()
+    assert toxicity._trigrams(Counter()).sum() == 0
+
+
+def test_spaced_letters_are_looked_for_where_they_are():
+    rng = random.Random(4)
+    for _ in range(2_000):
+        parts = rng.choices(["a", "b", "I", "5", "$", "word", "two", "é"], k=rng.randrange(1, 9))
+        text = "".join(p + rng.choice([" ", "  ", "\n"]) for p in parts)
+        if toxicity._SPACED.search(text):
+            assert toxicity._spaced(text.split())
+
+
+def readings(model, word):
+    """{letters: best logarithm} over every path of the lattice, one by one."""
+    drawn = {c for c, x, y in zip(word, word[1:], word[2:]) if c == x == y}
+    found = {}
+
+    def go(place, letters, total):
+        if place == len(word):
+            line = [toxicity._EDGE, toxicity._EDGE, *(toxicity._SYMBOL.get(c, toxicity._OTHER) for c in letters),
+                    toxicity._EDGE]
+            total += sum(model.log[(x * toxicity._N + y) * toxicity._N + z]
+                         for x, y, z in zip(line, line[1:], line[2:]))
+            found[letters] = max(total, found.get(letters, -np.inf))
+            return
+        c = word[place]
+        options = [(c, toxicity._KEEP)] if c.isalpha() else []
+        options += [(o, toxicity._STANDS_FOR) for o in toxicity.LOOKS_LIKE.get(c, "")]
+        for letter, cost in options:
+            go(place + 1, letters + letter, total + cost)
+            if c in drawn and letters.endswith(letter):
+                go(place + 1, letters, total + cost + toxicity._REPEAT)
+        if not c.isalpha():
+            drop = (toxicity._DROP_SEPARATOR if c in toxicity._SEPARATORS else
+                    toxicity._DROP_LETTER if c in toxicity.LOOKS_LIKE else toxicity._DROP_SIGN)
+            go(place + 1, letters, total + drop)
+
+    go(0, "", 0.0)
+    return found
+
+
+def test_decoding_finds_the_best_of_all_paths():
+    """Small lattices of all kinds of signs, under a model of random counts."""
+    random.seed(6)
+    counts = np.random.default_rng(6).integers(0, 50, toxicity._N ** 3)
+    model = toxicity.CharacterModel(counts * (counts > 30))
+    for _ in range(400):
+        word = "".join(random.choices("abst15!6$.-*0é日", k=random.randrange(1, 7)))
+        word += random.choice(["", "aaa", "555", "$$$"])
+        truth = readings(model, word)
+        assert truth[model.restore(word)] == pytest.approx(max(truth.values()), abs=1e-9), word
