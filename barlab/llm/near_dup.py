@@ -20,7 +20,8 @@
    blocks, with an inverted index of the full sets in each cell. Cells send on
    only what connects, so no group emits its pairs.
 6. Every link is confirmed on the full shingle sets (64-bit hashes of all
-   shingles) by ``100 * intersection >= percent * union``.
+   shingles) by ``100 * intersection >= percent * union``. Full sets are made of
+   the documents that stars, pairs and cells compare, of no others.
 
 A wrong answer needs a linked pair whose sketch overlap falls ``SIGMAS``
 standard deviations below its mean (about 2 in 10 million by the exact binomial
@@ -30,7 +31,10 @@ Nulls: a null or empty text, or one without words, has an empty set and no
 links. A row with a null id is kept and linked with nothing (its component is
 null). Ids name documents: rows that share an id are one node, linked if any of
 their texts is, and joined with all classes their texts are in. ``copies`` takes texts
-as nodes instead: it tells which rows go so that one text of each group stays.
+as nodes instead: it tells which rows go so that one text of each group stays. An
+empty table gives an empty one; further columns are not read. Texts of any length
+are read whole; the set of a text is held by one task. Of equally central members
+of a list the smaller number counts.
 """
 
 from __future__ import annotations
@@ -48,10 +52,11 @@ from .common import (
 
 SIGMAS = 5.5
 BITS = 256
-# Components and lists from this size on are compared in blocks of about so many documents.
+# Components and lists from this size on are compared in blocks, of about so many
+# documents for components, and of so many shingles (8 bytes each) for lists.
 LARGE = 64
 BLOCK_DOCS = 512
-CROWD_DOCS = 2_048
+CROWD_SHINGLES = 1_000_000
 
 
 def shingle_hashes(words: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
@@ -415,18 +420,22 @@ def _links(docs: DataFrame, units: DataFrame, size: int, percent: int, k: int) -
         met.join(x, "a").join(y, "b").filter(_possible("x", "y", k, percent)).select("a", "b"),
         "stars",
     )
-    # Only documents in some star or in a list with another are compared at all.
-    listed = lists.join(several, "value").select("doc").distinct()
-    listed = listed.join(units.select("doc", "id", "set_key"), "doc")
-    sets = written(_shingles(docs, listed, size), "sets")
+    def full_sets(wanted: DataFrame, label: str) -> DataFrame:
+        """The full sets of documents (doc), which are compared; no others are made."""
+        named = written(wanted.distinct().join(units.select("doc", "id", "set_key"), "doc"), label)
+        return written(_shingles(docs, named, size), f"{label}-sets")
 
-    def confirmed(pairs: DataFrame, label: str) -> DataFrame:
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("doc")).union(pairs.select("b"))
+
+    def confirmed(pairs: DataFrame, sets: DataFrame, label: str) -> DataFrame:
         left = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("left"))
         right = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("right"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
         return written(map_batches(both, _confirm(percent), "a long, b long"), label)
 
-    links = confirmed(stars, "star-links")
+    sets = full_sets(ends(stars), "starred")
+    links = confirmed(stars, sets, "star-links")
     joined = components(links)
     labelled = lists.select("value", "doc").join(several, "value").join(
         joined, F.col("doc") == joined["node"], "left"
@@ -450,19 +459,26 @@ def _links(docs: DataFrame, units: DataFrame, size: int, percent: int, k: int) -
         F.col("crowd") >= LARGE
     )
     crowds = written(
-        small.join(crowded, "value").select("centre", "doc").distinct(), "crowds"
+        small.join(crowded, "value").select("centre", "doc", F.col("outline.n").alias("n")).distinct(),
+        "crowds",
     )
     small = small.join(crowded, "value", "left_anti")
     one, other = small.alias("one"), small.alias("other")
-    pairs = one.join(
+    pairs = written(one.join(
         other,
         (F.col("one.value") == F.col("other.value")) & (F.col("one.doc") < F.col("other.doc"))
         & (F.col("one.component") != F.col("other.component"))
         & _possible("one.outline", "other.outline", k, percent),
-    ).select(F.col("one.doc").alias("a"), F.col("other.doc").alias("b")).distinct()
-    links = links.union(confirmed(pairs, "small-links"))
+    ).select(F.col("one.doc").alias("a"), F.col("other.doc").alias("b")).distinct(), "small-pairs")
+    wanted = written(_asked_of_large(still), "asked")
+    # Members of large components are in stars.
+    more = ends(pairs).union(crowds.select("doc")).union(wanted.select("doc")).join(
+        sets.select("doc"), "doc", "left_anti"
+    )
+    sets = sets.union(full_sets(more, "further"))
+    links = links.union(confirmed(pairs, sets, "small-links"))
     links = links.union(written(_crowd_links(crowds, sets, percent), "crowd-links"))
-    return links.union(written(_large_links(still, joined, sets, percent), "large-links"))
+    return links.union(written(_large_links(wanted, joined, sets, percent), "large-links"))
 
 
 def _numbers(upto: Column) -> Column:
@@ -472,7 +488,7 @@ def _numbers(upto: Column) -> Column:
 def _crowd_links(crowds: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links among the members of crowded lists, which have their lists' centre in common."""
     blocks = crowds.groupBy("centre").agg(
-        (F.floor(F.count("*") / CROWD_DOCS) + 1).alias("blocks")
+        (F.floor(F.sum("n") / CROWD_SHINGLES) + 1).alias("blocks")
     )
     dealt = crowds.join(blocks, "centre").select(
         "centre", "doc", F.pmod(F.xxhash64("doc"), F.col("blocks")).alias("own"),
@@ -488,10 +504,8 @@ def _crowd_links(crowds: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _large_links(
-    still: DataFrame, joined: DataFrame, sets: DataFrame, percent: int
-) -> DataFrame:
-    """Links from the large components to other members of their lists.
+def _asked_of_large(still: DataFrame) -> DataFrame:
+    """(component, docs, doc): the large components, and members of their lists outside.
 
     Of two large components the members of the smaller one are looked up in the
     blocks of the larger one.
@@ -501,11 +515,17 @@ def _large_links(
     )
     outside = still.select("value", "doc", F.col("component").alias("own"), "docs")
     size = F.coalesce(F.col("o.docs"), F.lit(0))
-    wanted = large.alias("l").join(
+    return large.alias("l").join(
         outside.alias("o"),
         (F.col("l.value") == F.col("o.value"))
         & (F.struct(F.col("l.docs"), F.col("l.component")) > F.struct(size, F.col("o.own"))),
     ).select("l.component", "l.docs", "o.doc").distinct()
+
+
+def _large_links(
+    wanted: DataFrame, joined: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
+    """Links from the large components to the documents asked of them."""
     # Blocks of members meet packs of askers, so a cell is bounded on both sides.
     parts = F.floor(F.col("docs") / BLOCK_DOCS) + 1
     packs = wanted.groupBy("component").agg(
@@ -519,7 +539,7 @@ def _large_links(
         "component", "part", "pack", F.col("doc").alias("asker"),
         F.col("shingles").alias("wanted"),
     ).toDF("to", "of_part", "of_pack", "asker", "wanted")
-    sizes = large.groupBy("component").agg(F.max("docs").alias("docs"))
+    sizes = wanted.groupBy("component").agg(F.max("docs").alias("docs"))
     members = joined.join(sizes, "component").join(packs, "component").select(
         "component", F.pmod(F.xxhash64("node"), parts).alias("part"),
         _numbers(F.col("packs")).alias("pack"), F.col("node").alias("doc"),
