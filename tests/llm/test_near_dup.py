@@ -84,7 +84,7 @@ def test_equals_all_pairs_near_the_limit(make_docs):
 def test_blocks_equal_all_pairs(make_docs, monkeypatch):
     monkeypatch.setattr(near_dup, "LARGE", 4)
     monkeypatch.setattr(near_dup, "BLOCK_DOCS", 5)
-    monkeypatch.setattr(near_dup, "CROWD_SHINGLES", 7)
+    monkeypatch.setattr(near_dup, "CROWD_SHINGLES", 500)
     rows = family(random.Random(6), 90, 22)
     check(make_docs(rows), rows, 2)
 
