@@ -25,6 +25,9 @@ all blocks, and a block passes on ``k`` rows of them.
 Vectors that are null, zero or hold a null or non-finite number, rows with a
 null id, and vectors whose length differs from that of most of the sample take
 no part. Rows that repeat an id count as one candidate, by their best cosine.
+Scores are sums taken row by row, so equal vectors have equal scores, and equal
+scores are ranked by id. No rows, or no queries, give no rows; further columns are
+not read. A vector is held whole, so its length is bounded by a task's memory.
 """
 
 from __future__ import annotations

@@ -12,7 +12,11 @@ the keys of documents with a block found; beyond that Spark shuffles them.
 
 Nulls: a null or empty text has no words and no hits; a benchmark item without
 words has no window. Rows are told apart by id and text, so rows with a null or
-repeated id get their own results, and repeated rows get equal ones.
+repeated id get their own results, and repeated rows get equal ones. Items are
+listed in the order of their ids as strings; items of one id are one. Empty tables
+give empty ones, or no hits; further columns are not read, and those of documents
+stay where documents are returned. Texts of any length are read whole, by one task
+each.
 """
 
 from __future__ import annotations

@@ -22,7 +22,11 @@ Language, source and id are no inputs of a score.
 
 Nulls: a null or empty text has no words and the score of the intercept. A row
 with a null id is scored and counts as not held out; labels with a null id or
-mark are not used. Rows that repeat an id are scored each.
+mark are not used. Rows that repeat an id are scored each. Texts of any length are
+read whole, by one task each. Of equally telling features the smaller code is
+chosen, of equally likely readings the later one in code order. An empty table, or
+one without labels, gives scores of the intercept alone, for each row there is;
+further columns are not read.
 """
 
 from __future__ import annotations

@@ -64,6 +64,29 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, documents):
     assert all(r.round_trip and r.n_chars == len(texts["pieces"][r.doc_id]) for r in last)
 
 
+def test_pipeline_over_odd_and_empty_tables(spark, documents, tmp_path):
+    """Null and repeated ids, null and empty texts, further columns; then no rows at all."""
+    rows = [(None, None), (None, ""), (3, "some words of plain prose"), (3, "some words of plain prose"),
+            (-4, "x " * 50_000), (5, None)]
+    odd = spark.createDataFrame(
+        [(i, t, None, "s", None, 1.0) for i, t in rows],
+        "doc_id long, text string, lang string, source string, n_chars long, ids double",
+    )
+    for name, docs in (("odd", odd), ("empty", odd.limit(0))):
+        folder = str(tmp_path / name)
+        docs.write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(
+            f"{folder}/labels.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(
+            f"{folder}/benchmark.parquet")
+        found = corpus_pipeline.run(spark, folder).collect()
+        assert len(found) <= docs.count() and all(r.ids is None or len(r.ids) == r.n_ids for r in found)
+        for stage in corpus_pipeline.STAGES[1:4]:
+            kept = stage[1](spark, docs, folder)
+            assert kept.columns == docs.columns and kept.count() == docs.dropDuplicates().count() + (
+                stage[0] != "near_duplicates" and name == "odd")
+
+
 def test_library_does_not_need_the_corpus_operators():
     root = os.path.dirname(driver.__file__)
     for folder, _, files in os.walk(os.path.join(root, "barlab")):
