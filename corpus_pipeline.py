@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 to the shared folder and read again as the next stage's ``docs``. All stages but
 the last return the columns of ``documents``.
+
+All stages read whole texts and take rows as they are: null and repeated ids, null
+and empty texts, further columns of any name, and empty tables, which stay empty.
+A null or empty text is graded like any other, has no near duplicate, no benchmark
+window and no personal data, and a null one has null ids of pieces.
 """
 
 from __future__ import annotations
@@ -12,20 +17,28 @@ from pyspark.sql import functions as F
 
 from barlab.llm import decontaminate, near_dup, pieces, pii, quality
 from barlab.llm.common import table
-from barlab.session import written
+from barlab.session import fresh_dir, scratch
 
 # Dropped ids are broadcast up to so many (about 80 MB in memory), else shuffled.
 BROADCAST_ROWS = 2_000_000
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of at least grade 1; the model is fitted on the labelled ones."""
+    """Documents of at least grade 1; the model is fitted on the labelled ones.
+
+    Without labels every grade is as likely as the thresholds' first values say. A
+    probability of exactly the limit keeps a row.
+    """
     ratings = quality.composed_grades(table(spark, sf_dir, "labels"))
     return quality.select_rows(docs, quality.train(docs, ratings, grades=3))
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row, that with the smallest id, of each group of near duplicate texts."""
+    """One row, that with the smallest id, of each group of near duplicate texts.
+
+    Equal rows are one; of texts with equal sets and ids the smallest hash stays.
+    Rows without an id or words stay.
+    """
     gone, once = near_dup.copies(docs, shingle_words=5, percent=80)
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
@@ -43,12 +56,16 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def keep_unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of a benchmark item."""
+    """Documents without any window of a benchmark item; an empty benchmark removes none."""
     return decontaminate.remove_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind."""
+    """All documents, with personal data replaced by its kind.
+
+    ``n_chars`` is that of the new text, and stays for a null one. Spans that
+    overlap are replaced as one, by the kind of the first.
+    """
     redacted = pii.redact(docs)
     return redacted.withColumn(
         "n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))
@@ -79,5 +96,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = fresh_dir(spark, f"stage-{name}")
+        with scratch(spark, f"scratch-{name}"):  # what the stage writes for itself goes with it
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+            schema = result.schema
+        docs = spark.read.schema(schema).parquet(path)
     return docs
