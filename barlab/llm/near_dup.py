@@ -429,8 +429,8 @@ def _links(docs: DataFrame, units: DataFrame, size: int, percent: int, k: int) -
         return pairs.select(F.col("a").alias("doc")).union(pairs.select("b"))
 
     def confirmed(pairs: DataFrame, sets: DataFrame, label: str) -> DataFrame:
-        left = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("left"))
-        right = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("right"))
+        left = _sets_of(sets, pairs, "a").toDF("a", "left")
+        right = _sets_of(sets, pairs, "b").toDF("b", "right")
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
         return written(map_batches(both, _confirm(percent), "a long, b long"), label)
 
@@ -495,7 +495,7 @@ def _crowd_links(crowds: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         _numbers(F.col("blocks")).alias("other"),
     )
     # Every two blocks of a crowd meet in one cell.
-    cells = dealt.join(sets, "doc").select(
+    cells = dealt.join(_sets_of(sets, crowds, "doc"), "doc").select(
         "centre", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
         "doc", "shingles",
     )
@@ -504,6 +504,12 @@ def _crowd_links(crowds: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _sets_of(sets: DataFrame, rows: DataFrame, column: str) -> DataFrame:
+    """(doc, shingles) of the documents in a column, so that no others are moved."""
+    meant = rows.select(F.col(column).alias("doc")).distinct()
+    return sets.join(meant, "doc", "left_semi").select("doc", "shingles")
+
+
 def _asked_of_large(still: DataFrame) -> DataFrame:
     """(component, docs, doc): the large components, and members of their lists outside.
 
@@ -535,15 +541,19 @@ def _large_links(
     asked = wanted.join(packs, "component").select(
         "component", _numbers(parts).alias("part"),
         F.pmod(F.xxhash64("doc"), F.col("packs")).alias("pack"), "doc",
-    ).join(sets, "doc").select(
+    ).join(_sets_of(sets, wanted, "doc"), "doc").select(
         "component", "part", "pack", F.col("doc").alias("asker"),
         F.col("shingles").alias("wanted"),
     ).toDF("to", "of_part", "of_pack", "asker", "wanted")
     sizes = wanted.groupBy("component").agg(F.max("docs").alias("docs"))
-    members = joined.join(sizes, "component").join(packs, "component").select(
-        "component", F.pmod(F.xxhash64("node"), parts).alias("part"),
-        _numbers(F.col("packs")).alias("pack"), F.col("node").alias("doc"),
-    ).join(sets, "doc").select("component", "part", "pack", "doc", "shingles")
+    inside = written(
+        joined.join(sizes, "component").select("component", "docs", F.col("node").alias("doc")),
+        "large-members",
+    )
+    members = inside.join(packs, "component").select(
+        "component", F.pmod(F.xxhash64("doc"), parts).alias("part"),
+        _numbers(F.col("packs")).alias("pack"), "doc",
+    ).join(_sets_of(sets, inside, "doc"), "doc").select("component", "part", "pack", "doc", "shingles")
     return members.groupBy("component", "part", "pack").cogroup(
         asked.groupBy("to", "of_part", "of_pack")
     ).applyInArrow(_against_block(percent), "a long, b long")
