@@ -11,7 +11,7 @@ cut.
 
 Where no piece of the model crosses the start of a word, all paths agree there,
 and what follows does not depend on what came before. Then the search runs word
-by word, and a worker remembers the ids of ``REMEMBERED`` words; longer words
+by word, and a worker remembers the ids of a number of words; longer words
 than ``LONGEST_REMEMBERED`` are searched again, to bound its memory.
 
 As the model files ask: one space is put before the text, spaces become ``▁``,
@@ -94,9 +94,9 @@ class Vocabulary:
                                 else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
-    def encoder(self) -> Encoder:
+    def encoder(self, remembered: int) -> Encoder:
         if self._encoder is None:
-            self._encoder = Encoder(self)
+            self._encoder = Encoder(self, remembered)
         return self._encoder
 
 
@@ -187,9 +187,9 @@ class Encoder(dict):
     when the newer one is full. The tasks of one worker share them.
     """
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, remembered: int = REMEMBERED):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.vocabulary, self.remembered = vocabulary, remembered
         self.older: dict[str, bytes] = {}
 
     def _search(self, text: str) -> bytes:
@@ -201,7 +201,7 @@ class Encoder(dict):
         value = self.older.get(word)
         if value is None:
             value = self._search(word)
-        if 2 * len(self) >= REMEMBERED:
+        if 2 * len(self) >= self.remembered:
             self.older = dict(self)
             self.clear()
         self[word] = value
@@ -237,11 +237,14 @@ def _with(df: DataFrame, *added: str) -> StructType:
 
 
 def encode(
-    docs: DataFrame, model: str | Vocabulary = DEFAULT_MODEL, with_decoded: bool = False
+    docs: DataFrame, model: str | Vocabulary = DEFAULT_MODEL, with_decoded: bool = False,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """The columns of ``docs`` and ``ids``; columns of the added names are replaced.
 
-    ``with_decoded`` adds ``decoded``, what the ids decode to, in the same pass.
+    ``with_decoded`` adds ``decoded``, what the ids decode to, in the same pass. A
+    worker keeps the ids of ``remembered`` words (about 230 bytes each); fewer take
+    more time and give the same ids.
     """
     shared = _shared(docs, model)
     added = ["ids array<int>", "decoded string"] if with_decoded else ["ids array<int>"]
@@ -251,7 +254,7 @@ def encode(
 
     def rows():
         # A worker holds a broadcast value, and what it remembers of it, across tasks.
-        encoder = shared.value.encoder()
+        encoder = shared.value.encoder(remembered)
 
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = [

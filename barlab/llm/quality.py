@@ -35,7 +35,7 @@ from .common import ascii_words, batch_of, list_array, map_batches, text_bytes
 
 SAMPLE = 4_000
 BUCKETS = 8_192
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 # A feature, no text: changes of class after so many leave the shape of a word as it is.
 SHAPE_SIGNS = 12
 
