@@ -21,6 +21,8 @@ from barlab.session import fresh_dir, scratch
 
 # Dropped ids are broadcast up to so many (about 80 MB in memory), else shuffled.
 BROADCAST_ROWS = 2_000_000
+# Words a worker remembers in the last stage, when it still holds what earlier ones left it.
+REMEMBERED_WORDS = 80_000
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,7 +76,7 @@ def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document, and whether they decode to its text."""
-    decoded = pieces.encode(docs, with_decoded=True)
+    decoded = pieces.encode(docs, with_decoded=True, remembered=REMEMBERED_WORDS)
     return decoded.select(
         "doc_id", "lang", "source", "n_chars", "ids", F.size("ids").alias("n_ids"),
         F.col("decoded").eqNullSafe(pieces.normalised(F.col("text"))).alias("round_trip"),
