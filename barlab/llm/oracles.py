@@ -1,12 +1,14 @@
 """DuckDB SQL of the corpus queries that SQL can express on whole tables.
 
 Trained models, the nearest-neighbour search, tokenising, tag paths, and the
-scored graphs of contexts and licences have none; tests/llm compares those with
-brute force, exact round trips or held-out accuracy.
+scored graph of contexts have none; tests/llm compares those with brute force,
+exact round trips or held-out accuracy.
 """
 
 from __future__ import annotations
 
+from . import licences
+
 _SPACED = r"""
     SELECT doc_id, list_filter(
         regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> ''
@@ -221,8 +223,107 @@ sums AS (
 SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
 FROM tree JOIN sums USING (conv_id, depth)"""
 
+_WORDS = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda x: x <> '')"
+
+# The cosine of every line with every template, without the bound that spares most lines.
+_LICENCES = rf"""
+WITH templates(template, licence, said) AS (
+    VALUES {", ".join(f"({n}, '{name}', '{said}')" for n, (name, said) in enumerate(licences.TEMPLATES))}
+),
+tokens AS (SELECT template, licence, unnest({_WORDS.format("said")}) AS term FROM templates),
+vocabulary AS (SELECT DISTINCT term FROM tokens),
+files AS (
+    SELECT doc_id, concat_ws('/', source, lang, coalesce(doc_id::VARCHAR, '') || '.txt') AS path, text
+    FROM documents
+),
+held AS (
+    SELECT term, count(*) AS n
+    FROM (SELECT unnest(list_distinct({_WORDS.format("text")})) AS term FROM files)
+    WHERE term IN (FROM vocabulary) GROUP BY term
+),
+weights AS (
+    SELECT term, 1 + ln((1 + (SELECT count(*) FROM files)) / (1 + coalesce(n, 0))) AS idf
+    FROM vocabulary LEFT JOIN held USING (term)
+),
+raw AS (
+    SELECT template, licence, term, (1 + ln(count(*))) * min(idf) AS value
+    FROM tokens JOIN weights USING (term) GROUP BY ALL
+),
+vectors AS (
+    SELECT template, licence, term,
+           value / sqrt(sum(value * value) OVER (PARTITION BY template)) AS value
+    FROM raw
+),
+units AS (
+    SELECT row_number() OVER () AS unit, path, text, len({_WORDS.format("text")}) AS file_words
+    FROM (SELECT DISTINCT path, text FROM files WHERE text IS NOT NULL)
+),
+lines AS (
+    SELECT unit, line, {_WORDS.format("said")} AS ws FROM (
+        SELECT unit, unnest(range(len(ls))) AS line, unnest(ls) AS said
+        FROM (SELECT unit, regexp_split_to_array(text, '[\n\r]+') AS ls FROM units)
+    )
+),
+terms AS (
+    SELECT unit, line, line_words, term, (1 + ln(count(*))) * min(idf) AS own
+    FROM (SELECT unit, line, len(ws) AS line_words, unnest(ws) AS term FROM lines)
+    JOIN weights USING (term) GROUP BY unit, line, line_words, term
+),
+norms AS (SELECT unit, line, sqrt(sum(own * own)) AS norm FROM terms GROUP BY unit, line),
+scored AS (
+    SELECT unit, line, line_words, licence, round(sum(own * value) / min(norm), 9) AS score
+    FROM terms JOIN norms USING (unit, line) JOIN vectors USING (term)
+    GROUP BY unit, line, line_words, template, licence
+),
+best AS (
+    SELECT unit, line, line_words, max(score) AS score,
+           min_by(licence, (-score, licence)) AS licence
+    FROM scored WHERE score >= {licences.LEAST} GROUP BY unit, line, line_words
+),
+own AS (
+    SELECT path, text, licence, score, 2 * said >= file_words AS mostly FROM (
+        SELECT unit, min_by(licence, (-score, licence)) AS licence, max(score) AS score,
+               sum(line_words) AS said
+        FROM best GROUP BY unit
+    ) JOIN units USING (unit)
+),
+covering AS (
+    SELECT regexp_replace(path, '/?[^/]*$', '') AS covered,
+           min_by((path, licence, score), (-score, path)) AS source
+    FROM own
+    WHERE mostly OR lower(regexp_replace(regexp_extract(path, '[^/]*$'), '\..*$', ''))
+        IN ({", ".join(f"'{name}'" for name in licences.LICENCE_FILES)})
+    GROUP BY ALL
+),
+directories AS (
+    SELECT DISTINCT regexp_replace(path, '/?[^/]*$', '') AS directory FROM files
+),
+parted AS (
+    SELECT directory, list_filter(string_split(directory, '/'), lambda x: x <> '') AS parts
+    FROM directories
+),
+above AS (
+    SELECT directory, depth, CASE WHEN depth = len(parts) THEN directory ELSE
+        CASE WHEN starts_with(directory, '/') AND depth > 0 THEN '/' ELSE '' END
+        || array_to_string(parts[1:depth], '/') END AS covered
+    FROM (SELECT *, unnest(range(len(parts) + 1)) AS depth FROM parted)
+),
+nearest AS (
+    SELECT directory, max_by(source, depth) AS source FROM above JOIN covering USING (covered)
+    GROUP BY directory
+)
+SELECT f.doc_id, f.path, coalesce(o.licence, n.source[2]) AS licence,
+       CASE WHEN o.licence IS NOT NULL THEN 'header'
+            WHEN n.source IS NOT NULL THEN 'inherited' END AS origin,
+       coalesce(o.score, n.source[3]) AS score,
+       CASE WHEN o.licence IS NULL THEN n.source[1] END AS licence_file
+FROM files f
+LEFT JOIN own o ON o.path = f.path AND o.text = f.text
+LEFT JOIN nearest n ON n.directory = regexp_replace(f.path, '/?[^/]*$', '')"""
+
 ORACLES: dict[str, str] = {
     "op3_near_dup": _NEAR_DUP,
+    "op7_licences": _LICENCES,
     "op8_substring_dedup": _REPEATS,
     "op10_decontaminate": _LEAKS,
     "op12_filter_audit": _AUDIT,
