@@ -57,6 +57,8 @@ BITS = 256
 LARGE = 64
 BLOCK_DOCS = 512
 CROWD_SHINGLES = 1_000_000
+# Ids of compared documents are broadcast up to so many (about 80 MB in memory).
+BROADCAST_ROWS = 2_000_000
 
 
 def shingle_hashes(words: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
@@ -393,6 +395,10 @@ def _shingles(docs: DataFrame, listed: DataFrame, size: int) -> DataFrame:
         return apply
 
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_bytes().alias("text"))
+    ids = listed.select("id").distinct()
+    if ids.count() <= BROADCAST_ROWS:
+        # Only texts that are compared are moved to the join.
+        texts = texts.join(F.broadcast(ids), "id", "left_semi")
     return map_batches(
         texts.join(listed, "id").select("doc", "text", "set_key"), rows,
         "doc long, shingles array<long>",

@@ -148,3 +148,10 @@ def test_loss_at_the_limit_is_as_stated(spark):
     needed = spark.range(1).select(near_dup._needed(F.lit(10 ** 9), 128, 0.8)).first()[0]
     loss = sum(comb(128, i) * 0.8 ** i * 0.2 ** (128 - i) for i in range(int(needed)))
     assert loss < 2.5e-7
+
+
+@pytest.mark.parametrize("limit", [0, 2_000_000])
+def test_more_compared_documents_than_a_broadcast_holds(make_docs, monkeypatch, limit):
+    monkeypatch.setattr(near_dup, "BROADCAST_ROWS", limit)
+    rows = family(random.Random(8), 60, 14) + [(None, "a b c d"), (900, None), (901, "a b c d")]
+    check(make_docs(rows), rows, 2)
