@@ -18,8 +18,11 @@ are read by Spark's ``binaryFile`` reader from any store that Spark can reach.
 Texts are encoded with the tokenizers library. Where its file splits texts as
 byte-level BPE does, a token never crosses the place before a space that a
 non-space follows; parts between such places are encoded once while they are
-remembered, which also bounds what the library holds for a very long text. For
-other files, texts are encoded whole. Strings of special tokens inside a text
+remembered, which also bounds what the library holds for a very long text. New
+parts of plain signs (ASCII and Latin-1 letters, digits, marks, usual white space)
+are split further here, by the same expression as byte-level BPE, and the library's
+model gets each word and mark once; other new parts go through the whole library.
+For other files, texts are encoded whole. Strings of special tokens inside a text
 are ordinary text.
 
 Bounds: a task holds one sort run of its texts, ``PARTS`` remembered parts, 64
@@ -174,17 +177,96 @@ class Shelf:
         return self._take(1)
 
 
+_CUT = re.compile(r"(?= \S)")
+_BEFORE_SPACE = re.compile(r" (?!\S)")
+# Signs that are letters, digits, white space or neither by any version of Unicode.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN = re.compile(f"[\t\n\r -~{_LETTERS}]*")
+# How byte-level BPE splits a text before it merges, for plain signs.
+_SPLIT = re.compile(
+    rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+"
+)
+
+
+class _Known(dict):
+    """Texts mapped to their ids; two generations, so what comes often is not forgotten."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict[str, bytes] = {}
+        self.chars = 0
+
+    def put(self, text: str, ids: bytes) -> bytes:
+        self.chars += len(text)
+        self[text] = ids
+        return ids
+
+    def turn(self) -> None:
+        """Drop the older generation and begin a new one."""
+        self.older = dict(self)
+        self.clear()
+        self.chars = 0
+
+
+class _Pieces(_Known):
+    """Pieces of plain signs as the split leaves them, which the model merges."""
+
+    def __init__(self, model, signs: dict[int, str]):
+        super().__init__()
+        self.model, self.signs = model, signs
+
+    def merged(self, piece: str) -> bytes:
+        """The ids of a piece whose bytes are written as the signs of tokens."""
+        found = self.model.tokenize(piece)
+        return struct.pack(f"<{len(found)}I", *[token.id for token in found])
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.put(piece, self.older.get(piece) or self.merged(piece.translate(self.signs)))
+
+
+class _Parts(_Known):
+    """Parts with a space before them; those not of plain signs are None until they are put.
+
+    A part of several pieces is remembered when its first one was known, since new
+    words seldom come again with the same marks.
+    """
+
+    def __init__(self, pieces: _Pieces):
+        super().__init__()
+        self.pieces = pieces
+        self.space = pieces.signs.get(ord(" "), "")
+
+    def __missing__(self, part: str) -> bytes | None:
+        ids = self.older.get(part)
+        if ids is not None:
+            return self.put(part, ids)
+        if part.isascii() and part.isalpha():
+            return self.put(part, self.pieces.merged(self.space + part))
+        if not _PLAIN.fullmatch(part):
+            return None
+        first, *rest = _SPLIT.findall(" " + part)
+        word = first[1:]
+        ids = self.get(word) or self.older.get(word)
+        new = ids is None
+        if new:
+            ids = self.put(word, self.pieces.merged(first.translate(self.pieces.signs)))
+        if rest:
+            ids += b"".join(map(self.pieces.__getitem__, rest))
+        return ids if new else self.put(part, ids)
+
+
 class Encoder:
     """Token ids of texts as little-endian 32-bit numbers.
 
-    A text is cut before each space that a non-space follows. Parts not yet known
-    are encoded many at a time as one text, whose ids are told apart by the bytes
-    their tokens stand for.
+    A text is cut before each space that a non-space follows. Parts that the split
+    above does not know are encoded many at a time as one text, whose ids are told
+    apart by the bytes their tokens stand for.
     """
 
     def __init__(self, model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already uses every core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_str(model)
         self.library.encode_special_tokens = True
@@ -193,14 +275,20 @@ class Encoder:
         self.by_part = (
             split.get("type") == "ByteLevel" and split.get("use_regex", True)
             and not split.get("add_prefix_space") and not asked.get("normalizer")
+            and all(added.get("special") for added in asked.get("added_tokens") or [])
         )
+        signs = {}
         if self.by_part:
             # One sign of a byte-level token stands for one byte.
             tokens = map(self.library.id_to_token, range(self.library.get_vocab_size()))
             self.sizes = np.array([len(t or "") for t in tokens], np.int64)
-        # Ids of parts with a space before them, and the characters of those parts.
-        self.known: dict[str, bytes] = {}
-        self.chars = 0
+            bytewise = ByteLevel(add_prefix_space=False, use_regex=False)
+            signs = {
+                c: bytewise.pre_tokenize_str(chr(c))[0][0]
+                for c in range(256) if _PLAIN.fullmatch(chr(c))
+            }
+        self.pieces = _Pieces(self.library.model, signs)
+        self.known = _Parts(self.pieces)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -208,7 +296,6 @@ class Encoder:
 
     def _learn(self, parts: list[str]) -> None:
         """Remember the ids of each part with a space before it."""
-        self.chars += sum(map(len, parts))
         for start in range(0, len(parts), PARTS_AT_ONCE):
             some = parts[start:start + PARTS_AT_ONCE]
             ids = self._whole([" " + " ".join(some)])[0]
@@ -218,38 +305,39 @@ class Encoder:
             if not (ends[places] == cuts).all():
                 raise ValueError("a token crosses the start of a part")
             stops = (4 * (places + 1)).tolist()
-            self.known.update(zip(some, map(ids.__getitem__, map(slice, [0, *stops], stops))))
+            for part, low, high in zip(some, [0, *stops], stops):
+                self.known.put(part, ids[low:high])
 
     def _forget(self) -> None:
-        """Drop the older half of what has become too much."""
-        if len(self.known) > PARTS or self.chars > PART_CHARS:
-            for part in list(islice(self.known, len(self.known) // 2)):
-                del self.known[part]
-            self.chars = sum(map(len, self.known))
+        """Drop the older generations when the newer ones hold half of what may be remembered."""
+        held = (self.known, self.pieces)
+        if 2 * sum(map(len, held)) > PARTS or 2 * sum(h.chars for h in held) > PART_CHARS:
+            for known in held:
+                known.turn()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_part:
             return self._whole(texts)
         self._forget()
-        parts = [
-            text.split(" ") if not _BEFORE_SPACE.search(text)
-            else [p[i > 0:] for i, p in enumerate(_CUT.split(text))] for text in texts
-        ]
-        firsts = self._whole([part[0] for part in parts])
-        found = [list(map(self.known.get, part[1:])) for part in parts]
-        new = list({
-            p for part, ids in zip(parts, found) if None in ids
-            for p, i in zip(part[1:], ids) if i is None
-        })
-        self._learn(new)
-        return [
-            first + b"".join(ids if None not in ids else map(self.known.__getitem__, part[1:]))
-            for first, part, ids in zip(firsts, parts, found)
-        ]
-
-
-_CUT = re.compile(r"(?= \S)")
-_BEFORE_SPACE = re.compile(r" (?!\S)")
+        firsts, found, unknown = [], [], {}
+        for text in texts:
+            if _BEFORE_SPACE.search(text):
+                parts = [p[i > 0:] for i, p in enumerate(_CUT.split(text))]
+            else:
+                parts = text.split(" ")
+            firsts.append(parts.pop(0))
+            ids = list(map(self.known.__getitem__, parts))
+            if None in ids:
+                unknown[len(found)] = parts
+            found.append(ids if None in ids else b"".join(ids))
+        self._learn(list({
+            p for n, parts in unknown.items() for p, i in zip(parts, found[n]) if i is None
+        }))
+        for n, parts in unknown.items():
+            found[n] = b"".join([
+                self.known[p] if i is None else i for p, i in zip(parts, found[n])
+            ])
+        return list(map(bytes.__add__, self._whole(firsts), found))
 
 
 @lru_cache(maxsize=1)

@@ -134,3 +134,35 @@ def test_parts_of_a_text_are_encoded_as_in_the_whole(tokenizer, library):
     texts = ["".join(rng.choices(signs, k=rng.randrange(16))) for _ in range(3_000)]
     for text, got in zip(texts, encoder.encode(texts)):
         assert np.frombuffer(got, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_words_are_merged_once_whatever_stands_beside_them(tokenizer, library):
+    """Texts of plain signs: each word and mark goes to the model once, as the whole text gives it."""
+    with open(tokenizer, encoding="utf-8") as file:
+        encoder = token_files.Encoder(file.read())
+    merged, model = [], encoder.pieces.merged
+    encoder.pieces.merged = lambda piece: merged.append(piece) or model(piece)
+    handed, whole = [], encoder._whole
+    encoder._whole = lambda texts: handed.extend(texts) or whole(texts)
+    text = "on straße, straße. straße!\nÉté straße\nÉté (straße) 12straße don't"
+    got = np.frombuffer(encoder.encode([text])[0], "<u4").tolist()
+    assert got == library.encode(text, add_special_tokens=False).ids
+    assert handed == ["on"] and len(merged) == len(set(merged))
+    rng = random.Random(4)
+    signs = [*map(chr, range(32, 127)), *"\n\t\r ßéÿÀ×÷ªµº\x7f\x00\xa0²", "  ", " ", "'s", "'re", "ab", "été"]
+    texts = ["".join(rng.choices(signs, k=rng.randrange(24))) for _ in range(6_000)]
+    for text, got in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(got, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_remembered_parts_and_pieces_stay_bounded(tokenizer, library, monkeypatch):
+    monkeypatch.setattr(token_files, "PARTS", 60)
+    with open(tokenizer, encoding="utf-8") as file:
+        encoder = token_files.Encoder(file.read())
+    for n in range(40):
+        text = " ".join(f"word{n}x{i},\nnext{i % 7}" for i in range(9))
+        got = np.frombuffer(encoder.encode([text])[0], "<u4").tolist()
+        assert got == library.encode(text, add_special_tokens=False).ids
+        for held in (encoder.known, encoder.pieces):
+            assert len(held) <= 30 + 9 * 7 and len(held.older) <= 30 + 9 * 7
+            assert held.chars == sum(map(len, held))
