@@ -28,6 +28,7 @@ of the names that are added are replaced.
 from __future__ import annotations
 
 import re
+import weakref
 from array import array
 from collections.abc import Iterator
 
@@ -96,7 +97,8 @@ class Vocabulary:
 
     def encoder(self, remembered: int) -> Encoder:
         if self._encoder is None:
-            self._encoder = Encoder(self, remembered)
+            # The encoder goes with its vocabulary at once, not when cycles are looked for.
+            self._encoder = Encoder(weakref.proxy(self), remembered)
         return self._encoder
 
 
@@ -254,7 +256,8 @@ def encode(
 
     def rows():
         # A worker holds a broadcast value, and what it remembers of it, across tasks.
-        encoder = shared.value.encoder(remembered)
+        vocabulary = shared.value
+        encoder = vocabulary.encoder(remembered)
 
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = [
@@ -264,7 +267,7 @@ def encode(
             columns = [*(batch.column(i) for i in kept), list_array(found, pa.int32())]
             if with_decoded:
                 columns.append(pa.array([
-                    None if f is None else decode_ids(encoder.vocabulary, f).decode("utf-8", "replace")
+                    None if f is None else decode_ids(vocabulary, f).decode("utf-8", "replace")
                     for f in found
                 ], pa.string()))
             return pa.RecordBatch.from_arrays(

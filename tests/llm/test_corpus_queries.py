@@ -1,5 +1,6 @@
 import os
 
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as driver
@@ -87,6 +88,30 @@ def test_pipeline_over_odd_and_empty_tables(spark, documents, tmp_path):
                 stage[0] != "near_duplicates" and name == "odd")
 
 
+def test_stages_pass_on_small_batches(spark, documents):
+    """Tens of MB of texts at a time are held at both ends of each task."""
+
+    def sizes(spark, docs, folder):
+        return docs.mapInArrow(
+            lambda batches: (b.slice(0, 1).set_column(0, "id", pa.array([len(b)])) for b in batches),
+            "id long",
+        )
+
+    key, rows = corpus_pipeline.BATCH_KEY, spark.range(0, 3_000, 1, 1)
+    try:
+        for before, most in (("10000", corpus_pipeline.ROWS_A_BATCH), ("0", corpus_pipeline.ROWS_A_BATCH),
+                             ("70", 70)):
+            spark.conf.set(key, before)
+            found = corpus_pipeline.in_small_batches(sizes)(spark, rows, "").collect()
+            assert max(r.id for r in found) == most and sum(r.id for r in found) == 3_000
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(key, "10000")
+            stage(spark, documents.limit(0), FOLDER)
+            assert int(spark.conf.get(key)) == corpus_pipeline.ROWS_A_BATCH
+    finally:
+        spark.conf.unset(key)
+
+
 def test_library_does_not_need_the_corpus_operators():
     root = os.path.dirname(driver.__file__)
     for folder, _, files in os.walk(os.path.join(root, "barlab")):

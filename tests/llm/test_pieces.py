@@ -1,5 +1,7 @@
+import gc
 import random
 import time
+import weakref
 
 import pytest
 
@@ -124,3 +126,16 @@ def test_equals_the_library_when_decoding(vocabulary, texts):
     for text in list(texts.values())[:20]:
         ids = encoder.ids(text)
         assert pieces.decode_ids(vocabulary, ids).decode() == text == library.decode(ids.tolist())
+
+
+def test_what_a_worker_remembers_goes_with_the_model():
+    """Without the collector of cycles, which seldom looks at what has stayed for long."""
+    gc.disable()
+    try:
+        model = Vocabulary()
+        assert len(model.encoder(100).ids("some words")) and model.encoder(100)
+        held = weakref.ref(model), weakref.ref(model.encoder(100))
+        del model
+        assert [h() for h in held] == [None, None]
+    finally:
+        gc.enable()
