@@ -17,15 +17,17 @@ are read by Spark's ``binaryFile`` reader from any store that Spark can reach.
 
 Texts are encoded with the tokenizers library. Where its file splits texts as
 byte-level BPE does, a token never crosses the place before a space that a
-non-space follows; parts between such places are encoded once while they are
-remembered, which also bounds what the library holds for a very long text. New
-parts of plain signs (ASCII and Latin-1 letters, digits, marks, usual white space)
-are split further here, by the same expression as byte-level BPE, and the library's
-model gets each word and mark once; other new parts go through the whole library.
+non-space follows; the different parts between such places in some MB of texts are
+encoded once, and not at all while they are remembered, which also bounds what the
+library holds for a very long text. New parts of plain signs (ASCII and Latin-1
+letters, digits, marks, usual white space) are split further here, by the same
+expression as byte-level BPE, and the library merges their different words and marks,
+thousands at a time; other new parts go through the whole library.
 For other files, texts are encoded whole. Strings of special tokens inside a text
 are ordinary text.
 
-Bounds: a task holds one sort run of its texts, ``PARTS`` remembered parts, 64
+Bounds: a task holds one sort run of its texts, the parts and ids of
+``TEXT_BYTES_AT_ONCE`` of them (or of one text), ``PARTS`` remembered parts, 64
 blocks, and, when reading, one file. A file takes about ``BYTES_A_FILE`` bytes
 of text, or one document if that is longer.
 
@@ -48,6 +50,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,8 +65,9 @@ PERCENT = 95
 BYTES_A_FILE = 32 << 20
 # Parts of texts and characters in them that a task remembers before it starts over.
 PARTS, PART_CHARS = 500_000, 8_000_000
-PARTS_AT_ONCE = 4096
-TEXTS_AT_ONCE = 64
+PARTS_AT_ONCE = 2048
+# Bytes of text that are encoded together, and bytes of ids that are read together.
+TEXT_BYTES_AT_ONCE = 8 << 20
 BYTES_AT_ONCE = 4 << 20
 
 # base, numbers, outliers, width, bytes of a high part
@@ -177,7 +181,7 @@ class Shelf:
         return self._take(1)
 
 
-_CUT = re.compile(r"(?= \S)")
+_CUT = re.compile(r" (?=\S)")
 _BEFORE_SPACE = re.compile(r" (?!\S)")
 # Signs that are letters, digits, white space or neither by any version of Unicode.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -186,6 +190,14 @@ _PLAIN = re.compile(f"[\t\n\r -~{_LETTERS}]*")
 _SPLIT = re.compile(
     rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+"
 )
+# Stand between pieces, before and after their bytes are written as signs; in neither.
+_ZERO, _LINE = "\0", "\n"
+
+
+def _cut(ids: bytes, stops: np.ndarray) -> list[bytes]:
+    """The bytes up to the first place, and those between each place and the next."""
+    ends = stops.tolist()
+    return [ids[low:high] for low, high in zip([0, *ends], ends)]
 
 
 class _Known(dict):
@@ -196,10 +208,23 @@ class _Known(dict):
         self.older: dict[str, bytes] = {}
         self.chars = 0
 
-    def put(self, text: str, ids: bytes) -> bytes:
-        self.chars += len(text)
-        self[text] = ids
-        return ids
+    def put(self, texts: list[str], ids: list[bytes]) -> None:
+        """Remember texts that the newer generation does not hold, each once."""
+        self.chars += sum(map(len, texts))
+        self.update(zip(texts, ids))
+
+    def find(self, texts: list[str]) -> list[bytes | None]:
+        """The ids of each text, or None; what is found in the older generation moves on."""
+        found = list(map(self.get, texts))
+        if self.older:
+            held = self.older.get
+            moved = []
+            for i, ids in enumerate(found):
+                if ids is None and (ids := held(texts[i])) is not None:
+                    found[i] = ids
+                    moved.append(i)
+            self.put([texts[i] for i in moved], [found[i] for i in moved])
+        return found
 
     def turn(self) -> None:
         """Drop the older generation and begin a new one."""
@@ -209,64 +234,71 @@ class _Known(dict):
 
 
 class _Pieces(_Known):
-    """Pieces of plain signs as the split leaves them, which the model merges."""
-
-    def __init__(self, model, signs: dict[int, str]):
-        super().__init__()
-        self.model, self.signs = model, signs
-
-    def merged(self, piece: str) -> bytes:
-        """The ids of a piece whose bytes are written as the signs of tokens."""
-        found = self.model.tokenize(piece)
-        return struct.pack(f"<{len(found)}I", *[token.id for token in found])
-
-    def __missing__(self, piece: str) -> bytes:
-        return self.put(piece, self.older.get(piece) or self.merged(piece.translate(self.signs)))
-
-
-class _Parts(_Known):
-    """Parts with a space before them; those not of plain signs are None until they are put.
+    """Pieces of plain signs as the split leaves them, which the model merges.
 
-    A part of several pieces is remembered when its first one was known, since new
-    words seldom come again with the same marks.
+    Marks, and words with no space before them, are remembered; the others are parts,
+    or begin one, and are remembered there.
     """
 
-    def __init__(self, pieces: _Pieces):
+    def __init__(self, library, sizes: np.ndarray):
         super().__init__()
-        self.pieces = pieces
-        self.space = pieces.signs.get(ord(" "), "")
-
-    def __missing__(self, part: str) -> bytes | None:
-        ids = self.older.get(part)
-        if ids is not None:
-            return self.put(part, ids)
-        if part.isascii() and part.isalpha():
-            return self.put(part, self.pieces.merged(self.space + part))
-        if not _PLAIN.fullmatch(part):
-            return None
-        first, *rest = _SPLIT.findall(" " + part)
-        word = first[1:]
-        ids = self.get(word) or self.older.get(word)
-        new = ids is None
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
+
+        self.sizes = sizes
+        # The same model, held once, for texts that are split already.
+        self.merger = Tokenizer(library.model)
+        self.merger.pre_tokenizer = CharDelimiterSplit(_LINE)
+        bytewise = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.signs = np.zeros(256, "<u2")
+        for sign in filter(_PLAIN.fullmatch, map(chr, range(1, 256))):
+            for byte, written in zip(sign.encode(), bytewise.pre_tokenize_str(sign)[0][0]):
+                self.signs[byte] = ord(written)
+        self.signs[ord(_ZERO)] = ord(_LINE)
+
+    def merged(self, pieces: tuple[str, ...]) -> list[bytes]:
+        """The ids of each piece, from the model in one call."""
+        raw = np.frombuffer(_ZERO.join([*pieces, ""]).encode(), np.uint8)
+        written = self.signs[raw[:-1]].tobytes().decode("utf-16-le")
+        found = self.merger.encode_batch_fast([written], add_special_tokens=False)[0]
+        ids = np.array(found.ids, "<u4")
+        cuts = np.flatnonzero(raw == 0) - np.arange(len(pieces))
+        return _cut(ids.tobytes(), 4 * _places(self.sizes[ids], cuts))
+
+    def ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece; the model gets those that are not remembered, each once."""
+        once = list(dict.fromkeys(pieces))
+        known = dict(zip(once, self.find(once)))
+        new = tuple(piece for piece, ids in known.items() if ids is None)
         if new:
-            ids = self.put(word, self.pieces.merged(first.translate(self.pieces.signs)))
-        if rest:
-            ids += b"".join(map(self.pieces.__getitem__, rest))
-        return ids if new else self.put(part, ids)
+            known.update(zip(new, self.merged(new)))
+            kept = [piece for piece in new if piece[0] != " "]
+            self.put(kept, [known[piece] for piece in kept])
+        return list(map(known.__getitem__, pieces))
+
+
+def _places(sizes: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """How many of the things of the given sizes end up to each cut."""
+    ends = np.cumsum(sizes)
+    places = np.searchsorted(ends, cuts)
+    if len(cuts) and (places[-1] >= len(ends) or (ends[places] != cuts).any()):
+        raise ValueError("a token crosses the end of a part")
+    return places + 1
 
 
 class Encoder:
     """Token ids of texts as little-endian 32-bit numbers.
 
-    A text is cut before each space that a non-space follows. Parts that the split
-    above does not know are encoded many at a time as one text, whose ids are told
-    apart by the bytes their tokens stand for.
+    A text is cut before each space that a non-space follows. The different parts of
+    many texts are looked up once; those of plain signs that are not remembered are
+    split as above, and the model merges their different pieces in one call. Other
+    parts are encoded many at a time as one text, whose ids are told apart by the bytes
+    their tokens stand for.
     """
 
     def __init__(self, model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already uses every core
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_str(model)
         self.library.encode_special_tokens = True
@@ -277,36 +309,45 @@ class Encoder:
             and not split.get("add_prefix_space") and not asked.get("normalizer")
             and all(added.get("special") for added in asked.get("added_tokens") or [])
         )
-        signs = {}
         if self.by_part:
             # One sign of a byte-level token stands for one byte.
             tokens = map(self.library.id_to_token, range(self.library.get_vocab_size()))
             self.sizes = np.array([len(t or "") for t in tokens], np.int64)
-            bytewise = ByteLevel(add_prefix_space=False, use_regex=False)
-            signs = {
-                c: bytewise.pre_tokenize_str(chr(c))[0][0]
-                for c in range(256) if _PLAIN.fullmatch(chr(c))
-            }
-        self.pieces = _Pieces(self.library.model, signs)
-        self.known = _Parts(self.pieces)
+            self.pieces = _Pieces(self.library, self.sizes)
+            self.known = _Known()
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _split(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part of plain signs with a space before it."""
+        pieces = _SPLIT.findall(" " + " ".join(parts))
+        ids = self.pieces.ids(pieces)
+        cuts = np.cumsum([len(part) + 1 for part in parts])
+        last = _places(np.fromiter(map(len, pieces), np.int64, len(pieces)), cuts) - 1
+        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        return _cut(b"".join(ids), ends[last])
+
+    def _unsplit(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part with a space before it, by the whole library."""
+        ids = self._whole([" " + " ".join(parts)])[0]
+        cuts = np.cumsum([len(part.encode()) + 1 for part in parts])
+        return _cut(ids, 4 * _places(self.sizes[np.frombuffer(ids, "<u4")], cuts))
+
     def _learn(self, parts: list[str]) -> None:
-        """Remember the ids of each part with a space before it."""
+        """Remember the ids of parts with a space before them."""
+        other: list[str] = []
         for start in range(0, len(parts), PARTS_AT_ONCE):
             some = parts[start:start + PARTS_AT_ONCE]
-            ids = self._whole([" " + " ".join(some)])[0]
-            ends = np.cumsum(self.sizes[np.frombuffer(ids, "<u4")])
-            cuts = np.cumsum([len(part.encode()) + 1 for part in some])
-            places = np.searchsorted(ends, cuts)
-            if not (ends[places] == cuts).all():
-                raise ValueError("a token crosses the start of a part")
-            stops = (4 * (places + 1)).tolist()
-            for part, low, high in zip(some, [0, *stops], stops):
-                self.known.put(part, ids[low:high])
+            if not _PLAIN.fullmatch(" ".join(some)):
+                other += [p for p in some if not _PLAIN.fullmatch(p)]
+                some = [p for p in some if _PLAIN.fullmatch(p)]
+            if some:
+                self.known.put(some, self._split(some))
+        for start in range(0, len(other), PARTS_AT_ONCE):
+            some = other[start:start + PARTS_AT_ONCE]
+            self.known.put(some, self._unsplit(some))
 
     def _forget(self) -> None:
         """Drop the older generations when the newer ones hold half of what may be remembered."""
@@ -315,29 +356,46 @@ class Encoder:
             for known in held:
                 known.turn()
 
+    def _joined(self, lists: pa.Array) -> list[bytes]:
+        """The ids of each text, given as a list of its parts; the first has no space before it."""
+        starts, values = lists.offsets.to_numpy(), lists.values
+        first = np.zeros(len(values), bool)
+        first[starts[:-1]] = True
+        parts = values.filter(pa.array(~first)).dictionary_encode()
+        names = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = self.known.find(names)
+        self._learn([name for name, found in zip(names, ids) if found is None])
+        ids = [self.known[name] if found is None else found for name, found in zip(names, ids)]
+        ids += self._whole(values.filter(pa.array(first)).to_pylist())
+        codes = np.empty(len(values), np.int64)
+        codes[first] = np.arange(len(names), len(ids))
+        codes[~first] = parts.indices.to_numpy()
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begins = (np.cumsum(sizes) - sizes)[codes]
+        sizes = sizes[codes]
+        ends = np.cumsum(sizes)
+        # Each part's ids stand together; a token lies as far from their begin here as there.
+        places = np.repeat(begins - ends + sizes, sizes)
+        places += np.arange(len(places))
+        content = np.frombuffer(b"".join(ids), "<u4")[places].tobytes()
+        return _cut(content, 4 * ends[starts[1:] - 1])
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_part:
             return self._whole(texts)
         self._forget()
-        firsts, found, unknown = [], [], {}
-        for text in texts:
-            if _BEFORE_SPACE.search(text):
-                parts = [p[i > 0:] for i, p in enumerate(_CUT.split(text))]
-            else:
-                parts = text.split(" ")
-            firsts.append(parts.pop(0))
-            ids = list(map(self.known.__getitem__, parts))
-            if None in ids:
-                unknown[len(found)] = parts
-            found.append(ids if None in ids else b"".join(ids))
-        self._learn(list({
-            p for n, parts in unknown.items() for p, i in zip(parts, found[n]) if i is None
-        }))
-        for n, parts in unknown.items():
-            found[n] = b"".join([
-                self.known[p] if i is None else i for p, i in zip(parts, found[n])
-            ])
-        return list(map(bytes.__add__, self._whole(firsts), found))
+        # Where each space is followed by a non-space, a split at spaces is the cut.
+        spaced = [i for i, text in enumerate(texts) if _BEFORE_SPACE.search(text)]
+        found = dict.fromkeys(range(len(texts)), b"")
+        even = [i for i in found if i not in set(spaced)] if spaced else list(found)
+        if even:
+            some = pa.array([texts[i] for i in even], pa.large_string())
+            found.update(zip(even, self._joined(pc.split_pattern(some, " "))))
+        if spaced:
+            cuts = [_CUT.split(texts[i]) for i in spaced]
+            some = pa.array(cuts, pa.list_(pa.large_string()))
+            found.update(zip(spaced, self._joined(some)))
+        return list(found.values())
 
 
 @lru_cache(maxsize=1)
@@ -346,6 +404,18 @@ def _encoder(model: str) -> Encoder:
     return Encoder(model)
 
 
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of (doc_id, text) in order, about ``TEXT_BYTES_AT_ONCE`` or one row at a time."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < len(batch):
+        full = int(ends[start]) - int(sizes[start]) + TEXT_BYTES_AT_ONCE
+        stop = max(start + 1, int(np.searchsorted(ends, full, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _file(number: int, batches: Iterator[pa.RecordBatch], encoder: Encoder, end_id: int,
           percent: int) -> Iterator[bytes]:
     """The records of one file, from batches of (doc_id, text) in order."""
@@ -363,8 +433,7 @@ def _file(number: int, batches: Iterator[pa.RecordBatch], encoder: Encoder, end_
         return record
 
     for batch in batches:
-        for at in range(0, len(batch), TEXTS_AT_ONCE):
-            some = batch.slice(at, TEXTS_AT_ONCE)
+        for some in _portions(batch):
             texts = [(t or b"").decode("utf-8", "replace") for t in some.column(1).to_pylist()]
             encoded = [e + end for e in encoder.encode(texts)]
             sizes = np.array([len(e) // 4 for e in encoded], np.int64)

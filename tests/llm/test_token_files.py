@@ -166,3 +166,44 @@ def test_remembered_parts_and_pieces_stay_bounded(tokenizer, library, monkeypatc
         for held in (encoder.known, encoder.pieces):
             assert len(held) <= 30 + 9 * 7 and len(held.older) <= 30 + 9 * 7
             assert held.chars == sum(map(len, held))
+
+
+def test_new_words_of_many_texts_are_merged_in_one_call(tokenizer, library):
+    """Not one call a word, which cost most of the time; and none while they are remembered."""
+    with open(tokenizer, encoding="utf-8") as file:
+        encoder = token_files.Encoder(file.read())
+    merged, model = [], encoder.pieces.merged
+    encoder.pieces.merged = lambda pieces: merged.append(pieces) or model(pieces)
+    texts = [f"on zorb{n % 50}, zörb zorblet.\nThe zörb\nzorblets (zorb) {n}" for n in range(200)]
+    truth = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    for _ in range(2):
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)]
+        assert got == truth and len(merged) == 1
+    assert len(merged[0]) == len(set(merged[0])) and " zörb" in merged[0]
+
+
+@pytest.mark.parametrize("limits", [(60, 3), (500_000, 2048)])
+def test_texts_of_all_kinds_together(tokenizer, library, monkeypatch, limits):
+    """Empty texts, doubled spaces, other scripts and plain words side by side, again and again."""
+    monkeypatch.setattr(token_files, "PARTS", limits[0])
+    monkeypatch.setattr(token_files, "PARTS_AT_ONCE", limits[1])
+    with open(tokenizer, encoding="utf-8") as file:
+        encoder = token_files.Encoder(file.read())
+    rng = random.Random(5)
+    words = ["", "a", "été", "x\ny", "\t", "日本", "don't", "“so”", "12é", "\0", "<|endoftext|>", "w\n\n"]
+    texts = [" ".join(rng.choices(words + [f"v{n}"], k=rng.randrange(12))) for n in range(400)]
+    for start in range(0, 400, 40):
+        for some in (texts[start:start + 40], texts[:7], []):
+            got = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(some)]
+            assert got == [library.encode(text, add_special_tokens=False).ids for text in some]
+
+
+def test_portions_hold_each_row_once(monkeypatch):
+    monkeypatch.setattr(token_files, "TEXT_BYTES_AT_ONCE", 10)
+    texts = [b"1234", None, b"123456", b"1", b"x" * 25, b"", b"123", None]
+    batch = token_files.pa.RecordBatch.from_arrays(
+        [token_files.pa.array(range(8)), token_files.pa.array(texts, "binary")], ["doc_id", "text"]
+    )
+    portions = [p.column(0).to_pylist() for p in token_files._portions(batch)]
+    assert portions == [[0, 1, 2], [3], [4], [5, 6, 7]]
+    assert list(token_files._portions(batch.slice(0, 0))) == []
